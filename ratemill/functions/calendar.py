@@ -9,6 +9,11 @@ FIRST_SECOND = -30610224000
 LAST_SECOND = 253402300799
 
 
+def has_date(seconds: Column) -> Column:
+    """Whether a Unix time falls in the years 1000 to 9999."""
+    return seconds.between(FIRST_SECOND, LAST_SECOND)
+
+
 def utc_date(seconds: Column) -> Column:
     """Date of a Unix time in seconds; NULL outside the years 1000 to 9999.
 
@@ -16,15 +21,19 @@ def utc_date(seconds: Column) -> Column:
     overflow because the range is tested first.
     """
     days = F.floor(seconds / SECONDS_PER_DAY).cast("int")
-    return F.when(
-        seconds.between(FIRST_SECOND, LAST_SECOND), F.date_from_unix_date(days)
-    )
+    return F.when(has_date(seconds), F.date_from_unix_date(days))
 
 
 def date_id(seconds: Column) -> Column:
-    """The date as an integer yyyyMMdd."""
-    day = utc_date(seconds)
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    """The date as an integer yyyyMMdd.
+
+    Arithmetic on the calendar fields, several times faster than formatting
+    the date as text and parsing that.
+    """
+    day = F.date_from_unix_date(F.floor(seconds / SECONDS_PER_DAY).cast("int"))
+    return F.when(
+        has_date(seconds), F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    )
 
 
 def year_of(date_key: Column) -> Column:

@@ -3,7 +3,7 @@
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ratemill.functions import calendar
 
@@ -32,10 +32,10 @@ def dim_user(profiles: DataFrame) -> DataFrame:
 
 def dim_date(ratings: DataFrame) -> DataFrame:
     """One row per calendar date with a rating."""
-    key = F.col("date_id")
+    key, seconds = F.col("date_id"), F.col("timestamp")
     return (
-        ratings.select(calendar.date_id(F.col("timestamp")).alias("date_id"))
-        .where(key.isNotNull())
+        ratings.where(calendar.has_date(seconds))
+        .select(calendar.date_id(seconds).alias("date_id"))
         .distinct()
         .select(
             key,
@@ -63,24 +63,52 @@ def check_star(
 
     ``dimensions`` maps a table name to the table and its key column. Reports
     keys that occur more than once in a dimension and fact keys it lacks (a
-    NULL fact key is one of them). Facts are counted per key before the anti
-    join, so it sees each key once. Each check scans one column.
+    NULL fact key is one of them). All facts are read once, and both sides are
+    counted per key before they meet, so a hot key is one row in the join.
     """
-    reports = []
-    for name, (table, key) in dimensions.items():
-        repeated = table.groupBy(key).count().where("count > 1")
-        used = fact.groupBy(key).count()
-        orphans = used.join(table.select(key).distinct(), key, "left_anti")
-        for check, found in (("duplicate_key", repeated), ("orphan_fact", orphans)):
-            reports.append(
-                found.agg(
-                    F.count("*").alias("bad_keys"),
-                    F.coalesce(F.sum("count"), F.lit(0)).alias("bad_rows"),
-                ).select(
-                    F.lit(check).alias("check_name"),
-                    F.lit(name).alias("table_name"),
-                    "bad_keys",
-                    "bad_rows",
-                )
+    copies = reduce(
+        DataFrame.unionByName,
+        [
+            table.select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("key"))
+            for name, (table, key) in dimensions.items()
+        ],
+    )
+    uses = fact.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("key")
+                    )
+                    for name, (_, key) in dimensions.items()
+                ]
             )
-    return reduce(DataFrame.unionByName, reports)
+        )
+    )
+    by_key = ["table_name", "key"]
+    matched = (
+        copies.groupBy(*by_key)
+        .agg(F.count("*").alias("n_copies"))
+        .join(uses.groupBy(*by_key).agg(F.count("*").alias("n_uses")), by_key, "full")
+    )
+    repeated, orphan = F.col("n_copies") > 1, F.col("n_copies").isNull()
+    found = matched.groupBy("table_name").agg(
+        F.count_if(repeated).alias("repeated_keys"),
+        F.sum(F.when(repeated, F.col("n_copies"))).alias("repeated_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
+        F.sum(F.when(orphan, F.col("n_uses"))).alias("orphan_rows"),
+    )
+
+    def report(check: str, kind: str) -> Column:
+        return F.struct(
+            F.lit(check).alias("check_name"),
+            F.col("table_name"),
+            F.coalesce(f"{kind}_keys", F.lit(0)).alias("bad_keys"),
+            F.coalesce(f"{kind}_rows", F.lit(0)).alias("bad_rows"),
+        )
+
+    names = fact.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in dimensions])).alias("table_name")
+    )
+    reports = F.array(report("duplicate_key", "repeated"), report("orphan_fact", "orphan"))
+    return names.join(found, "table_name", "left").select(F.inline(reports))

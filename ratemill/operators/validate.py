@@ -17,18 +17,20 @@ def parse_submissions(bodies: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     A fractional JSON number given as an id loses its fraction; the same
     number given as a string does not, and is rejected by validation.
     """
-    body = F.try_parse_json(F.col("value").cast("string"))
 
     def field(name: str) -> Column:
-        path = f"$.{name}"
-        text = F.try_variant_get(body, path, "string")
+        member = F.try_variant_get("_body", f"$.{name}", "variant")
+        kind = F.nullif(F.schema_of_variant(member), F.lit("VOID"))
+        # A list or an object has no text; its type then stands for it.
+        text = F.coalesce(F.try_variant_get("_body", f"$.{name}", "string"), kind)
         if name == "rating":
             return text
-        quoted = F.schema_of_variant(F.try_variant_get(body, path, "variant")) == "STRING"
-        whole = F.try_variant_get(body, path, "double").try_cast("bigint").cast("string")
-        return F.when(quoted | F.coalesce(text.rlike(r"^-?[0-9]+$"), F.lit(True)), text).otherwise(whole)
+        number = F.try_variant_get("_body", f"$.{name}", "double")
+        fractional = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+        return F.when(fractional, number.try_cast("bigint").cast("string")).otherwise(text)
 
-    return bodies.select(*[field(name).alias(name) for name in SUBMITTED], *keep)
+    parsed = bodies.select(F.try_parse_json(F.col("value").cast("string")).alias("_body"), *keep)
+    return parsed.select(*[field(name).alias(name) for name in SUBMITTED], *keep)
 
 
 def validate_submissions(

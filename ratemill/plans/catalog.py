@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratemill.functions.calendar import date_id
 from ratemill.operators import decode, marts, recommend, serve, star, validate
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.plans import cycle, fixtures
@@ -129,20 +130,16 @@ def star_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_check_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check on raw events as facts, recent titles and dates per second."""
     raw = parse_events(spark, sf_dir)
-    clean = events_star(spark, sf_dir)
-    recent = clean.dim_item.where("release_year >= 1990")
-    per_second = raw.select("timestamp").distinct()
+    items = star.dim_item(fixtures.items(spark, sf_dir))
+    users = star.dim_user(fixtures.profiles(spark, sf_dir))
+    seconds = raw.select("timestamp").distinct()
+    dates = seconds.select(date_id(F.col("timestamp")).alias("date_id"))
     return star.check_star(
         star.fact_ratings(raw),
         {
-            "dim_movie": (recent, "movie_id"),
-            "dim_user": (clean.dim_user, "user_id"),
-            "dim_date": (star.fact_ratings(per_second.select(
-                F.lit(None).cast("int").alias("user_id"),
-                F.lit(None).cast("int").alias("movie_id"),
-                F.lit(None).cast("double").alias("rating"),
-                "timestamp",
-            )).select("date_id"), "date_id"),
+            "dim_movie": (items.where("release_year >= 1990"), "movie_id"),
+            "dim_user": (users, "user_id"),
+            "dim_date": (dates, "date_id"),
         },
     )
 
@@ -178,6 +175,13 @@ def validate_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validate_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bodies = fixtures.submission_bodies(spark, sf_dir)
+    return validate.validate_submissions(
+        validate.parse_submissions(bodies, keep=["received_at"]), time_column="received_at"
+    )
+
+
 # --- recommender ------------------------------------------------------------
 
 
@@ -344,6 +348,7 @@ QUERIES: dict[str, Query] = {
     **_reports("", events_star),
     **_reports("_large", orders_star),
     "validate": validate_submissions,
+    "validate_bodies": validate_bodies,
     "train_split": train_split,
     "predictions": predictions,
     "prediction_rows": prediction_rows,

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ratemill.operators import recommend
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
 from ratemill.plans.star import Star, build_star
+from ratemill.schemas import FACT
 from ratemill.sources.bronze import bronze_versions
 from ratemill.sources.documents import export_recommendations
-from ratemill.sources.tables import overwrite_by_date, overwrite_table, read_table
+from ratemill.sources.tables import overwrite_by_date, overwrite_table, read_dated, read_table
 
 
 @dataclass(frozen=True)
@@ -40,9 +41,7 @@ def read_gold(spark: SparkSession, path: str) -> Star:
         read_table(spark, f"{path}/dim_movie"),
         read_table(spark, f"{path}/dim_user"),
         read_table(spark, f"{path}/dim_date"),
-        read_table(spark, f"{path}/fact_ratings").select(
-            "user_id", "movie_id", "date_id", "rating"
-        ),
+        read_dated(spark, f"{path}/fact_ratings", FACT),
     )
 
 

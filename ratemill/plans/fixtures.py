@@ -107,6 +107,28 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def submission_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same submissions as JSON bodies in ``value``.
+
+    Ratings are JSON strings, as a browser form sends them. Whole ids are JSON
+    numbers, some written with a fraction; other ids are JSON strings.
+    """
+
+    def member(name: str, fraction: str = "") -> Column:
+        text = F.col(name)
+        number = F.concat(text, F.lit(fraction))
+        literal = F.when(text.rlike("^[0-9]+$"), number).otherwise(
+            F.concat(F.lit('"'), text, F.lit('"'))
+        )
+        return F.concat(F.lit(f'"{name}":'), literal)
+
+    rating = F.concat(F.lit('"rating":"'), F.col("rating"), F.lit('"'))
+    members = F.concat_ws(",", member("user_id"), member("movie_id", ".9"), rating)
+    return submissions(spark, sf_dir).select(
+        F.concat(F.lit("{"), members, F.lit("}")).alias("value"), "received_at"
+    )
+
+
 def resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event twice: as it came, and later with the opposite rating."""
     first = rated_events(spark, sf_dir).select(*EVENT_COLUMNS, F.lit(1).alias("arrival"))

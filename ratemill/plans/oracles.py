@@ -156,6 +156,15 @@ submitted AS (
   FROM rated
 )"""
 
+_VALIDATED = f"""WITH {_SUBMITTED}
+SELECT CASE WHEN event_id % 20 = 2 THEN NULL ELSE trim(user_id)::INTEGER END AS user_id,
+       CASE WHEN event_id % 20 = 3 THEN NULL ELSE movie_id::INTEGER END AS movie_id,
+       CASE WHEN event_id % 20 = 4 THEN NULL ELSE rating::DOUBLE END AS rating,
+       timestamp,
+       CASE event_id % 20 WHEN 1 THEN 'missing_rating' WHEN 2 THEN 'invalid_user_id'
+            WHEN 3 THEN 'invalid_movie_id' WHEN 4 THEN 'invalid_rating' END AS reason
+FROM submitted"""
+
 _RAW_COLUMNS = "user_id, movie_id, rating, timestamp"
 
 ORACLES: dict[str, str] = {
@@ -194,14 +203,8 @@ dates AS (
 {_STAR_CHECK}""",
     **_reports("", _SILVER),
     **_reports("_large", _SILVER_LARGE),
-    "validate": f"""WITH {_SUBMITTED}
-SELECT CASE WHEN event_id % 20 = 2 THEN NULL ELSE trim(user_id)::INTEGER END AS user_id,
-       CASE WHEN event_id % 20 = 3 THEN NULL ELSE movie_id::INTEGER END AS movie_id,
-       CASE WHEN event_id % 20 = 4 THEN NULL ELSE rating::DOUBLE END AS rating,
-       timestamp,
-       CASE event_id % 20 WHEN 1 THEN 'missing_rating' WHEN 2 THEN 'invalid_user_id'
-            WHEN 3 THEN 'invalid_movie_id' WHEN 4 THEN 'invalid_rating' END AS reason
-FROM submitted""",
+    "validate": _VALIDATED,
+    "validate_bodies": _VALIDATED,
     "train_split": f"""WITH {_SILVER}
 SELECT {_RAW_COLUMNS}, CASE WHEN {_TRAINED} THEN 'train' ELSE 'test' END AS part
 FROM silver""",

@@ -4,13 +4,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratemill.functions.calendar import date_id
 from ratemill.operators.cleanse import clean_ratings
-from ratemill.schemas import EVENT_COLUMNS
+from ratemill.schemas import EVENT, EVENT_COLUMNS
 from ratemill.sources.bronze import BATCH, read_batches, read_bronze
 from ratemill.sources.tables import (
     DATE_PARTITION,
     overwrite_by_date,
     overwrite_dates,
-    read_table,
+    read_dated,
 )
 
 # More touched dates than this and a refresh rewrites the whole table instead.
@@ -22,7 +22,7 @@ def _dated(ratings: DataFrame) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path).select(*EVENT_COLUMNS)
+    return read_dated(spark, path, EVENT).select(*EVENT_COLUMNS)
 
 
 def rebuild_silver(
@@ -56,6 +56,6 @@ def refresh_silver(
     on_touched = day.isin([key for key in touched if key is not None])
     if None in touched:
         on_touched = on_touched | day.isNull()
-    kept = read_table(spark, silver).where(on_touched).select(*EVENT_COLUMNS)
+    kept = read_dated(spark, silver, EVENT).where(on_touched).select(*EVENT_COLUMNS)
     merged = clean_ratings(kept.unionByName(fresh.select(*EVENT_COLUMNS)))
     overwrite_dates(_dated(merged), silver)

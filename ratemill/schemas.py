@@ -16,6 +16,15 @@ EVENT_COLUMNS = EVENT.fieldNames()
 # One event per user, item and second; rating is not part of the key.
 EVENT_KEY = ["user_id", "movie_id", "timestamp"]
 
+FACT = T.StructType(
+    [
+        T.StructField("user_id", T.IntegerType()),
+        T.StructField("movie_id", T.IntegerType()),
+        T.StructField("date_id", T.IntegerType()),
+        T.StructField("rating", T.DoubleType()),
+    ]
+)
+
 RECOMMENDATIONS = T.StructType(
     [
         T.StructField("user_id", T.IntegerType()),

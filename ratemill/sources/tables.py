@@ -1,6 +1,7 @@
 """Lake tables: full scan, full overwrite, and overwrite of touched dates."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructType
 
 DATE_PARTITION = "date_id"
 
@@ -9,6 +10,15 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def read_dated(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """A table laid out by date; the stated schema also fits an empty one."""
+    if DATE_PARTITION not in schema.fieldNames():
+        schema = StructType([*schema.fields]).add(DATE_PARTITION, IntegerType())
+    return spark.read.format(fmt).schema(schema).load(path).select(*schema.fieldNames())
+
+
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 

@@ -21,7 +21,8 @@ def write_warehouse(
         counted = table.observe(seen, F.count(F.lit(1)).alias("n"))
         counted.write.jdbc(url, name, mode="overwrite", properties=dict(properties))
         sent = seen.get["n"]
-        stored = read_warehouse(table.sparkSession, url, name, properties).count()
+        count = f"(SELECT COUNT(*) AS n FROM {name}) counted"
+        stored = int(read_warehouse(table.sparkSession, url, count, properties).first()[0])
         if stored != sent:
             raise RuntimeError(f"{name}: {sent} rows sent, {stored} stored")
         written[name] = stored
@@ -31,8 +32,12 @@ def write_warehouse(
 def read_warehouse(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str]
 ) -> DataFrame:
-    """A warehouse table, or a query in parentheses with an alias."""
-    return spark.read.jdbc(url, table, properties=dict(properties))
+    """A warehouse table, or a query in parentheses with an alias.
+
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``
+    among the properties split a large table over tasks.
+    """
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **properties).load()
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -1,0 +1,123 @@
+import pytest
+from conftest import SF_DIR
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import Window, functions as F
+
+from ratemill.operators import recommend, serve
+from ratemill.plans import catalog
+from ratemill.sources.documents import export_recommendations, read_recommendations
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return catalog.full_model(spark, SF_DIR)
+
+
+def test_split_is_complete_repeatable_and_close_to_its_share(spark):
+    ratings = catalog.ratings_table(spark, SF_DIR)
+    training, test = recommend.split_ratings(ratings)
+    assert training.unionByName(test).exceptAll(ratings).isEmpty()
+    assert training.count() + test.count() == ratings.count()
+    assert abs(training.count() / ratings.count() - 0.8) < 0.02
+    again, _ = recommend.split_ratings(ratings.repartition(7))
+    assert again.exceptAll(training).isEmpty()
+
+
+def test_top_lists_equal_the_factor_ranking(spark, model):
+    """Scores of all pairs, ranked by a window, on the small fixture."""
+    listed = recommend.flatten(recommend.recommend(model))
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("movie_id"), F.col("features").alias("i"))
+    product = F.aggregate(
+        F.zip_with("u", "i", lambda a, b: a.cast("double") * b.cast("double")),
+        F.lit(0.0),
+        lambda total, x: total + x,
+    )
+    best_first = Window.partitionBy("user_id").orderBy(F.desc("exact"))
+    ranking = (
+        users.crossJoin(items)
+        .withColumn("exact", product)
+        .withColumn("rank", F.row_number().over(best_first))
+        .where("rank <= 5")
+    )
+    off = listed.join(ranking, ["user_id", "rank"], "full").where(
+        "score IS NULL OR exact IS NULL OR abs(score - exact) > 1e-4"
+    )
+    assert off.isEmpty()
+
+
+def test_every_user_gets_distinct_items_in_order(spark, model):
+    listed = recommend.flatten(recommend.recommend(model))
+    per_user = listed.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.countDistinct("movie_id").alias("items"), F.max("rank").alias("last")
+    )
+    assert per_user.where("n != 5 OR items != 5 OR last != 5").isEmpty()
+    users = catalog.ratings_table(spark, SF_DIR).select("user_id").distinct()
+    assert users.join(listed, "user_id", "left_anti").isEmpty()
+
+
+def test_same_seed_same_lists(spark, ratings):
+    df = ratings([(u, m, 1.0 + (u * m) % 5, 0) for u in range(12) for m in range(9) if (u + m) % 3])
+    lists = [
+        {tuple(row) for row in recommend.flatten(recommend.recommend(recommend.fit_als(df, blocks=2))).collect()}
+        for _ in range(2)
+    ]
+    assert lists[0] == lists[1]
+
+
+def test_rmse_equals_the_evaluator(spark):
+    predictions = catalog.predictions(spark, SF_DIR)
+    evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    assert recommend.rmse(predictions).first()["rmse"] == pytest.approx(evaluator.evaluate(predictions), rel=1e-6)
+
+
+def test_rmse_of_nothing_is_null(spark):
+    empty = spark.createDataFrame([], "rating double, prediction float")
+    assert recommend.rmse(empty).collect()[0]["rmse"] is None
+
+
+def test_unseen_pairs_are_not_predicted(spark, ratings):
+    model = recommend.fit_als(ratings([(1, 1, 5.0, 0), (2, 2, 1.0, 0)]), blocks=1)
+    scored = recommend.predict(model, ratings([(1, 2, 3.0, 0), (9, 1, 3.0, 0), (1, 9, 3.0, 0)]))
+    assert [(row["user_id"], row["movie_id"]) for row in scored.collect()] == [(1, 2)]
+
+
+def _lists(spark):
+    return spark.createDataFrame(
+        [(1, [(7, 4.5), (8, 4.0)]), (2, [(7, 5.5)])],
+        "user_id int, recommendations array<struct<movie_id:int,rating:float>>",
+    )
+
+
+def test_export_and_read(spark, tmp_path):
+    path = str(tmp_path / "recommendations")
+    with pytest.raises(FileNotFoundError):
+        read_recommendations(spark, path)
+    lists = _lists(spark)
+    export_recommendations(lists, path)
+    assert sorted(read_recommendations(spark, path).collect()) == sorted(lists.collect())
+    export_recommendations(lists.where("user_id = 1"), path)
+    assert read_recommendations(spark, path).count() == 1
+    (tmp_path / "recommendations" / "edition=1" / "_SUCCESS").unlink()
+    assert read_recommendations(spark, path).count() == 2
+    assert export_recommendations(lists, path).endswith("edition=2")
+
+
+def test_lookup(spark):
+    users = spark.createDataFrame([(1,), (1,), (5,)], "user_id int")
+    found = {row["user_id"]: row for row in serve.lookup(_lists(spark), users).collect()}
+    assert found[1]["status"] == "success" and len(found[1]["recommendations"]) == 2
+    assert found[5]["status"] == "not_found" and found[5]["recommendations"] is None
+    assert len(found) == 2
+    assert serve.lookup_user(_lists(spark), 2).count() == 1
+    assert serve.lookup_user(_lists(spark), 5).isEmpty()
+
+
+def test_enrich(spark):
+    items = spark.createDataFrame([(7, "Seven")], "movie_id int, title string")
+    shown = serve.enrich(recommend.flatten(_lists(spark)), items).collect()
+    assert sorted((r["user_id"], r["rank"], r["title"], r["match_percent"]) for r in shown) == [
+        (1, 1, "Seven", 90),
+        (1, 2, "Unknown", 80),
+        (2, 1, "Seven", 99),
+    ]

@@ -1,0 +1,50 @@
+"""The JDBC sink without a database: the calls it makes, in order."""
+
+import pytest
+from pyspark.sql import DataFrameWriter
+
+from ratemill.sources import warehouse
+
+URL = "jdbc:postgresql://warehouse/ratings"
+LOGIN = {"user": "etl", "numPartitions": "4"}
+
+
+@pytest.fixture
+def database(monkeypatch, spark):
+    """Keeps written rows in a dict and answers the count query from it."""
+    stored = {}
+
+    def write(writer, url, table, mode=None, properties=None):
+        assert url == URL and mode == "overwrite" and properties == LOGIN
+        stored[table] = writer._df.count()
+
+    def read(session, url, table, properties):
+        name = table.split(" FROM ")[1].split(")")[0]
+        return session.range(1).selectExpr(f"{stored[name]} AS n")
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    monkeypatch.setattr(warehouse, "read_warehouse", read)
+    return stored
+
+
+def tables(spark):
+    return {"dim_movie": spark.range(3), "dim_user": spark.range(2), "fact_ratings": spark.range(7)}
+
+
+def test_tables_are_written_in_order_and_counted(spark, database):
+    written = warehouse.write_warehouse(tables(spark), URL, LOGIN)
+    assert list(database) == ["dim_movie", "dim_user", "fact_ratings"]
+    assert written == {"dim_movie": 3, "dim_user": 2, "fact_ratings": 7}
+
+
+def test_rows_stored_twice_are_an_error(spark, database, monkeypatch):
+    monkeypatch.setattr(
+        warehouse, "read_warehouse", lambda session, *rest: session.range(1).selectExpr("99 AS n")
+    )
+    with pytest.raises(RuntimeError):
+        warehouse.write_warehouse(tables(spark), URL, LOGIN)
+
+
+def test_views_answer_sql(spark):
+    warehouse.register_views({"dim_movie": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM dim_movie").first()[0] == 3
