@@ -30,12 +30,22 @@ def dim_user(profiles: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(ratings: DataFrame) -> DataFrame:
-    """One row per calendar date with a rating."""
-    key, seconds = F.col("date_id"), F.col("timestamp")
+def fact_ratings(ratings: DataFrame) -> DataFrame:
+    """One fact per clean rating, keyed by user, item and date."""
+    return ratings.select(
+        "user_id",
+        "movie_id",
+        calendar.date_id(F.col("timestamp")).alias("date_id"),
+        "rating",
+    )
+
+
+def dim_date(fact: DataFrame) -> DataFrame:
+    """One row per calendar date with a fact."""
+    key = F.col("date_id")
     return (
-        ratings.where(calendar.has_date(seconds))
-        .select(calendar.date_id(seconds).alias("date_id"))
+        fact.select(key)
+        .where(key.isNotNull())
         .distinct()
         .select(
             key,
@@ -46,16 +56,6 @@ def dim_date(ratings: DataFrame) -> DataFrame:
     )
 
 
-def fact_ratings(ratings: DataFrame) -> DataFrame:
-    """One fact per clean rating, keyed by user, item and date."""
-    return ratings.select(
-        "user_id",
-        "movie_id",
-        calendar.date_id(F.col("timestamp")).alias("date_id"),
-        "rating",
-    )
-
-
 def check_star(
     fact: DataFrame, dimensions: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from ratemill.operators import decode, marts, recommend, serve, star, validate
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.plans import cycle, fixtures
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
-from ratemill.plans.star import Star, build_star
+from ratemill.plans.star import Star, build_star, read_star, write_star
 from ratemill.sources.bronze import bronze_versions, read_bronze
 from ratemill.sources.documents import export_recommendations, read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream
@@ -35,6 +35,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _kept[key]
 
 
+def forget() -> None:
+    """Drop kept results, so that the next query does all of its work."""
+    _kept.clear()
+
+
 # --- raw and clean events ---------------------------------------------------
 
 
@@ -116,11 +121,19 @@ def events_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def orders_star(spark: SparkSession, sf_dir: str) -> Star:
-    return build_star(
-        silver_large(spark, sf_dir),
-        fixtures.items(spark, sf_dir),
-        fixtures.profiles(spark, sf_dir),
-    )
+    """The star of order lines as written tables."""
+
+    def write() -> str:
+        path = fresh_folder(spark, "star")
+        built = build_star(
+            silver_large(spark, sf_dir),
+            fixtures.items(spark, sf_dir),
+            fixtures.profiles(spark, sf_dir),
+        )
+        write_star(built, path)
+        return path
+
+    return read_star(spark, _once(spark, sf_dir, "orders star", write))
 
 
 def star_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +326,7 @@ def run_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         "bronze": read_bronze(spark, paths.bronze),
         "silver": read_silver(spark, paths.silver),
-        **cycle.read_gold(spark, paths.gold).tables(),
+        **cycle.read_gold(spark, paths).tables(),
         "recommendations": read_recommendations(spark, paths.recommendations),
     }
     counts = [
@@ -326,6 +339,16 @@ def run_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+# Tables and models that several queries share; made once per application.
+PREPARED: dict[str, Callable[[SparkSession, str], object]] = {
+    "bronze": _bronze,
+    "ratings table": ratings_table,
+    "orders star": orders_star,
+    "trial model": trial_model,
+    "full model": full_model,
+    "artifact": _artifact,
+}
+
 QUERIES: dict[str, Query] = {
     "parse_events": parse_events,
     "encode_events": encode_events,
@@ -336,8 +359,8 @@ QUERIES: dict[str, Query] = {
     "silver_latest": silver_latest,
     "silver_large": silver_large,
     "silver_refreshed": silver_refreshed,
-    "dim_item": lambda spark, sf_dir: events_star(spark, sf_dir).dim_item,
-    "dim_user": lambda spark, sf_dir: events_star(spark, sf_dir).dim_user,
+    "dim_item": lambda spark, sf_dir: star.dim_item(fixtures.items(spark, sf_dir)),
+    "dim_user": lambda spark, sf_dir: star.dim_user(fixtures.profiles(spark, sf_dir)),
     "dim_date": lambda spark, sf_dir: events_star(spark, sf_dir).dim_date,
     "dim_date_large": lambda spark, sf_dir: orders_star(spark, sf_dir).dim_date,
     "fact_ratings": lambda spark, sf_dir: events_star(spark, sf_dir).fact_ratings,

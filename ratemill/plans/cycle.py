@@ -5,13 +5,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratemill.operators import recommend
+from ratemill.operators import recommend, star
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
-from ratemill.plans.star import Star, build_star
+from ratemill.plans.star import Star, read_star, write_dimensions
 from ratemill.schemas import FACT
 from ratemill.sources.bronze import bronze_versions
 from ratemill.sources.documents import export_recommendations
-from ratemill.sources.tables import overwrite_by_date, overwrite_table, read_dated, read_table
+from ratemill.sources.tables import read_dated
 
 
 @dataclass(frozen=True)
@@ -29,20 +29,22 @@ class Report:
     edition: str | None  # recommendations written; None for an empty Silver
 
 
-def write_gold(star: Star, path: str) -> None:
-    """Star schema as lake tables, the fact laid out by date."""
-    for name, table in star.tables().items():
-        write = overwrite_by_date if name == "fact_ratings" else overwrite_table
-        write(table, f"{path}/{name}")
+def write_gold(
+    spark: SparkSession, paths: Paths, items: DataFrame, profiles: DataFrame
+) -> Star:
+    """Write the dimensions; facts are the Silver files under the fact schema.
+
+    Silver is laid out by date, so its files already hold the fact columns and
+    no second copy is made.
+    """
+    fact = read_dated(spark, paths.silver, FACT)
+    built = Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(fact), fact)
+    write_dimensions(built, paths.gold)
+    return read_gold(spark, paths)
 
 
-def read_gold(spark: SparkSession, path: str) -> Star:
-    return Star(
-        read_table(spark, f"{path}/dim_movie"),
-        read_table(spark, f"{path}/dim_user"),
-        read_table(spark, f"{path}/dim_date"),
-        read_dated(spark, f"{path}/fact_ratings", FACT),
-    )
+def read_gold(spark: SparkSession, paths: Paths) -> Star:
+    return read_star(spark, paths.gold, read_dated(spark, paths.silver, FACT))
 
 
 def train(
@@ -75,7 +77,7 @@ def run_cycle(
     The newest Bronze version is fixed at the start, so batches that arrive
     meanwhile wait for the next cycle. Pass the previous report's ``version``
     as ``since`` to refresh only the dates of newer events; without it Silver
-    is rebuilt. ``load`` receives the written star, to fill a warehouse say.
+    is rebuilt. ``load`` receives the star, to fill a warehouse say.
     Later steps read the written tables, not the plans behind them.
     """
     versions = bronze_versions(spark, paths.bronze)
@@ -87,8 +89,8 @@ def run_cycle(
     elif since < version:
         refresh_silver(spark, paths.bronze, paths.silver, since, version)
     ratings = read_silver(spark, paths.silver)
-    write_gold(build_star(ratings, items, profiles), paths.gold)
+    gold = write_gold(spark, paths, items, profiles)
     if load is not None:
-        load(read_gold(spark, paths.gold))
+        load(gold)
     error, edition = train(ratings, paths.recommendations, seed=seed, blocks=blocks)
     return Report(version, error, edition)

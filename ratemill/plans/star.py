@@ -2,9 +2,13 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import star
+from ratemill.sources.tables import overwrite_table, read_table
+
+
+FACT_TABLE = "fact_ratings"
 
 
 @dataclass(frozen=True)
@@ -20,9 +24,12 @@ class Star:
             "dim_movie": self.dim_item,
             "dim_user": self.dim_user,
             "dim_date": self.dim_date,
-            "fact_ratings": self.fact_ratings,
+            FACT_TABLE: self.fact_ratings,
         }
 
+    def dimensions(self) -> dict[str, DataFrame]:
+        return {name: t for name, t in self.tables().items() if name != FACT_TABLE}
+
     def check(self) -> DataFrame:
         return star.check_star(
             self.fact_ratings,
@@ -35,9 +42,27 @@ class Star:
 
 
 def build_star(ratings: DataFrame, items: DataFrame, profiles: DataFrame) -> Star:
+    fact = star.fact_ratings(ratings)
+    return Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(fact), fact)
+
+
+def write_star(built: Star, path: str) -> None:
+    """Replace all four tables below ``path``; dates come from the written facts."""
+    overwrite_table(built.fact_ratings, f"{path}/{FACT_TABLE}")
+    written = read_table(built.fact_ratings.sparkSession, f"{path}/{FACT_TABLE}")
+    write_dimensions(Star(built.dim_item, built.dim_user, star.dim_date(written), written), path)
+
+
+def write_dimensions(built: Star, path: str) -> None:
+    for name, table in built.dimensions().items():
+        overwrite_table(table, f"{path}/{name}")
+
+
+def read_star(spark: SparkSession, path: str, fact: DataFrame | None = None) -> Star:
+    """The tables below ``path``; ``fact`` where facts are kept elsewhere."""
     return Star(
-        star.dim_item(items),
-        star.dim_user(profiles),
-        star.dim_date(ratings),
-        star.fact_ratings(ratings),
+        read_table(spark, f"{path}/dim_movie"),
+        read_table(spark, f"{path}/dim_user"),
+        read_table(spark, f"{path}/dim_date"),
+        read_table(spark, f"{path}/{FACT_TABLE}") if fact is None else fact,
     )

@@ -13,18 +13,19 @@ def rows(df):
 
 def test_dim_date_is_unique_per_date(ratings):
     df = ratings([(1, 1, 1.0, 1700000000), (1, 1, 1.0, 1700000001), (2, 1, 1.0, 1700000001)])
-    assert rows(star.dim_date(df)) == [(20231114, 2023, 11, 14)]
+    assert rows(star.dim_date(star.fact_ratings(df))) == [(20231114, 2023, 11, 14)]
 
 
 def test_dates_out_of_range_stay_in_the_fact_only(ratings):
     df = ratings([(1, 1, 1.0, 10**15)])
-    assert rows(star.dim_date(df)) == []
+    assert rows(star.dim_date(star.fact_ratings(df))) == []
     assert rows(star.fact_ratings(df)) == [(1, 1, None, 1.0)]
 
 
 def test_trend_total_is_the_number_of_facts(ratings):
     df = ratings([(user, 1, 1.0 + user % 5, 1700000000 + user) for user in range(100)])
-    trend = marts.trend_by_month(star.fact_ratings(df), star.dim_date(df))
+    fact = star.fact_ratings(df)
+    trend = marts.trend_by_month(fact, star.dim_date(fact))
     assert rows(trend) == [(2023, 11, 3.0, 100)]
 
 

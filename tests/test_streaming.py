@@ -164,7 +164,7 @@ def test_cycles(lake, spark, ratings, tmp_path):
         )
         since = report.version
     assert since == 2 and len(loaded) == 3
-    star = cycle.read_gold(spark, paths.gold)
+    star = cycle.read_gold(spark, paths)
     assert star.fact_ratings.count() == read_silver(spark, paths.silver).count() == 5
     assert star.dim_date.count() == 3
     assert read_recommendations(spark, paths.recommendations).count() == 4
