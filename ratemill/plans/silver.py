@@ -5,9 +5,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratemill.functions.calendar import date_id
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.schemas import EVENT, EVENT_COLUMNS
-from ratemill.sources.bronze import BATCH, read_batches, read_bronze
+from ratemill.sources.bronze import bronze_versions, read_batches, read_bronze
 from ratemill.sources.tables import (
     DATE_PARTITION,
+    is_complete,
     overwrite_by_date,
     overwrite_dates,
     read_dated,
@@ -41,14 +42,18 @@ def refresh_silver(
     Copies of an event share its second and so its date: only the dates of the
     new events are read and rewritten. Keeping the highest rating is the same
     in any order and any number of times, so the result is that of a rebuild,
-    also when a refresh is repeated.
+    also when a refresh is repeated. A table whose last write was cut off is
+    rebuilt, as its dates may be incomplete.
     """
-    batch = F.col(BATCH)
-    raw = read_batches(spark, bronze).where((batch > since) & (batch <= version))
-    fresh = _dated(clean_ratings(raw))
-    touched = [
-        row[0] for row in fresh.select(DATE_PARTITION).distinct().limit(MAX_TOUCHED_DATES + 1).collect()
-    ]
+    if not is_complete(spark, silver):
+        rebuild_silver(spark, bronze, silver, version)
+        return
+    batches = [n for n in bronze_versions(spark, bronze) if since < n <= version]
+    if not batches:
+        return
+    fresh = _dated(clean_ratings(read_batches(spark, bronze, batches)))
+    dates = fresh.select(DATE_PARTITION).distinct().limit(MAX_TOUCHED_DATES + 1)
+    touched = [row[DATE_PARTITION] for row in dates.collect()]
     if len(touched) > MAX_TOUCHED_DATES:
         rebuild_silver(spark, bronze, silver, version)
         return

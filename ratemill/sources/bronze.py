@@ -1,12 +1,17 @@
 """The raw event table, as of any version."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from ratemill.schemas import EVENT, EVENT_COLUMNS
 from ratemill.sources.storage import numbered_children
 
 BATCH = "_batch_id"
 
+_STORED = StructType([*EVENT.fields]).add(BATCH, LongType())
+
 
 def bronze_versions(spark: SparkSession, path: str) -> list[int]:
     """Versions held by a parquet Bronze table: its micro-batches with data."""
@@ -27,7 +32,7 @@ def read_bronze(
         if version is not None:
             reader = reader.option("versionAsOf", version)
         return reader.load(path).select(*EVENT_COLUMNS)
-    raw = read_batches(spark, path, fmt)
+    raw = spark.read.schema(_STORED).parquet(path)
     if version is not None:
         if version not in bronze_versions(spark, path):
             raise ValueError(f"no version {version} in {path}")
@@ -35,7 +40,7 @@ def read_bronze(
     return raw.select(*EVENT_COLUMNS)
 
 
-def read_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw events with the number of the micro-batch that brought them."""
-    schema = EVENT.simpleString()[len("struct<"):-1].replace(":", " ")
-    return spark.read.format(fmt).schema(f"{schema}, {BATCH} bigint").load(path)
+def read_batches(spark: SparkSession, path: str, batches: Sequence[int]) -> DataFrame:
+    """Raw events of the given micro-batches; no other folder is listed."""
+    folders = [f"{path}/{BATCH}={batch}" for batch in batches]
+    return spark.read.schema(EVENT).parquet(*folders)

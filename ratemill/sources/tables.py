@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructType
 
+from ratemill.sources.storage import children
+
 DATE_PARTITION = "date_id"
 
 
@@ -23,6 +25,17 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the last write of a parquet table ran to its end.
+
+    A full overwrite leaves ``_SUCCESS`` last, an overwrite of dates removes
+    its staging folder last.
+    """
+    names = children(spark, path)
+    staged = any(name.startswith(".spark-staging") for name in names)
+    return "_SUCCESS" in names and not staged
+
+
 def _by_date(df: DataFrame, fmt: str):
     # REBALANCE gathers a date into few files, and AQE splits a date that is
     # too large for one task.

@@ -8,6 +8,7 @@ from ratemill.sources.bronze import bronze_versions, read_bronze
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream, read_events
 from ratemill.sources.storage import fresh_folder
+from ratemill.sources.tables import overwrite_dates
 from ratemill.streaming.bronze import append_batch, write_bronze
 
 DAY = 86400
@@ -121,6 +122,27 @@ def test_refresh_of_very_many_dates_rebuilds(lake, spark, ratings, monkeypatch):
     assert read_silver(spark, lake.silver).count() == 5
 
 
+@pytest.mark.parametrize("leftover", [".spark-staging-x", None])
+def test_refresh_after_a_cut_off_write_rebuilds(lake, spark, ratings, tmp_path, leftover):
+    for wave in WAVES[:2]:
+        lake.publish(ratings(wave))
+        lake.ingest()
+    rebuild_silver(spark, lake.bronze, lake.silver, 0)
+    overwrite_dates(_first_date(spark, lake), lake.silver)
+    if leftover:
+        (tmp_path / "silver" / leftover).mkdir()
+    else:
+        (tmp_path / "silver" / "_SUCCESS").unlink()
+    refresh_silver(spark, lake.bronze, lake.silver, 0, 1)
+    assert read_silver(spark, lake.silver).count() == 4
+
+
+def _first_date(spark, lake):
+    """The first date of Silver without its rows, but for one."""
+    stored = spark.read.parquet(lake.silver)
+    return stored.where("date_id = 19700101").withColumn("user_id", F.lit(77))
+
+
 def test_refresh_leaves_other_dates_alone(lake, spark, ratings):
     for wave in (WAVES[0], [(9, 9, 1.0, DAY + 99)]):
         lake.publish(ratings(wave))
