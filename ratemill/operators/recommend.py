@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratemill.functions.hashing import hash_bound, unit_hash
 from ratemill.schemas import EVENT_KEY
-from ratemill.sources.storage import ensure_checkpoints
+from ratemill.sources.storage import ensure_checkpoints, fresh_folder
 
 # MLlib's own defaults, stated because results depend on them.
 RANK = 10
@@ -33,6 +33,10 @@ def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> AL
 
     ``blocks`` is the parallelism of the factor blocks. By default it follows
     the cluster; pass a number for factors that do not depend on its size.
+
+    The model is written to the shared folder and read back. Its factors then
+    survive a lost executor without another fit, and come in as many parts as
+    their size asks for: scoring all pairs runs one task per pair of parts.
     """
     session = ratings.sparkSession
     ensure_checkpoints(session)
@@ -52,7 +56,9 @@ def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> AL
         checkpointInterval=CHECKPOINT_EVERY,
         seed=seed,
     )
-    return als.fit(ratings.select("user_id", "movie_id", "rating"))
+    folder = fresh_folder(session, "als")
+    als.fit(ratings.select("user_id", "movie_id", "rating")).save(folder)
+    return ALSModel.load(folder)
 
 
 def predict(model: ALSModel, ratings: DataFrame) -> DataFrame:

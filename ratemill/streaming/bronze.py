@@ -9,7 +9,7 @@ from ratemill.sources.bronze import BATCH, bronze_versions
 from ratemill.sources.storage import children
 
 
-def _refuse_lost_checkpoint(df: DataFrame, path: str, checkpoint: str) -> None:
+def refuse_lost_checkpoint(df: DataFrame, path: str, checkpoint: str) -> None:
     # A new checkpoint counts batches from 0 again and would replace old ones.
     if bronze_versions(df.sparkSession, path) and not children(df.sparkSession, checkpoint):
         raise ValueError(f"{path} holds batches but checkpoint {checkpoint} is empty")
@@ -48,5 +48,5 @@ def write_bronze(
         writer = writer.trigger(**trigger)
     if fmt == "delta":
         return writer.format(fmt).start(path)
-    _refuse_lost_checkpoint(events, path, checkpoint)
+    refuse_lost_checkpoint(events, path, checkpoint)
     return writer.foreachBatch(lambda df, batch: append_batch(df, batch, path)).start()

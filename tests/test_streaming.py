@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ratemill.operators.cleanse import clean_ratings
 from ratemill.operators.decode import encode_events, parse_events
 from ratemill.plans import cycle
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
@@ -10,6 +11,7 @@ from ratemill.sources.events import publish_events, read_event_stream, read_even
 from ratemill.sources.storage import fresh_folder
 from ratemill.sources.tables import overwrite_dates
 from ratemill.streaming.bronze import append_batch, write_bronze
+from ratemill.streaming.refresh import write_and_refresh
 
 DAY = 86400
 
@@ -192,6 +194,28 @@ def test_cycles(lake, spark, ratings, tmp_path):
     assert read_recommendations(spark, paths.recommendations).count() == 4
 
 
+def test_stream_with_a_cycle_per_batch(lake, spark, ratings, tmp_path):
+    paths = cycle.Paths(lake.bronze, lake.silver, str(tmp_path / "gold"), str(tmp_path / "recs"))
+    for wave in WAVES:
+        lake.publish(ratings(wave).coalesce(1))
+    stream = read_event_stream(
+        spark, "text", {"path": lake.incoming, "maxFilesPerTrigger": "1"}
+    )
+    write_and_refresh(
+        parse_events(stream),
+        paths,
+        *_dimensions(spark),
+        lake.checkpoint,
+        {"availableNow": True},
+        blocks=1,
+    ).awaitTermination()
+    assert lake.versions() == [0, 1, 2]
+    assert rows(read_silver(spark, paths.silver)) == rows(
+        clean_ratings(read_bronze(spark, lake.bronze))
+    )
+    assert (tmp_path / "recs" / "edition=2" / "_SUCCESS").exists()
+
+
 def test_cycle_over_unusable_events_skips_the_model(lake, spark, tmp_path):
     publish_events(spark.createDataFrame([("junk",)], "value string"), "text", {"path": lake.incoming})
     lake.ingest()
