@@ -3,6 +3,7 @@
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 
 def read_event_stream(
@@ -26,3 +27,14 @@ def read_events(
 def publish_events(messages: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
     """Append encoded messages to a topic or a folder of text files."""
     messages.select("value").write.format(fmt).options(**options).mode("append").save()
+
+
+def publish_event_stream(
+    messages: DataFrame,
+    fmt: str,
+    options: Mapping[str, str],
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """The same for a stream; ``options`` name the checkpoint location."""
+    writer = messages.select("value").writeStream.format(fmt).options(**options)
+    return (writer.trigger(**trigger) if trigger else writer).outputMode("append").start()
