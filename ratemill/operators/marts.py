@@ -48,6 +48,6 @@ def location_genre(
     )
 
 
-def fact_sample(fact: DataFrame, n: int = 5) -> DataFrame:
-    """A few facts, the same ones every time."""
-    return fact.orderBy(*fact.columns).limit(n)
+def sample(table: DataFrame, n: int = 5) -> DataFrame:
+    """A few rows, the same ones every time."""
+    return table.orderBy(*table.columns).limit(n)

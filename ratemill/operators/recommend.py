@@ -12,7 +12,10 @@ RANK = 10
 ITERATIONS = 10
 REGULARIZATION = 0.1
 MIN_BLOCKS = 10
+
+# ALS keeps one list per pair of blocks, so their number has to stay moderate.
 MAX_BLOCKS = 1000
+RATINGS_PER_BLOCK = 1_000_000
 
 # Iterations between lineage cuts.
 CHECKPOINT_EVERY = 4
@@ -28,11 +31,17 @@ def split_ratings(ratings: DataFrame, share: float = 0.8) -> tuple[DataFrame, Da
     return ratings.where(in_training), ratings.where(~in_training)
 
 
+def blocks_for(ratings: DataFrame) -> int:
+    """Factor blocks for a table of ratings; counting one reads file footers only."""
+    wanted = -(-ratings.count() // RATINGS_PER_BLOCK)
+    return max(MIN_BLOCKS, min(wanted, MAX_BLOCKS))
+
+
 def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> ALSModel:
     """Fit explicit-feedback ALS. Repeated ratings of an item stay separate rows.
 
-    ``blocks`` is the parallelism of the factor blocks. By default it follows
-    the cluster; pass a number for factors that do not depend on its size.
+    ``blocks`` is the parallelism of the factor blocks; by default it follows
+    the number of ratings, so that factors do not depend on the cluster.
 
     The model is written to the shared folder and read back. Its factors then
     survive a lost executor without another fit, and come in as many parts as
@@ -41,8 +50,7 @@ def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> AL
     session = ratings.sparkSession
     ensure_checkpoints(session)
     if blocks is None:
-        cores = session.sparkContext.defaultParallelism
-        blocks = max(MIN_BLOCKS, min(cores, MAX_BLOCKS))
+        blocks = blocks_for(ratings)
     als = ALS(
         userCol="user_id",
         itemCol="movie_id",

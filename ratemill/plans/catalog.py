@@ -98,6 +98,11 @@ def snapshot_v0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, _bronze(spark, sf_dir), version=0)
 
 
+def snapshot_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of version 0."""
+    return marts.sample(snapshot_v0(spark, sf_dir))
+
+
 def silver_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of the first version, then refreshed version by version."""
     bronze = _bronze(spark, sf_dir)
@@ -166,16 +171,22 @@ def fact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reports(name: str, build: Callable[[SparkSession, str], Star]) -> dict[str, Query]:
+    def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+        built = build(spark, sf_dir)
+        return marts.top_items(built.fact_ratings, built.dim_item)
+
+    def trend_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+        built = build(spark, sf_dir)
+        return marts.trend_by_month(built.fact_ratings, built.dim_date)
+
+    def location_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+        built = build(spark, sf_dir)
+        return marts.location_genre(built.fact_ratings, built.dim_user, built.dim_item)
+
     return {
-        f"top_items{name}": lambda spark, sf_dir: (
-            lambda s: marts.top_items(s.fact_ratings, s.dim_item)
-        )(build(spark, sf_dir)),
-        f"trend_by_month{name}": lambda spark, sf_dir: (
-            lambda s: marts.trend_by_month(s.fact_ratings, s.dim_date)
-        )(build(spark, sf_dir)),
-        f"location_genre{name}": lambda spark, sf_dir: (
-            lambda s: marts.location_genre(s.fact_ratings, s.dim_user, s.dim_item)
-        )(build(spark, sf_dir)),
+        f"top_items{name}": top_items,
+        f"trend_by_month{name}": trend_by_month,
+        f"location_genre{name}": location_genre,
     }
 
 
@@ -354,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "encode_events": encode_events,
     "bronze_stream": bronze_stream,
     "snapshot_v0": snapshot_v0,
+    "snapshot_sample": snapshot_sample,
     "silver": silver,
     "silver_count": silver_count,
     "silver_latest": silver_latest,

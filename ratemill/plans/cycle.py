@@ -53,6 +53,8 @@ def train(
     """Score a model on held-out rows, then refit on all and export top lists."""
     if ratings.isEmpty():
         return None, None
+    if blocks is None:
+        blocks = recommend.blocks_for(ratings)
     training, test = recommend.split_ratings(ratings)
     error = None
     if not training.isEmpty():

@@ -172,6 +172,11 @@ ORACLES: dict[str, str] = {
     "encode_events": f"WITH {_EVENTS} SELECT {_EVENT_JSON} AS value FROM rated",
     "bronze_stream": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
     "snapshot_v0": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw WHERE wave = 0",
+    "snapshot_sample": f"""WITH {_RAW}
+SELECT {_RAW_COLUMNS} FROM raw WHERE wave = 0
+ORDER BY user_id NULLS FIRST, movie_id NULLS FIRST, rating NULLS FIRST,
+         timestamp NULLS FIRST
+LIMIT 5""",
     "silver": f"WITH {_SILVER} SELECT {_RAW_COLUMNS} FROM silver",
     "silver_count": f"WITH {_SILVER} SELECT count(*) AS n_rows FROM silver",
     "silver_latest": f"""WITH {_EVENTS}

@@ -65,6 +65,11 @@ def test_same_seed_same_lists(spark, ratings):
     assert lists[0] == lists[1]
 
 
+def test_blocks_follow_the_number_of_ratings(spark):
+    counts = {0: 10, 10_000_000: 10, 10_000_001: 11, 5_000_000_000: 1000}
+    assert {n: recommend.blocks_for(spark.range(n)) for n in counts} == counts
+
+
 def test_rmse_equals_the_evaluator(spark):
     predictions = catalog.predictions(spark, SF_DIR)
     evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
