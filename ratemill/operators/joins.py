@@ -12,11 +12,13 @@ SPREAD = 32
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer bounds ``df`` below the session's broadcast threshold.
 
-    Sizes it cannot bound (a join, say) are taken as too large.
+    Its estimate is the bytes on disk, which for a table with a unique key also
+    bounds the rows. Sizes it cannot bound count as too large: joins, which it
+    takes as products, and exploded columns, whose extra rows it does not see.
     """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= limit and "Generate " not in plan.toString()
 
 
 def join_dimension(

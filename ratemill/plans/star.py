@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ratemill.operators import star
 from ratemill.sources.tables import overwrite_table, read_table
 
-
 FACT_TABLE = "fact_ratings"
 
 

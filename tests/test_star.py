@@ -147,6 +147,14 @@ def test_size_check_follows_the_session_setting(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_sizes_without_a_bound_are_too_large(spark):
+    dim = spark.range(10).withColumnRenamed("id", "movie_id")
+    assert joins.fits_broadcast(dim)
+    assert not joins.fits_broadcast(dim.withColumn("n", F.explode(F.sequence(F.lit(1), "movie_id"))))
+    other = spark.range(10**7).withColumnRenamed("id", "movie_id")
+    assert not joins.fits_broadcast(other.join(dim, "movie_id"))
+
+
 def test_spread_left_join_keeps_every_row_once(spark, no_broadcast):
     rows_in = spark.range(5000).select(
         F.col("id").alias("user_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("movie_id")
