@@ -262,6 +262,12 @@ def rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.rmse(predictions(spark, sf_dir))
 
 
+def rmse_resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error of first ratings taken as predictions of the opposite ones."""
+    rated = fixtures.rated_events(spark, sf_dir)
+    return recommend.rmse(rated.select("rating", (6 - F.col("rating")).alias("prediction")))
+
+
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.flatten(recommend.recommend(full_model(spark, sf_dir)))
 
@@ -388,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "predictions": predictions,
     "prediction_rows": prediction_rows,
     "rmse": rmse,
+    "rmse_resubmitted": rmse_resubmitted,
     "recommendations": recommendations,
     "recommendation_counts": recommendation_counts,
     "rec_lookup": rec_lookup,

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratemill.functions.calendar import date_id
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.schemas import EVENT, EVENT_COLUMNS
-from ratemill.sources.bronze import bronze_versions, read_batches, read_bronze
+from ratemill.sources.bronze import read_batches, read_bronze
 from ratemill.sources.tables import (
     DATE_PARTITION,
     is_complete,
@@ -48,12 +48,11 @@ def refresh_silver(
     if not is_complete(spark, silver):
         rebuild_silver(spark, bronze, silver, version)
         return
-    batches = [n for n in bronze_versions(spark, bronze) if since < n <= version]
-    if not batches:
-        return
-    fresh = _dated(clean_ratings(read_batches(spark, bronze, batches)))
+    fresh = _dated(clean_ratings(read_batches(spark, bronze, since, version)))
     dates = fresh.select(DATE_PARTITION).distinct().limit(MAX_TOUCHED_DATES + 1)
     touched = [row[DATE_PARTITION] for row in dates.collect()]
+    if not touched:
+        return
     if len(touched) > MAX_TOUCHED_DATES:
         rebuild_silver(spark, bronze, silver, version)
         return

@@ -1,7 +1,5 @@
 """The raw event table, as of any version."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -10,6 +8,8 @@ from ratemill.sources.storage import numbered_children
 
 BATCH = "_batch_id"
 
+MAX_FOLDERS = 500
+
 _STORED = StructType([*EVENT.fields]).add(BATCH, LongType())
 
 
@@ -40,7 +40,15 @@ def read_bronze(
     return raw.select(*EVENT_COLUMNS)
 
 
-def read_batches(spark: SparkSession, path: str, batches: Sequence[int]) -> DataFrame:
-    """Raw events of the given micro-batches; no other folder is listed."""
-    folders = [f"{path}/{BATCH}={batch}" for batch in batches]
-    return spark.read.schema(EVENT).parquet(*folders)
+def read_batches(spark: SparkSession, path: str, since: int, version: int) -> DataFrame:
+    """Raw events of the micro-batches after ``since`` up to ``version``.
+
+    Opens the folders of a few batches directly, so that the others are not
+    listed; many batches are cheaper as a filter on the whole table.
+    """
+    batches = [n for n in bronze_versions(spark, path) if since < n <= version]
+    if 0 < len(batches) <= MAX_FOLDERS:
+        return spark.read.schema(EVENT).parquet(*[f"{path}/{BATCH}={n}" for n in batches])
+    batch = F.col(BATCH)
+    table = spark.read.schema(_STORED).parquet(path)
+    return table.where((batch > since) & (batch <= version)).select(*EVENT_COLUMNS)

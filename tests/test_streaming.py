@@ -5,7 +5,7 @@ from ratemill.operators.cleanse import clean_ratings
 from ratemill.operators.decode import encode_events, parse_events
 from ratemill.plans import cycle
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
-from ratemill.sources.bronze import bronze_versions, read_bronze
+from ratemill.sources.bronze import bronze_versions, read_batches, read_bronze
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream, read_events
 from ratemill.sources.storage import fresh_folder
@@ -114,6 +114,18 @@ def test_refreshed_silver_equals_a_rebuild(lake, spark, ratings, tmp_path):
     assert (2, 2, 3.0, 10**15) in rows(read_silver(spark, whole))
 
 
+@pytest.mark.parametrize("folders", [0, 1, 500])
+def test_batches_are_read_alike_from_folders_and_by_filter(
+    lake, spark, ratings, monkeypatch, folders
+):
+    monkeypatch.setattr("ratemill.sources.bronze.MAX_FOLDERS", folders)
+    for number, wave in enumerate(WAVES):
+        append_batch(ratings(wave), number, lake.bronze)
+    assert rows(read_batches(spark, lake.bronze, 0, 2)) == sorted(WAVES[1] + WAVES[2])
+    assert rows(read_batches(spark, lake.bronze, 1, 2)) == sorted(WAVES[2])
+    assert rows(read_batches(spark, lake.bronze, 2, 2)) == []
+
+
 def test_refresh_of_very_many_dates_rebuilds(lake, spark, ratings, monkeypatch):
     monkeypatch.setattr("ratemill.plans.silver.MAX_TOUCHED_DATES", 1)
     for wave in WAVES:
