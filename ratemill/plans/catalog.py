@@ -117,7 +117,19 @@ def silver_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- star schema and reports ------------------------------------------------
 
 
-def events_star(spark: SparkSession, sf_dir: str) -> Star:
+def ratings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a written table, which the star and every fit read."""
+
+    def write() -> str:
+        path = fresh_folder(spark, "ratings")
+        overwrite_table(silver(spark, sf_dir), path)
+        return path
+
+    return read_table(spark, _once(spark, sf_dir, "ratings", write))
+
+
+def raw_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star of events in one plan, from the raw messages on."""
     return build_star(
         silver(spark, sf_dir),
         fixtures.items(spark, sf_dir),
@@ -125,6 +137,15 @@ def events_star(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
+def events_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star of events over the written Silver."""
+    return build_star(
+        ratings_table(spark, sf_dir),
+        fixtures.items(spark, sf_dir),
+        fixtures.profiles(spark, sf_dir),
+    )
+
+
 def orders_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star of order lines as written tables."""
 
@@ -209,17 +230,6 @@ def validate_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- recommender ------------------------------------------------------------
 
 
-def ratings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as a written table, which every fit reads."""
-
-    def write() -> str:
-        path = fresh_folder(spark, "ratings")
-        overwrite_table(silver(spark, sf_dir), path)
-        return path
-
-    return read_table(spark, _once(spark, sf_dir, "ratings", write))
-
-
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return recommend.split_ratings(ratings_table(spark, sf_dir))
 
@@ -243,7 +253,7 @@ def full_model(spark: SparkSession, sf_dir: str) -> ALSModel:
 
 
 def train_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, test = recommend.split_ratings(silver(spark, sf_dir))
+    training, test = _split(spark, sf_dir)
     return training.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -387,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "star_check": star_check,
     "star_check_raw": star_check_raw,
     **_reports("", events_star),
+    "top_items_from_raw": _reports("", raw_star)["top_items"],
     **_reports("_large", orders_star),
     "validate": validate_submissions,
     "validate_bodies": validate_bodies,

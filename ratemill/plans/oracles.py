@@ -207,6 +207,7 @@ dates AS (
 )
 {_STAR_CHECK}""",
     **_reports("", _SILVER),
+    "top_items_from_raw": _reports("", _SILVER)["top_items"],
     **_reports("_large", _SILVER_LARGE),
     "validate": _VALIDATED,
     "validate_bodies": _VALIDATED,
