@@ -12,10 +12,30 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether the last full overwrite of a parquet table ran to its end."""
+    return "_SUCCESS" in children(spark, path)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """The same, with no overwrite of dates cut off since.
+
+    Such an overwrite removes its staging folder last.
+    """
+    names = children(spark, path)
+    staged = any(name.startswith(".spark-staging") for name in names)
+    return "_SUCCESS" in names and not staged
+
+
 def read_dated(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
 ) -> DataFrame:
-    """A table laid out by date; the stated schema also fits an empty one."""
+    """A table laid out by date; the stated schema also fits an empty one.
+
+    A table in the middle of a full overwrite is an error, not a part of it.
+    """
+    if fmt == "parquet" and not is_written(spark, path):
+        raise FileNotFoundError(f"{path} is missing or not written to its end")
     if DATE_PARTITION not in schema.fieldNames():
         schema = StructType([*schema.fields]).add(DATE_PARTITION, IntegerType())
     return spark.read.format(fmt).schema(schema).load(path).select(*schema.fieldNames())
@@ -25,17 +45,6 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether the last write of a parquet table ran to its end.
-
-    A full overwrite leaves ``_SUCCESS`` last, an overwrite of dates removes
-    its staging folder last.
-    """
-    names = children(spark, path)
-    staged = any(name.startswith(".spark-staging") for name in names)
-    return "_SUCCESS" in names and not staged
-
-
 def _by_date(df: DataFrame, fmt: str):
     # REBALANCE gathers a date into few files, and AQE splits a date that is
     # too large for one task.

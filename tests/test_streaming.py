@@ -126,6 +126,18 @@ def test_batches_are_read_alike_from_folders_and_by_filter(
     assert rows(read_batches(spark, lake.bronze, 2, 2)) == []
 
 
+def test_a_table_not_written_to_its_end_is_not_read(lake, spark, ratings, tmp_path):
+    lake.publish(ratings(WAVES[0]))
+    lake.ingest()
+    with pytest.raises(FileNotFoundError):
+        read_silver(spark, lake.silver)
+    rebuild_silver(spark, lake.bronze, lake.silver)
+    assert read_silver(spark, lake.silver).count() == 2
+    (tmp_path / "silver" / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError):
+        read_silver(spark, lake.silver)
+
+
 def test_refresh_of_very_many_dates_rebuilds(lake, spark, ratings, monkeypatch):
     monkeypatch.setattr("ratemill.plans.silver.MAX_TOUCHED_DATES", 1)
     for wave in WAVES:
