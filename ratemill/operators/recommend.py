@@ -37,15 +37,18 @@ def blocks_for(ratings: DataFrame) -> int:
     return max(MIN_BLOCKS, min(wanted, MAX_BLOCKS))
 
 
-def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> ALSModel:
+def fit_als(
+    ratings: DataFrame, seed: int = 42, blocks: int | None = None, folder: str | None = None
+) -> ALSModel:
     """Fit explicit-feedback ALS. Repeated ratings of an item stay separate rows.
 
     ``blocks`` is the parallelism of the factor blocks; by default it follows
     the number of ratings, so that factors do not depend on the cluster.
 
-    The model is written to the shared folder and read back. Its factors then
-    survive a lost executor without another fit, and come in as many parts as
-    their size asks for: scoring all pairs runs one task per pair of parts.
+    The model is written to ``folder``, replacing an earlier one there, or to a
+    fresh place in the shared folder, and read back. Its factors then survive a
+    lost executor without another fit, and come in as many parts as their size
+    asks for: scoring all pairs runs one task per pair of parts.
     """
     session = ratings.sparkSession
     ensure_checkpoints(session)
@@ -64,8 +67,8 @@ def fit_als(ratings: DataFrame, seed: int = 42, blocks: int | None = None) -> AL
         checkpointInterval=CHECKPOINT_EVERY,
         seed=seed,
     )
-    folder = fresh_folder(session, "als")
-    als.fit(ratings.select("user_id", "movie_id", "rating")).save(folder)
+    folder = folder or fresh_folder(session, "als")
+    als.fit(ratings.select("user_id", "movie_id", "rating")).write().overwrite().save(folder)
     return ALSModel.load(folder)
 
 

@@ -50,7 +50,10 @@ def read_gold(spark: SparkSession, paths: Paths) -> Star:
 def train(
     ratings: DataFrame, path: str, n: int = 5, seed: int = 42, blocks: int | None = None
 ) -> tuple[float | None, str | None]:
-    """Score a model on held-out rows, then refit on all and export top lists."""
+    """Score a model on held-out rows, then refit on all and export top lists.
+
+    Both models are kept beside the lists, until the next training.
+    """
     if ratings.isEmpty():
         return None, None
     if blocks is None:
@@ -58,9 +61,9 @@ def train(
     training, test = recommend.split_ratings(ratings)
     error = None
     if not training.isEmpty():
-        trial = recommend.fit_als(training, seed, blocks)
+        trial = recommend.fit_als(training, seed, blocks, f"{path}/trial-model")
         error = recommend.rmse(recommend.predict(trial, test)).first()["rmse"]
-    model = recommend.fit_als(ratings, seed, blocks)
+    model = recommend.fit_als(ratings, seed, blocks, f"{path}/model")
     return error, export_recommendations(recommend.recommend(model, n), path)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.schemas import RECOMMENDATIONS
-from ratemill.sources.storage import exists, numbered_children
+from ratemill.sources.storage import exists, numbered_children, remove
 
 EDITION = "edition="
 
@@ -17,12 +17,22 @@ def _editions(spark: SparkSession, path: str) -> list[int]:
     ]
 
 
-def export_recommendations(recommendations: DataFrame, path: str) -> str:
-    """Write a new edition below ``path``; readers keep the last complete one."""
+def export_recommendations(recommendations: DataFrame, path: str, keep: int = 2) -> str:
+    """Write a new edition below ``path``; readers keep the last complete one.
+
+    Afterwards the newest ``keep`` complete editions stay, so that a reader of
+    the previous one can finish, and older or unfinished ones are removed.
+    """
+    if keep < 1:
+        raise ValueError("keep at least the edition just written")
     session = recommendations.sparkSession
     started = numbered_children(session, path, EDITION)
-    target = f"{path}/{EDITION}{max(started, default=-1) + 1}"
+    number = max(started, default=-1) + 1
+    target = f"{path}/{EDITION}{number}"
     recommendations.write.json(target)
+    kept = _editions(session, path)[-keep:]
+    for old in set(started) - set(kept):
+        remove(session, f"{path}/{EDITION}{old}")
     return target
 
 

@@ -33,6 +33,12 @@ def numbered_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(tail) for tail in tails if tail.isdigit())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, named by ``spark.checkpoint.dir``.
 

@@ -108,6 +108,18 @@ def test_export_and_read(spark, tmp_path):
     assert export_recommendations(lists, path).endswith("edition=2")
 
 
+def test_old_editions_are_removed(spark, tmp_path):
+    path, lists = str(tmp_path / "lists"), _lists(spark)
+    for _ in range(4):
+        export_recommendations(lists, path)
+    assert sorted(p.name for p in (tmp_path / "lists").iterdir()) == ["edition=2", "edition=3"]
+    (tmp_path / "lists" / "edition=3" / "_SUCCESS").unlink()
+    export_recommendations(lists, path, keep=1)
+    assert [p.name for p in (tmp_path / "lists").iterdir()] == ["edition=4"]
+    with pytest.raises(ValueError):
+        export_recommendations(lists, path, keep=0)
+
+
 def test_lookup(spark):
     users = spark.createDataFrame([(1,), (1,), (5,)], "user_id int")
     found = {row["user_id"]: row for row in serve.lookup(_lists(spark), users).collect()}

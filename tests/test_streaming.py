@@ -216,6 +216,8 @@ def test_cycles(lake, spark, ratings, tmp_path):
     assert star.fact_ratings.count() == read_silver(spark, paths.silver).count() == 5
     assert star.dim_date.count() == 3
     assert read_recommendations(spark, paths.recommendations).count() == 4
+    kept = {path.name for path in (tmp_path / "recommendations").iterdir()}
+    assert kept == {"edition=1", "edition=2", "model", "trial-model"}
 
 
 def test_stream_with_a_cycle_per_batch(lake, spark, ratings, tmp_path):
