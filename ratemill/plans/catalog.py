@@ -21,9 +21,6 @@ from ratemill.streaming.bronze import write_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Factors depend on the number of blocks, so the queries state one.
-ALS_BLOCKS = 10
-
 _kept: dict[tuple, object] = {}
 
 
@@ -235,20 +232,16 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def trial_model(spark: SparkSession, sf_dir: str) -> ALSModel:
-    return _once(
-        spark,
-        sf_dir,
-        "trial model",
-        lambda: recommend.fit_als(_split(spark, sf_dir)[0], blocks=ALS_BLOCKS),
-    )
+    def fit() -> ALSModel:
+        blocks = recommend.blocks_for(ratings_table(spark, sf_dir))
+        return recommend.fit_als(_split(spark, sf_dir)[0], blocks=blocks)
+
+    return _once(spark, sf_dir, "trial model", fit)
 
 
 def full_model(spark: SparkSession, sf_dir: str) -> ALSModel:
     return _once(
-        spark,
-        sf_dir,
-        "full model",
-        lambda: recommend.fit_als(ratings_table(spark, sf_dir), blocks=ALS_BLOCKS),
+        spark, sf_dir, "full model", lambda: recommend.fit_als(ratings_table(spark, sf_dir))
     )
 
 
@@ -343,13 +336,8 @@ def run_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = cycle.Paths(
         _bronze(spark, sf_dir), f"{base}/silver", f"{base}/gold", f"{base}/recommendations"
     )
-    cycle.run_cycle(
-        spark,
-        paths,
-        fixtures.items(spark, sf_dir),
-        fixtures.profiles(spark, sf_dir),
-        blocks=ALS_BLOCKS,
-    )
+    items, profiles = fixtures.items(spark, sf_dir), fixtures.profiles(spark, sf_dir)
+    cycle.run_cycle(spark, paths, items, profiles)
     tables = {
         "bronze": read_bronze(spark, paths.bronze),
         "silver": read_silver(spark, paths.silver),
