@@ -16,6 +16,7 @@ def unit_hash(*columns: Column) -> Column:
 
 def hash_bound(share: float) -> str:
     """Upper bound, exclusive, that a ``share`` of the hashes lies below."""
-    if not 0 < share < 1:
+    bound = round(share * HASH_SPACE)
+    if not 0 < bound < HASH_SPACE:
         raise ValueError("share must lie between 0 and 1")
-    return f"{round(share * HASH_SPACE):08x}"
+    return f"{bound:08x}"

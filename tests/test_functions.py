@@ -96,5 +96,6 @@ def test_hash_share(spark):
         .first()["x"]
     )
     assert abs(share - 0.8) < 0.01
-    with pytest.raises(ValueError):
-        hashing.hash_bound(1.0)
+    for impossible in (-0.1, 0.0, 1e-12, 1 - 1e-12, 1.0, 1.5):
+        with pytest.raises(ValueError):
+            hashing.hash_bound(impossible)
