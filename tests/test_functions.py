@@ -51,7 +51,8 @@ def test_date_parts(spark):
 
 @pytest.mark.parametrize(
     "rating, percent",
-    [(5.0, 100), (5.01, 100), (5.05, 99), (9.0, 99), (0.0, 0), (-1.0, -20), (4.6081, 92), (None, None)],
+    [(5.0, 100), (5.01, 100), (5.05, 99), (9.0, 99), (0.0, 0), (-1.0, -20), (4.6081, 92),
+     (1e300, 99), (-1e300, None), (None, None)],
 )
 def test_match_percent(spark, rating, percent):
     assert value(spark, numbers.match_percent(F.lit(rating).cast("double"))) == percent
