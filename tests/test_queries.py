@@ -5,9 +5,9 @@ from conftest import SF_DIR
 from oracle import compare, duck
 
 import __spark_entry__ as driver
+from ratemill.plans.catalog import QUERIES
+from ratemill.plans.oracles import ORACLES
 
-ORACLES = driver.oracle_sql()
-QUERIES = driver.queries()
 WITHOUT_SQL = {"predictions", "rmse", "recommendations", "rec_enriched"}
 
 
@@ -21,6 +21,11 @@ def test_only_model_output_lacks_sql():
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLES.items() <= driver.oracle_sql().items()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, connection, name):
     assert compare(QUERIES[name](spark, SF_DIR), connection, ORACLES[name]) == ""
