@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import simhash
-from ratemill.llm.tables import read
+from ratemill.llm import chat, decontaminate, kdtree, simhash
+from ratemill.llm.tables import digest_of, read
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +15,142 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10
+    )
+    n_hit = F.size("positions").cast("long")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        digest_of(F.col("items")).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(1).select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(-7).cast("long").alias("conv_id"),
+                        F.lit(turn).cast("long").alias("turn"),
+                        F.lit(role).alias("role"),
+                        F.lit(said).alias("text"),
+                    )
+                    for turn, role in enumerate(("user", "assistant"))
+                ]
+            )
+        ).alias("row")
+    )
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.format_examples(turns.union(extra.select("row.*"))))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_exact_topk": op9_exact_topk,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": r"""
+        WITH doc_words AS (
+            SELECT doc_id, row_number() OVER () AS number, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark
+        ), cuts AS (
+            SELECT item_id, words, least(len(words), 10) AS n,
+                   unnest(range(len(words) - least(len(words), 10) + 1)) AS pos
+            FROM items WHERE len(words) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(words[pos + 1 : pos + n], ' ') AS words FROM cuts
+        ), places AS (
+            SELECT number, words, n, unnest(range(len(words) - n + 1)) AS pos
+            FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n
+        ), hits AS (
+            SELECT number, pos, p.n, item_id
+            FROM places p JOIN windows w
+              ON w.n = p.n AND w.words = array_to_string(p.words[pos + 1 : pos + p.n], ' ')
+        ), covered AS (
+            SELECT number, count(DISTINCT word) AS n_hit
+            FROM (SELECT number, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY number
+        ), named AS (
+            SELECT number, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS item_list
+            FROM (SELECT DISTINCT number, item_id::VARCHAR AS item FROM hits) GROUP BY number
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words LEFT JOIN covered USING (number) LEFT JOIN named USING (number)
+    """,
+    "op9_exact_topk": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op10_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL VALUES
+                (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+        ), pieces AS (
+            SELECT *,
+                   4 + length(replace(replace(replace(replace(
+                       role, '\', '\b'), '### ', '\h'), '</turn>', '\e'), ':', '\c'))
+                   + 2 + length(replace(replace(replace(
+                       text, '\', '\b'), '### ', '\h'), '</turn>', '\e')) + 8 AS n_chars,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS number
+            FROM turns
+        ), sums AS (
+            SELECT *,
+                   sum(n_chars) OVER (PARTITION BY conv_id ORDER BY number) AS so_far,
+                   max(number) OVER (PARTITION BY conv_id) AS last
+            FROM pieces
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY number)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY number) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               (sum(so_far) FILTER (role = 'assistant' OR number = last))::BIGINT AS formatted_chars
+        FROM sums GROUP BY conv_id
+    """,
+}
