@@ -74,38 +74,48 @@ def benchmark_windows(
     return Windows(table, sorted(row["length"] for row in sizes), sum(row["count"] for row in sizes))
 
 
-def _in_set(windows: Windows, words: Column, hashes: Column) -> Column:
-    """Verified windows of a text, by the hash set sent with the plan."""
-    rows = windows.table.select(
-        "length", "window", _window_hash(windows.lengths).alias("hash")
-    ).collect()  # SET_WINDOWS rows at most
-    found = []
-    for length in windows.lengths:
-        known = [row for row in rows if row["length"] == length]
-        found.append(_verified(words, hashes, length, known))
-    return F.concat(*found)
+def _probe_at(hashes: Column, at: Column, length: int) -> Column:
+    """Hash of the first, middle and last word only: a cheap test that lets few by."""
+    return F.xxhash64(*[F.get(hashes, at + i) for i in sorted({0, length // 2, length - 1})])
 
 
-def _verified(words: Column, hashes: Column, length: int, known: list) -> Column:
-    keys, texts = [row["hash"] for row in known], [row["window"] for row in known]
+def _in_set(windows: Windows, words: str, hashes: str) -> Column:
+    """Verified windows of a text, by the hash sets sent with the plan.
 
-    def hit(at: Column) -> Column:
-        return _hash_at(hashes, at, length).isin(keys) & _words_at(words, at, length).isin(texts)
-
-    def named(at: Column) -> Column:
-        return F.struct(
-            at.alias("at"), F.lit(length).alias("length"), _words_at(words, at, length).alias("window")
+    The sets are written into an IN list, which Spark turns into a hash set. Words
+    hold no ASCII character but letters and digits, so that they need no quoting.
+    """
+    probes = _by_length(windows.lengths, _probe_at)
+    full = _by_length(windows.lengths, _hash_at)
+    rows = windows.table.select("length", "window", probes.alias("probe"), full.alias("hash"))
+    known = rows.collect()  # SET_WINDOWS rows at most
+    found = []
+    for length in windows.lengths:
+        own = [row for row in known if row["length"] == length]
+        at = [f"get({hashes}, at + {i})" for i in range(length)]
+        probe = ", ".join(at[i] for i in sorted({0, length // 2, length - 1}))
+        window = f"array_join(slice({words}, at + 1, {length}), ' ')"
+        starts = f"sequence(0, greatest(size({words}) - {length}, 0))"
+        found.append(
+            f"transform(filter(if(size({words}) < {length}, array(), {starts}), at ->"
+            f" xxhash64({probe}) IN ({_listed({row['probe'] for row in own})})"
+            f" AND xxhash64({', '.join(at)}) IN ({_listed({row['hash'] for row in own})})"
+            f" AND array_contains(split('{'|'.join(row['window'] for row in own)}', '[|]'), {window})),"
+            f" at -> named_struct('at', at, 'length', {length}, 'window', {window}))"
         )
+    return F.expr(f"concat({', '.join(found)})")
+
 
-    return F.transform(F.filter(_starts(words, length), hit), named)
+def _listed(keys: set[int]) -> str:
+    return ", ".join(f"bigint('{key}')" if key == -(2**63) else f"{key}L" for key in sorted(keys))
 
 
-def _window_hash(lengths: list[int]) -> Column:
+def _by_length(lengths: list[int], hash_at) -> Column:
     hashes = _hashed(F.split("window", " "))
-    by_length = F.lit(None).cast("long")
+    chosen = F.lit(None).cast("long")
     for length in lengths:
-        by_length = F.when(F.col("length") == length, _hash_at(hashes, F.lit(0), length)).otherwise(by_length)
-    return by_length
+        chosen = F.when(F.col("length") == length, hash_at(hashes, F.lit(0), length)).otherwise(chosen)
+    return chosen
 
 
 def _hashed_places(words: Column, hashes: Column, length: int) -> Column:
@@ -123,7 +133,7 @@ def _by_join(docs: DataFrame, windows: Windows, text: str, hits: str) -> DataFra
     keyed = with_row_key(docs, file, row)
     cut = keyed.select(file, row, words_of(F.col(text)).alias(words)).withColumn(hashes, _hashed(F.col(words)))
     places = F.concat(*[_hashed_places(F.col(words), F.col(hashes), n) for n in windows.lengths])
-    known = windows.table.select("length", _window_hash(windows.lengths).alias("hash")).distinct()
+    known = windows.table.select("length", _by_length(windows.lengths, _hash_at).alias("hash")).distinct()
     met = (
         cut.select(file, row, F.inline(places))
         .join(known, ["length", "hash"], "left_semi")
@@ -155,7 +165,7 @@ def find_windows(docs: DataFrame, windows: Windows, text: str, hits: str, set_wi
     hashed = with_words.withColumn(hashes, _hashed(F.col(words)))
     return hashed.select(
         *docs.columns,
-        _in_set(windows, F.col(words), F.col(hashes)).alias(hits),
+        _in_set(windows, words, hashes).alias(hits),
         F.size(words).alias(f"{hits}_words"),
     )
 

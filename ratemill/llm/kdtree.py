@@ -194,7 +194,9 @@ def top_k(
         copies = _each(blocks).alias("block")
         groups = ["length", "shard", "block"]
         left = vectors.select("length", "shard", copies, "vec_id", "file", "row", "v")
-        right = asked.select(*groups, "vec_id", "file", "row", "v", "kth")
+        right = asked.select(
+            *[F.col(c).alias(c) for c in (*groups, "vec_id", "file", "row", "v", "kth")]
+        )  # columns of its own, as both sides come from one table
         return (
             left.groupBy(*groups)
             .cogroup(right.groupBy(*groups))

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import chat, decontaminate, kdtree, simhash
+from ratemill.llm import chat, decontaminate, kdtree, lines, secrets, simhash
 from ratemill.llm.tables import digest_of, read
+from ratemill.sources.storage import fresh_folder
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,40 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spans(findings, kinds: tuple[str, ...]):
+    """Texts kind:start:end of the findings of some kinds, which are in order."""
+    chosen = F.filter(findings, lambda f: f["rule"].isin(*kinds))
+    return F.transform(chosen, lambda f: F.concat_ws(":", f["rule"], f["start"], f["end"]))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_versions(
+        read(spark, sf_dir, "documents"), fresh_folder(spark, "llm-ledger"), keys=("doc_id",)
+    )
+    base = tuple(rule.name for rule in secrets.BASE_RULES)
+    every = tuple(rule.name for rule in secrets.RULES)
+    counts = [
+        F.size(_spans(F.col("findings"), (kind,))).cast("long").alias(f"n_{kind}") for kind in base
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        digest_of(_spans(F.col("findings"), base)).alias("base_sha256"),
+        F.array_join(_spans(F.col("findings"), every), ",").alias("spans"),
+    )
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    return lines.deduplicate(docs, covered="covered").select(
+        "doc_id",
+        F.size(lines.lines_of(F.col("before"))).cast("long").alias("n_lines"),
+        F.size("covered").cast("long").alias("n_removed"),
+        F.char_length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10
@@ -66,12 +101,71 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_secrets": op2_secrets,
+    "op6_line_dedup": op6_line_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_topk": op9_exact_topk,
     "op10_chat_format": op10_chat_format,
 }
 
+
+def _secret_sql() -> str:
+    parts = [
+        f"""
+        SELECT number, {at} AS rank, '{rule.name}' AS kind,
+               (sum(length(before) + length(found)) OVER (PARTITION BY number ORDER BY place))::BIGINT AS stop,
+               stop - length(found) AS start, length(tested) >= {rule.least} AS counts
+        FROM (
+            SELECT number, unnest(range(len(founds))) AS place, unnest(befores[: len(founds)]) AS before,
+                   unnest(founds) AS found, unnest(testeds) AS tested
+            FROM (
+                SELECT number, string_split_regex(text, '{pattern}') AS befores,
+                       regexp_extract_all(text, '{pattern}') AS founds,
+                       regexp_extract_all(text, '{pattern}', {rule.group}) AS testeds
+                FROM docs
+            )
+        )"""
+        for at, rule in enumerate(secrets.RULES)
+        for pattern in [rule.pattern.replace("'", "''")]
+    ]
+    counts = ", ".join(
+        f"count(*) FILTER (kind = '{rule.name}') AS n_{rule.name}" for rule in secrets.BASE_RULES
+    )
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS number, doc_id, coalesce(text, '') AS text FROM documents),
+        spans AS (SELECT * FROM ({" UNION ALL ".join(parts)}) WHERE counts)
+        SELECT doc_id, {counts},
+               sha256(coalesce({listed} FILTER (rank < {len(secrets.BASE_RULES)}), '')) AS base_sha256,
+               coalesce({listed}, '') AS spans
+        FROM docs LEFT JOIN spans USING (number) GROUP BY number, doc_id
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op2_secrets": _secret_sql(),
+    "op6_line_dedup": """
+        WITH docs AS (
+            SELECT doc_id, text, coalesce(string_split(text, chr(10)), []) AS lines,
+                   row_number() OVER () AS number
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, number, pos, array_to_string(lines[pos + 1 : pos + 3], chr(10)) AS words
+            FROM (SELECT *, unnest(range(len(lines) - 2)) AS pos FROM docs WHERE len(lines) >= 3)
+        ), later AS (
+            SELECT number, pos FROM windows
+            QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, number, pos) > 1
+        ), gone AS (
+            SELECT number, list(DISTINCT line) AS covered
+            FROM (SELECT number, unnest(range(pos, pos + 3)) AS line FROM later) GROUP BY number
+        ), kept AS (
+            SELECT doc_id, len(lines) AS n_lines, coalesce(len(covered), 0) AS n_removed,
+                   CASE WHEN covered IS NULL THEN text ELSE array_to_string(
+                       list_filter(lines, lambda line, i: NOT list_contains(covered, i - 1)), chr(10)) END AS kept
+            FROM docs LEFT JOIN gone USING (number)
+        )
+        SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM kept
+    """,
     "op8_decontaminate": r"""
         WITH doc_words AS (
             SELECT doc_id, row_number() OVER () AS number, regexp_extract_all(
