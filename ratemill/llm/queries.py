@@ -1,8 +1,11 @@
 """Registered queries of the subpackage: thin digests of what the operators give."""
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import chat, decontaminate, kdtree, lines, secrets, simhash
+from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, secret_scan, simhash
 from ratemill.llm.tables import digest_of, read
 from ratemill.sources.storage import fresh_folder
 
@@ -23,11 +26,11 @@ def _spans(findings, kinds: tuple[str, ...]):
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_versions(
+    found = secret_scan.scan_versions(
         read(spark, sf_dir, "documents"), fresh_folder(spark, "llm-ledger"), keys=("doc_id",)
     )
-    base = tuple(rule.name for rule in secrets.BASE_RULES)
-    every = tuple(rule.name for rule in secrets.RULES)
+    base = tuple(rule.name for rule in secret_scan.BASE_RULES)
+    every = tuple(rule.name for rule in secret_scan.RULES)
     counts = [
         F.size(_spans(F.col("findings"), (kind,))).cast("long").alias(f"n_{kind}") for kind in base
     ]
@@ -39,6 +42,16 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> bpe.Vocabulary:
+    """A public vocabulary file, read by the driver and sent to the tasks."""
+    content = Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+    return bpe.Vocabulary.from_json(content, public_tokenizers.PATTERN)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(read(spark, sf_dir, "documents"), vocabulary())
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
     return lines.deduplicate(docs, covered="covered").select(
@@ -102,6 +115,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secrets": op2_secrets,
+    "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_topk": op9_exact_topk,
@@ -125,18 +139,18 @@ def _secret_sql() -> str:
                 FROM docs
             )
         )"""
-        for at, rule in enumerate(secrets.RULES)
+        for at, rule in enumerate(secret_scan.RULES)
         for pattern in [rule.pattern.replace("'", "''")]
     ]
     counts = ", ".join(
-        f"count(*) FILTER (kind = '{rule.name}') AS n_{rule.name}" for rule in secrets.BASE_RULES
+        f"count(*) FILTER (kind = '{rule.name}') AS n_{rule.name}" for rule in secret_scan.BASE_RULES
     )
     listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
     return f"""
         WITH docs AS (SELECT row_number() OVER () AS number, doc_id, coalesce(text, '') AS text FROM documents),
         spans AS (SELECT * FROM ({" UNION ALL ".join(parts)}) WHERE counts)
         SELECT doc_id, {counts},
-               sha256(coalesce({listed} FILTER (rank < {len(secrets.BASE_RULES)}), '')) AS base_sha256,
+               sha256(coalesce({listed} FILTER (rank < {len(secret_scan.BASE_RULES)}), '')) AS base_sha256,
                coalesce({listed}, '') AS spans
         FROM docs LEFT JOIN spans USING (number) GROUP BY number, doc_id
     """
