@@ -5,7 +5,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, secret_scan, simhash
+from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, quality, secret_scan, simhash
 from ratemill.llm.tables import digest_of, read
 from ratemill.sources.storage import fresh_folder
 
@@ -63,6 +63,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10
@@ -117,6 +122,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_topk": op9_exact_topk,
     "op10_chat_format": op10_chat_format,
