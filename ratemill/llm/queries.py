@@ -5,7 +5,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, quality, secret_scan, simhash
+from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, pii, quality, secret_scan, simhash
 from ratemill.llm.tables import digest_of, read
 from ratemill.sources.storage import fresh_folder
 
@@ -42,6 +42,29 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ranked(rank: int):
+    return lambda span: span["rank"] == rank
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, pii.KINDS))
+
+    def listed(spans: str):
+        return F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"], s["end"]))
+
+    counts = [
+        F.size(F.filter("base", _ranked(at))).cast("long").alias(f"n_{kind}")
+        for at, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        digest_of(listed("base")).alias("base_sha256"),
+        F.array_join(listed("spans"), ",").alias("spans"),
+    )
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> bpe.Vocabulary:
     """A public vocabulary file, read by the driver and sent to the tasks."""
     content = Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
@@ -120,6 +143,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secrets": op2_secrets,
+    "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
