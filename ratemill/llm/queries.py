@@ -5,7 +5,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import bpe, chat, decontaminate, kdtree, lines, pii, quality, secret_scan, simhash
+from ratemill.llm import bpe, chat, decontaminate, kdtree, licences, lines, pii, quality, secret_scan, simhash
 from ratemill.llm.tables import digest_of, read
 from ratemill.sources.storage import fresh_folder
 
@@ -65,6 +65,21 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.licences(read(spark, sf_dir, "documents"))
+    confirmed = F.filter("found", lambda f: f["confirmed"])
+    return found.select(
+        "doc_id",
+        F.col("n_paragraphs").cast("long").alias("n_paragraphs"),
+        F.size("found").cast("long").alias("n_predicted"),
+        F.size(confirmed).cast("long").alias("n_confirmed"),
+        F.array_join(licences.confirmed_families(F.col("found")), ",").alias("families"),
+        F.array_join(
+            F.transform(confirmed, lambda f: F.concat_ws(":", f["family"], f["paragraph"])), ","
+        ).alias("places"),
+    )
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> bpe.Vocabulary:
     """A public vocabulary file, read by the driver and sent to the tasks."""
     content = Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
@@ -144,6 +159,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secrets": op2_secrets,
     "op3_pii": op3_pii,
+    "op4_licences": op4_licences,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality": op7_quality,
