@@ -160,10 +160,14 @@ def find_windows(docs: DataFrame, windows: Windows, text: str, hits: str, set_wi
         return docs.withColumns({hits: none, f"{hits}_words": F.size(words_of(F.col(text)))})
     if windows.count > set_windows:
         return _by_join(docs, windows, text, hits)
-    words, hashes = unused(docs, "words", "hashes")
+    words, hashes, number = unused(docs, "words", "hashes", "number")
     with_words = docs.withColumn(words, words_of(F.col(text)))
-    hashed = with_words.withColumn(hashes, _hashed(F.col(words)))
-    return hashed.select(
+    hashed = with_words.withColumns(
+        {hashes: _hashed(F.col(words)), number: F.monotonically_increasing_id()}
+    )
+    # The number keeps filters above this step: below, they would cut and hash the
+    # text again for every window.
+    return hashed.where(F.col(number) >= 0).select(
         *docs.columns,
         _in_set(windows, words, hashes).alias(hits),
         F.size(words).alias(f"{hits}_words"),
