@@ -143,22 +143,38 @@ class Vocabulary:
                 right = self._halves[right][0]
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        longest: list[int | None] = [None] * len(piece)
-        best = [0] * len(piece)
-        for end, (length, at) in self._automaton.iter(piece.decode("latin-1")):
-            start = end - length + 1
-            if length > best[start]:
-                best[start], longest[start] = length, at
+        """The encoding of a piece. Tokens that are pairwise compatible are the only
+        such ones, so if the longest matches in a row are, nothing is left to try."""
+        letters = piece.decode("latin-1")
+        row = [at for _, (_, at) in self._automaton.iter_long(letters)]
+        known, decide = self._compatible.get, self.compatible
+        for number, pair in enumerate(zip(row, row[1:]), 1):
+            fits = known(pair)
+            if fits is None:
+                fits = decide(*pair)
+            if not fits:
+                return self._backtrack(letters, row, number)
+        return row
+
+    def _backtrack(self, letters: str, row: list[int], number: int) -> list[int]:
+        """Go on from the first ``number`` tokens of ``row``, longest matches in a row."""
         tokens, shorter, compatible = self.tokens, self._shorter, self.compatible
-        open_at = bytearray(b"\1") * (len(piece) + 1)
-        found: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(piece):
+        longest, start = {}, 0
+        for found in row:
+            longest[start] = found
+            start += len(tokens[found])
+        found, token = row[:number], row[number]
+        at = sum(len(tokens[before]) for before in found)
+        open_at = bytearray(b"\1") * (len(letters) + 1)
+        while at < len(letters):
             end = at + len(tokens[token])
             if open_at[end] and (not found or compatible(found[-1], token)):
                 found.append(token)
                 at = end
-                token = longest[at] if at < len(piece) else None
+                token = longest.get(at)
+                if token is None and at < len(letters):
+                    _, (_, token) = next(self._automaton.iter_long(letters, at))
+                    longest[at] = token
             elif token in shorter:
                 token = shorter[token]
             else:
