@@ -18,20 +18,26 @@ def lines_of(text: Column) -> Column:
     return F.coalesce(F.split(text, "\n", -1), F.array().cast("array<string>"))
 
 
-def _windows(lines: Column, window: int) -> Column:
-    """Two independent 64-bit hashes of every window: with one alone, some of 10^11
+def _line_hashes(lines: Column) -> dict[str, Column]:
+    """Two independent 64-bit hashes of every line: with one alone, some of 10^11
     different windows would count as equal."""
-    last = F.size(lines) - window
+    return {
+        "line_one": F.transform(lines, lambda line: F.xxhash64(line)),
+        "line_two": F.transform(lines, lambda line: F.xxhash64(F.lit("line"), line)),
+    }
+
+
+def _windows(window: int) -> Column:
+    """Hashes of every window, from the columns of line hashes."""
+    last = F.size("line_one") - window
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(
         F.array().cast("array<int>")
     )
-    one = F.transform(lines, lambda line: F.xxhash64(line))
-    two = F.transform(lines, lambda line: F.xxhash64(F.lit(window), F.reverse(line)))
 
     def hashes(at: Column) -> Column:
         return F.struct(
-            F.xxhash64(*[F.get(one, at + i) for i in range(window)]).alias("one"),
-            F.xxhash64(*[F.get(two, at + i) for i in range(window)]).alias("two"),
+            F.xxhash64(*[F.get("line_one", at + i) for i in range(window)]).alias("one"),
+            F.xxhash64(*[F.get("line_two", at + i) for i in range(window)]).alias("two"),
         )
 
     return F.transform(starts, hashes)
@@ -44,7 +50,8 @@ def _covered(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
         docs.select(
             F.col(doc_id).alias("doc_id"), "file", "row", lines_of(F.col(text)).alias("lines")
         )
-        .select("doc_id", "file", "row", F.posexplode(_windows(F.col("lines"), window)).alias("at", "hash"))
+        .withColumns(_line_hashes(F.col("lines")))
+        .select("doc_id", "file", "row", F.posexplode(_windows(window)).alias("at", "hash"))
         .select("doc_id", "file", "row", "at", "hash.one", "hash.two"),
         "windows",
     ).withColumn("place", place)
