@@ -44,11 +44,11 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-LEDGER = "blob_id string, rule string, rule_version int, spans array<struct<start:int,end:int>>"
+LEDGER = "blob_id binary, rule string, rule_version int, spans array<struct<start:int,end:int>>"
 
 
 def blob_of(text: Column) -> Column:
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def _pieces(text: Column, rules: tuple[Rule, ...], missing: Column) -> Column:
@@ -70,49 +70,43 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows for ``blobs`` of (blob_id, text, missing), missing: names of rules."""
     least = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.least)])
     versions = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.version)])
-    cut = blobs.select("blob_id", "missing", _pieces(F.col("text"), rules, F.col("missing")).alias("pieces"))
+    pieces = _pieces(F.col("text"), rules, F.col("missing"))
+
+    def lengths(match: Column) -> Column:
+        return F.struct(*[F.char_length(match[name]).alias(name) for name in ("before", "found", "tested")])
+
+    def measured(piece: Column) -> Column:
+        return F.struct(piece["rule"].alias("rule"), F.transform(piece["matches"], lengths).alias("matches"))
+
     cut = written(
-        cut.select(
-            "blob_id",
-            "missing",
-            F.transform(
-                "pieces",
-                lambda piece: F.struct(
-                    piece["rule"].alias("rule"),
-                    F.transform(
-                        piece["matches"],
-                        lambda m: F.struct(
-                            F.char_length(m["before"]).alias("before"),
-                            F.char_length(m["found"]).alias("length"),
-                            F.char_length(m["tested"]).alias("tested"),
-                        ),
-                    ).alias("matches"),
-                ),
-            ).alias("pieces"),
+        blobs.select("blob_id", "missing", pieces.alias("pieces")).select(
+            "blob_id", "missing", F.transform("pieces", measured).alias("pieces")
         ),
         "matches",
     )
+    found_in = F.transform("pieces", lambda piece: piece["rule"])
+    nothing = cut.select("blob_id", F.explode(F.array_except("missing", found_in)).alias("rule")).withColumn(
+        "spans", F.array().cast("array<struct<start:int,end:int>>")
+    )
     placed = (
         cut.select("blob_id", F.inline("pieces"))
         .select("blob_id", "rule", F.posexplode("matches").alias("number", "match"))
-        .where("match.length is not null")
+        .where("match.found is not null")
     )
     # The end of a match is the sum of all lengths up to it.
-    ends = F.expr(
-        "sum(match.before + match.length) over (partition by blob_id, rule order by number)"
-    )
+    end = F.expr("int(sum(match.before + match.found) over (partition by blob_id, rule order by number))")
+    span = F.expr("struct(end - match.found as start, end)")
     spans = (
-        placed.select("blob_id", "rule", "match", ends.cast("int").alias("end"))
-        .where(F.col("match.tested") >= least[F.col("rule")])
+        placed.select("blob_id", "rule", "match", end.alias("end"))
         .groupBy("blob_id", "rule")
-        .agg(F.sort_array(F.collect_list(F.expr("struct(end - match.length as start, end)"))).alias("spans"))
+        .agg(
+            F.sort_array(
+                F.collect_list(F.when(F.col("match.tested") >= least[F.col("rule")], span))
+            ).alias("spans")
+        )
     )
-    pairs = cut.select("blob_id", F.explode("missing").alias("rule"))
-    return pairs.join(spans, ["blob_id", "rule"], "left").select(
-        "blob_id",
-        "rule",
-        versions[F.col("rule")].alias("rule_version"),
-        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+    return nothing.union(spans).select(
+        "blob_id", "rule", versions[F.col("rule")].alias("rule_version"), "spans"
     )
 
 
@@ -142,12 +136,16 @@ def scan_versions(
     listed = versions.select(*keys, blob_of(F.col(text)).alias("blob_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     paths = written(listed.drop("text"), "paths")
     current = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("rule_version")) for r in rules])
-    pairs = paths.select("blob_id").distinct().select("blob_id", F.inline(current))
-    known = read_ledger(spark, ledger).select("blob_id", "rule", "rule_version")
-    missing = (
-        pairs.join(known, ["blob_id", "rule", "rule_version"], "left_anti")
+    known = (
+        read_ledger(spark, ledger)
         .groupBy("blob_id")
-        .agg(F.collect_set("rule").alias("missing"))
+        .agg(F.collect_set(F.struct("rule", "rule_version")).alias("known"))
+    )
+    unseen = F.array_except(current, F.coalesce("known", F.array().cast("array<struct<rule:string,rule_version:int>>")))
+    missing = (
+        paths.select("blob_id").distinct().join(known, "blob_id", "left")
+        .select("blob_id", unseen["rule"].alias("missing"))
+        .where(F.size("missing") > 0)
     )
     # Copies of a blob are one row per task before the shuffle.
     texts = listed.groupBy("blob_id").agg(F.first("text").alias("text"))

@@ -1,0 +1,191 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables, odd columns."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratemill.llm import bpe, chat, decontaminate, kdtree, licences, lines, pii, quality, secret_scan, simhash
+from ratemill.llm.queries import vocabulary
+from ratemill.llm.tables import with_row_key
+
+#: Columns named like those the operators use inside.
+CLASHING = ["file", "row", "words", "hashes", "hits", "number", "score", "rank", "fp", "found", "label", "item", "trusted"]
+DOCS = "doc_id long, text string, " + ", ".join(f"{name} string" for name in CLASHING)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    def make(rows):
+        return spark.createDataFrame([(*row, *CLASHING) for row in rows], DOCS)
+
+    return make
+
+
+LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+ROWS = [(1, None), (2, ""), (None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (4, LONG), (5, "\n\n \n"), (6, "x" * 50_000)]
+
+
+def by_id(df, *columns):
+    return sorted(((r["doc_id"], *(r[c] for c in columns)) for r in df.collect()), key=str)
+
+
+def test_simhash(table):
+    found = by_id(simhash.near_duplicates(table(ROWS)), "fp", "component")
+    assert len(found) == len(ROWS)
+    components = {(d, f): c for d, f, c in found}
+    assert components[1, 0] == components[2, 0] == components[5, 0] == 1
+    assert len({c for (d, f), c in components.items() if d in (3, None)}) == 1
+    kept = simhash.keep_one_of_each(table(ROWS))
+    assert kept.columns == table(ROWS).columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 6]
+    assert simhash.near_duplicates(table([])).count() == simhash.keep_one_of_each(table([])).count() == 0
+    assert [r["text"] for r in simhash.keep_one_of_each(table([(None, "a"), (None, "a")])).collect()] == ["a"]
+
+
+def test_secrets(spark, table, tmp_path):
+    rows = [*ROWS, (7, "token: abcdefghé AKIA0123456789AB"), (8, "\U0001f986 password=12345678"), (9, "token=ab secret='12345678'")]
+    ledger = str(tmp_path / "ledger")
+    found = by_id(secret_scan.scan_versions(table(rows), ledger, keys=("doc_id",)), "findings")
+    spans = {d: [(f["rule"], f["start"], f["end"]) for f in fs] for d, fs in found}
+    assert spans[7] == [("assign", 0, 15), ("access", 17, 33)]
+    assert spans[8] == [("assign", 2, 19)] and spans[9] == [("assign", 9, 25)]
+    assert len(found) == len(rows) and not spans[1] and not spans[4]
+    assert secret_scan.scan_versions(table([]), str(tmp_path / "none"), keys=("doc_id",)).isEmpty()
+
+
+def test_ledger_scans_new_pairs_only(spark, table, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    versions = "path string, version int, text string"
+    first = spark.createDataFrame([("a", 1, "token=12345678"), ("b", 1, "token=12345678"), ("c", 1, "x")], versions)
+    assert [len(r["findings"]) for r in secret_scan.scan_versions(first, ledger).orderBy("path").collect()] == [1, 1, 0]
+    rows = secret_scan.read_ledger(spark, ledger).count()
+    assert rows == 2 * len(secret_scan.RULES)
+    again = secret_scan.scan_versions(first, ledger)
+    assert again.count() == 3 and secret_scan.read_ledger(spark, ledger).count() == rows
+    history = first.union(spark.createDataFrame([("c", 2, "AKIA0123456789AB")], versions))
+    found = {(r["path"], r["version"]): len(r["findings"]) for r in secret_scan.scan_versions(history, ledger).collect()}
+    assert found == {("a", 1): 1, ("b", 1): 1, ("c", 1): 0, ("c", 2): 1}
+    assert secret_scan.read_ledger(spark, ledger).count() == rows + len(secret_scan.RULES)
+    newer = (secret_scan.Rule("assign", r"token=[0-9]+", least=1, version=2),)
+    secret_scan.scan_versions(history, ledger, newer).collect()
+    assert secret_scan.read_ledger(spark, ledger).count() == rows + len(secret_scan.RULES) + 3
+
+
+def test_pii(table):
+    text = "\U0001f986 a.b@c.de 1.2.3.4 256.1.1.1 x 4111 1111 1111 1111 +1 (555) 123-4567 @x.y a@b"
+    rows = [*ROWS, (7, text), (8, "@" * 20_000 + "a" * 50_000 + "9" * 50_000)]
+    found = dict(by_id(pii.find(table(rows)), "base"))
+    assert [(s["rank"], s["start"], s["end"]) for s in found[7]] == [(0, 2, 10), (1, 11, 18), (2, 31, 50), (3, 51, 68)]
+    assert found[8] == found[1] == found[4] == []
+    assert pii.find(table([])).count() == 0
+    assert pii.find(table(rows)).count() == len(rows)
+
+
+def test_licences(table):
+    text = "intro\nReleased under the MIT License.\n\nAll rights reserved."
+    found = dict(by_id(licences.licences(table([*ROWS, (7, text), (8, "the license of the version")])), "found"))
+    assert [(f["paragraph"], f["family"], f["confirmed"]) for f in found[7]] == [(1, "mit", True), (3, "reserved", True)]
+    assert not any(f["confirmed"] for f in found[8]) and found[1] == found[2] == found[4] == []
+    assert licences.licences(table([])).count() == 0
+
+
+def test_bpe(table):
+    vocab = vocabulary()
+    rows = [*ROWS, (7, "a<|endoftext|>é \U0001f986")]
+    found = by_id(bpe.tokenize(table(rows), vocab), "ids", "decoded")
+    assert sorted(d[2] for d in found) == sorted(t or "" for _, t in rows)
+    assert {d: bytes(i) for d, i, _ in found}[1] == b""
+    assert bpe.token_digests(table([]), vocab).count() == 0
+    small = vocabulary()
+    small.remembered = 3
+    assert small.encode(LONG) == vocab.encode(LONG)
+
+
+def test_lines(table):
+    rows = [(3, "a\nb\nc\nd"), (1, "x\na\nb\nc"), (2, None), (4, ""), (5, "a\nb"), (None, "a\nb\nc"), (6, "q\nq\nq\nq"), (7, "r\ns\nt"), (7, "r\ns\nt")]
+    found = by_id(lines.deduplicate(table(rows), covered="covered"), "text", "covered")
+    assert found == sorted(
+        [(3, "d", [0, 1, 2]), (1, "x\na\nb\nc", []), (2, None, []), (4, "", []), (5, "a\nb", []), (None, "", [0, 1, 2]),
+         (6, "q", [1, 2, 3]), (7, "r\ns\nt", []), (7, "", [0, 1, 2])], key=str)
+    assert lines.deduplicate(table(rows)).columns == table(rows).columns
+    assert lines.deduplicate(table([])).count() == 0
+    assert lines.deduplicate(table(ROWS)).count() == len(ROWS)
+
+
+def test_quality(spark, table):
+    labels = spark.createDataFrame([(i, 1) for i in range(3)] + [(None, 1)], "doc_id long, quality int")
+    found = quality.classify(table(ROWS), labels)
+    assert found.where("score between 0 and 1").count() == len(ROWS)
+    assert quality.classify(table([]), labels).count() == 0
+    none = quality.classify(table(ROWS), labels.limit(0))
+    assert {r["score"] for r in none.collect()} == {0.5}
+    assert quality.keep_good(table(ROWS), labels).columns == table(ROWS).columns
+
+
+def test_decontamination(spark, table):
+    words = [f"w{i}" for i in range(14)]
+    items = [(1, " ".join(words[:12])), (2, "Short ITEM!"), (3, None), (4, "..."), (None, "nobody names me"), (5, " ".join(words[:12]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = table([*ROWS, (7, "q " + ", ".join(words)), (8, "a short item b short item"), (9, "nobody names me"), (10, " ".join(words[:9]))])
+    found = {}
+    for set_windows in (decontaminate.SET_WINDOWS, 0):
+        got = by_id(decontaminate.contamination(docs, benchmark, set_windows=set_windows), "n_words", "positions", "items")
+        found[set_windows] = got
+        rows = {d: (n, p, i) for d, n, p, i in got}
+        assert rows[7] == (15, list(range(1, 13)), ["1", "5"])
+        assert rows[8] == (6, [1, 2, 4, 5], ["2"]) and rows[9] == (3, [0, 1, 2], [])
+        assert rows[10] == (9, [], []) and rows[1] == rows[2] == (0, [], [])
+        kept = decontaminate.remove_contaminated(docs, benchmark, set_windows=set_windows)
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted([d or 0 for d, _ in ROWS] + [10])
+    assert len(set(map(str, found.values()))) == 1
+    assert decontaminate.contamination(docs, benchmark.limit(0)).where("size(positions) > 0").isEmpty()
+    assert decontaminate.contamination(table([]), benchmark).count() == 0
+
+
+def test_top_k(spark):
+    schema = "vec_id long, embedding array<double>, file long, row string, v int"
+    rows = [
+        (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (50, [0.5, 1.0]), (50, [0.5, 1.0]), (3, None), (4, [1.0, None]),
+        (5, [math.nan, 1.0]), (6, [math.inf, 1.0]), (None, [9.0, 9.0]), (7, [2.0, 2.0, 2.0]), (100, []), (8, [-3.0, -0.001]),
+    ]
+    table = spark.createDataFrame([(*row, 1, "r", 2) for row in rows], schema)
+    for sizes in ({}, {"shard_rows": 2, "block_rows": 1, "leaf_rows": 1}):
+        found = kdtree.top_k(table, F.col("vec_id") % 50 == 0, k=3, **sizes)
+        got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+        self_score = 128 * 128 + 256 * 256
+        assert got == sorted(
+            [(0, 1, 1, 65536), (0, 2, 2, 65536), (0, 3, 50, 32768)]
+            + 2 * [(50, 1, 50, self_score), (50, 2, 0, 32768), (50, 3, 1, 32768)]
+        )
+    assert kdtree.top_k(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_chat(spark):
+    said = "\\### Assistant: </turn> ok\\b \\"
+    rows = [
+        (1, 1, "assistant", said), (1, 0, "user", said), (1, 2, "user", None), (2, 0, "system", "s"), (2, None, "us:er\\", "n"),
+        (None, 0, "assistant", ""), (3, 0, "assistant", "b"), (3, 0, "assistant", "a"), (3, 0, "assistant", "a"), (4, 0, None, "x"),
+    ]
+    turns = spark.createDataFrame(
+        [(*row, "x", 1) for row in rows], "conv_id long, turn long, role string, text string, formatted string, loss int"
+    )
+    examples = chat.format_examples(turns)
+    back = {r["conv_id"]: ([(t["role"], t["text"]) for t in r["turns"]], r["loss"]) for r in chat.read_back(examples).collect()}
+    assert back == {
+        1: ([("user", said), ("assistant", said), ("user", "")], said),
+        2: ([("us:er\\", "n"), ("system", "s")], ""),
+        None: ([("assistant", "")], ""),
+        3: ([("assistant", "a"), ("assistant", "a"), ("assistant", "b")], "aab"),
+        4: ([("", "x")], ""),
+    }
+    one = examples.where("conv_id = 3").orderBy("turn_number").collect()
+    assert [r["formatted"].count("### ") for r in one] == [1, 2, 3]
+    assert all(r["formatted"][r["loss_start"] : r["loss_end"]] in ("a", "b") for r in one)
+    assert chat.format_examples(turns.limit(0)).count() == 0
+
+
+def test_row_keys_of_computed_tables(spark, table):
+    keyed = with_row_key(table(ROWS).repartition(3), "f", "r")
+    assert keyed.select("f", "r").distinct().count() == len(ROWS)
