@@ -153,8 +153,10 @@ def fit(corpus: list[str], steps: int = 400, sparsity: float = 2e-4) -> Model:
 def train(docs: DataFrame, text: str = "text") -> Model:
     """The model for a corpus, from at most ``CORPUS_LINES`` of its lines (by their hash)."""
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("length(line) > 0")
-    cut = lines.select(F.substring("line", 1, LINE_CHARACTERS).alias("line")).distinct()
-    rows = cut.orderBy(F.xxhash64("line"), "line").limit(CORPUS_LINES).collect()
+    cut = lines.select(F.substring("line", 1, LINE_CHARACTERS).alias("line")).withColumn("hash", F.xxhash64("line"))
+    hashes = cut.select("hash").distinct().orderBy("hash").limit(CORPUS_LINES)
+    # At most CORPUS_LINES rows, as equal lines count once.
+    rows = cut.join(F.broadcast(hashes), "hash").distinct().orderBy("hash", "line").collect()
     return fit([row["line"] for row in rows])
 
 
