@@ -101,7 +101,7 @@ def _fit(trusted, unlabelled, prior: float | None, steps: int = 1500, batch: int
                 on_p, on_u = prior * (positive - p_negative), u_negative
             else:
                 on_p, on_u = prior * p_negative, -u_negative
-        gradient = np.append(some_p.T @ on_p + some_u.T @ on_u + 1e-3 * theta[:-1], on_p.sum() + on_u.sum())
+        gradient = np.append(some_p.T @ on_p + some_u.T @ on_u + 1e-4 * theta[:-1], on_p.sum() + on_u.sum())
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         rate = 0.03 * (1 - step / (steps + 1))
@@ -111,10 +111,13 @@ def _fit(trusted, unlabelled, prior: float | None, steps: int = 1500, batch: int
 
 def class_prior(trusted_scores: np.ndarray, unlabelled_scores: np.ndarray) -> float:
     """Share of positives among the unlabelled: the least ratio of the two samples'
-    shares above a threshold that half of the positives or more reach."""
+    shares above a threshold that half of the positives or more reach. Each share
+    counts with one standard error to the safe side: a prior that is too high takes
+    negatives for positives, one that is as much too low hardly matters."""
     thresholds = np.quantile(trusted_scores, np.linspace(0, 0.5, 51))
-    ratios = [(unlabelled_scores >= t).mean() / (trusted_scores >= t).mean() for t in thresholds]
-    return float(np.clip(min(ratios), 0.01, 0.99))
+    p, u = (np.array([(scores >= t).mean() for t in thresholds]) for scores in (trusted_scores, unlabelled_scores))
+    error_p, error_u = (np.sqrt(x * (1 - x) / n) for x, n in ((p, len(trusted_scores)), (u, len(unlabelled_scores))))
+    return float(np.clip(((u - error_u) / (p + error_p)).min(), 0.01, 0.99))
 
 
 def fit(trusted: np.ndarray, unlabelled: np.ndarray) -> Model:
@@ -122,8 +125,11 @@ def fit(trusted: np.ndarray, unlabelled: np.ndarray) -> Model:
     if not len(trusted) or not len(unlabelled):
         nothing = np.zeros(N_FEATURES)
         return Model(nothing, 0.0, nothing, nothing + 1)
-    apart = _fit(trusted, unlabelled, None)
-    prior = class_prior(apart.score(trusted), apart.score(unlabelled))
+    # Half of each sample ranks the other half: on rows it was fitted to, the ranking
+    # would be too good for positives and the prior too low.
+    fitted, judged = (slice(None, None, 2), slice(1, None, 2)) if min(len(trusted), len(unlabelled)) > 1 else (slice(None),) * 2
+    apart = _fit(trusted[fitted], unlabelled[fitted], None)
+    prior = class_prior(apart.score(trusted[judged]), apart.score(unlabelled[judged]))
     model = _fit(trusted, unlabelled, prior)
     model.prior = prior
     return model

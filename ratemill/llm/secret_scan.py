@@ -35,8 +35,11 @@ BASE_RULES = (
         least=8,
         group=2,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", least=16),
-    Rule("hex", r"[0-9a-f]+", least=32),
+    # A match of these two is what is left of a run of its characters, so the lengths
+    # asked for (16 and 32 in all) can be in the pattern: a run that is too short has
+    # no other match, and short runs, of which prose is full, are never listed.
+    Rule("access", r"AKIA[A-Z0-9]{12,}", least=16),
+    Rule("hex", r"[0-9a-f]{32,}", least=32),
 )
 MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", least=1),
