@@ -169,20 +169,25 @@ def learn(
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [row.astype(np.float32).tolist() for row in _rows(batch["text"], kinds)]
+            found = [row.astype("<f4").tobytes() for row in _rows(batch["text"], kinds)]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "trusted": batch["trusted"], "features": found})
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    # At most trusted_rows + unlabelled_rows rows, one per id.
+    # At most trusted_rows + unlabelled_rows rows, one per id, of N_FEATURES small numbers.
     rows = (
-        chosen.mapInPandas(measured, f"doc_id {kind}, trusted boolean, features array<float>")
+        chosen.mapInPandas(measured, f"doc_id {kind}, trusted boolean, features binary")
         .groupBy("doc_id", "trusted")
         .agg(F.min("features").alias("features"))
-        .toPandas()
-        .sort_values("doc_id")
+        .orderBy("doc_id")
+        .collect()
     )
-    both = [np.array(rows.features[rows.trusted == which].tolist(), np.float64) for which in (True, False)]
+    both = [
+        np.frombuffer(b"".join(row["features"] for row in rows if row["trusted"] == which), "<f4")
+        .reshape(-1, N_FEATURES)
+        .astype(np.float64)
+        for which in (True, False)
+    ]
     return fit(*both)
 
 
