@@ -8,6 +8,10 @@ SECONDS_PER_DAY = 86400
 FIRST_SECOND = -30610224000
 LAST_SECOND = 253402300799
 
+# The date key of a time outside those years, year, month and day 0: such a fact
+# has an unknown date, and still counts.
+UNKNOWN_DATE = 0
+
 
 def has_date(seconds: Column) -> Column:
     """Whether a Unix time falls in the years 1000 to 9999."""
@@ -25,15 +29,16 @@ def utc_date(seconds: Column) -> Column:
 
 
 def date_id(seconds: Column) -> Column:
-    """The date as an integer yyyyMMdd.
+    """The date as an integer yyyyMMdd; ``UNKNOWN_DATE`` outside the years 1000 to 9999.
+
+    NULL for a NULL time.
 
     Arithmetic on the calendar fields, several times faster than formatting
     the date as text and parsing that.
     """
     day = F.date_from_unix_date(F.floor(seconds / SECONDS_PER_DAY).cast("int"))
-    return F.when(
-        has_date(seconds), F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
-    )
+    known = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return F.when(has_date(seconds), known).when(seconds.isNotNull(), UNKNOWN_DATE)
 
 
 def year_of(date_key: Column) -> Column:

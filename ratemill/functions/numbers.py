@@ -20,8 +20,8 @@ def mean(total: Column, count: Column, digits: int) -> Column:
 
 
 def match_percent(score: Column, best: float = 5.0) -> Column:
-    """Score as a whole percentage of the best; above 100 is shown as 99."""
-    percent = F.round(score.cast("double") / best * 100)
+    """Score as a whole percentage of the best; above 100 is shown as 99, NaN is NULL."""
+    percent = F.round(F.nullif(score.cast("double"), F.lit(float("nan"))) / best * 100)
     return F.when(percent > 100, 99).otherwise(percent.try_cast("int"))
 
 

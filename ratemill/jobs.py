@@ -5,7 +5,7 @@
         --option startingOffsets=earliest --bronze B --checkpoint C --every "20 seconds"
     spark-submit ratemill_job.py cycle --bronze B --silver S --gold G \\
         --recommendations R --items I --profiles P
-    spark-submit ratemill_job.py report top_items --silver S --gold G
+    spark-submit ratemill_job.py report top_items --silver S --gold G --out O
 """
 
 import argparse
@@ -13,15 +13,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratemill.operators import marts, serve, validate
+from ratemill.operators import marts, validate
 from ratemill.operators.decode import encode_events, parse_events
 from ratemill.plans import cycle
-from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
+from ratemill.plans.silver import read_silver, refresh_silver
 from ratemill.plans.star import Star
-from ratemill.sources.bronze import bronze_versions, read_bronze
+from ratemill.sources.bronze import compact_bronze, read_bronze
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream
-from ratemill.sources.tables import read_table
+from ratemill.sources.storage import exists
+from ratemill.sources.tables import overwrite_table, read_table
 from ratemill.sources.warehouse import write_warehouse
 from ratemill.streaming.bronze import write_bronze
 
@@ -33,6 +34,9 @@ REPORTS = {
     "check": Star.check,
 }
 
+# Rows of a table that a job prints; reports are written in full.
+SHOWN = 20
+
 
 def _paths(args: argparse.Namespace) -> cycle.Paths:
     return cycle.Paths(
@@ -43,7 +47,8 @@ def _paths(args: argparse.Namespace) -> cycle.Paths:
 def _load(args: argparse.Namespace):
     if args.jdbc_url is None:
         return None
-    return lambda star: write_warehouse(star.tables(), args.jdbc_url, dict(args.jdbc_option))
+    keys = {"dim_movie": ["movie_id"], "dim_user": ["user_id"], "dim_date": ["date_id"]}
+    return lambda star: write_warehouse(star.tables(), args.jdbc_url, dict(args.jdbc_option), keys)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -53,22 +58,31 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def submit(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Publish the valid ones of submitted JSON bodies and keep the others."""
-    bodies = spark.read.text(args.bodies)
-    checked = validate.validate_submissions(validate.parse_submissions(bodies))
-    validate.rejected(checked).write.mode("append").json(args.rejects)
+    """Publish the valid ones of submitted JSON bodies and keep the others.
+
+    ``--batch`` names the input. It is read, checked and stamped with the time once, to
+    a table below ``--rejects``; a retry goes on from that table, replaces the rejects
+    of its batch, and publishes the same events, whose copies cleaning removes.
+    """
+    checked_path = f"{args.rejects}/_checked/batch={args.batch}"
+    if not exists(spark, f"{checked_path}/_SUCCESS"):
+        bodies = spark.read.text(args.bodies)
+        overwrite_table(validate.validate_submissions(validate.parse_submissions(bodies)), checked_path)
+    checked = read_table(spark, checked_path)
+    validate.rejected(checked).write.mode("overwrite").json(f"{args.rejects}/batch={args.batch}")
     publish_events(encode_events(validate.accepted(checked)), args.format, dict(args.option))
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    version = bronze_versions(spark, args.bronze)[-1]
-    if args.since is None:
-        rebuild_silver(spark, args.bronze, args.silver, version)
-    else:
-        refresh_silver(spark, args.bronze, args.silver, args.since, version)
+    version = refresh_silver(spark, args.bronze, args.silver, since=args.since)
     print(f"Silver holds version {version}")
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Merge the folders of old batches; not while an ingest job writes to the table."""
+    print(f"Compacted up to version {compact_bronze(spark, args.bronze)}")
+
+
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     star = cycle.write_gold(
         spark, _paths(args), read_table(spark, args.items), read_table(spark, args.profiles)
@@ -97,15 +111,20 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    _show(REPORTS[args.name](cycle.read_gold(spark, _paths(args))))
+    """Write the whole report where ``--out`` says, and show its head."""
+    overwrite_table(REPORTS[args.name](cycle.read_gold(spark, _paths(args))).coalesce(1), args.out, "json")
+    _show(spark.read.json(args.out))
 
 
 def lookup(spark: SparkSession, args: argparse.Namespace) -> None:
-    _show(serve.lookup_user(read_recommendations(spark, args.recommendations), args.user_id))
+    _show(read_recommendations(spark, args.recommendations, args.user_id))
 
 
 def _show(df: DataFrame) -> None:
-    df.show(1000, truncate=False)
+    rows = df.count()
+    df.show(SHOWN, truncate=False)
+    if rows > SHOWN:
+        print(f"{rows - SHOWN} more rows are not shown")
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -135,8 +154,9 @@ def parser() -> argparse.ArgumentParser:
     added = job("ingest", ingest, "bronze", "checkpoint")
     messages(added)
     added.add_argument("--every", help="pause between batches; without it, one pass")
-    messages(job("submit", submit, "bodies", "rejects"))
+    messages(job("submit", submit, "bodies", "rejects", "batch"))
     job("silver", silver, "bronze", "silver").add_argument("--since", type=int)
+    job("compact", compact, "bronze")
     warehouse(job("gold", gold, "silver", "gold", "items", "profiles"))
     job("train", train, "silver", "recommendations")
     added = job(
@@ -145,7 +165,7 @@ def parser() -> argparse.ArgumentParser:
     warehouse(added)
     added.add_argument("--since", type=int)
     job("snapshot", snapshot, "bronze").add_argument("--version", type=int, default=0)
-    job("report", report, "silver", "gold").add_argument("name", choices=sorted(REPORTS))
+    job("report", report, "silver", "gold", "out").add_argument("name", choices=sorted(REPORTS))
     job("lookup", lookup, "recommendations").add_argument("--user-id", type=int, required=True)
     return top
 

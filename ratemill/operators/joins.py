@@ -4,46 +4,40 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
-# Copies of a dimension row, and so the shares that a hot key is cut into.
-SPREAD = 32
+# What a row takes in a broadcast table besides its values.
+ROW_BYTES = 48
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer bounds ``df`` below the session's broadcast threshold.
+    """Whether ``df`` is below the session's broadcast threshold in memory.
 
-    Its estimate is the bytes on disk, which for a table with a unique key also
-    bounds the rows. Sizes it cannot bound count as too large: joins, which it
-    takes as products, and exploded columns, whose extra rows it does not see.
+    The bound is rows times width and the bytes of all texts. Rows are counted first,
+    which for a written table reads file footers only; texts are measured where that
+    does not rule the table out. Bytes on disk bound neither: five million ids
+    may take 140 kB there. Pass written tables.
     """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes())) <= limit and "Generate " not in plan.toString()
+    bound = df.count() * (ROW_BYTES + 8 * len(df.columns))
+    if bound > limit:
+        return False
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not texts:
+        return True
+    lengths = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0)) for name in texts]
+    return bound + sum(df.agg(*[n.alias(f"n{i}") for i, n in enumerate(lengths)]).first()) <= limit
 
 
-def join_dimension(
-    rows: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    how: str = "inner",
-    spread_by: Sequence[str] = (),
-) -> DataFrame:
+def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Equi-join ``rows`` with ``dimension`` on ``key`` (inner or left).
 
-    A dimension within the threshold is broadcast. A larger one is shuffled;
-    then ``spread_by`` names columns of ``rows`` whose hash cuts a hot key into
-    ``SPREAD`` shares, each of which meets its own copy of the dimension row.
-    The share depends on the row alone, so a recomputed task yields the same.
+    A dimension within the threshold is broadcast. A larger one is shuffled, by a hint,
+    because Spark's own estimate goes by bytes on disk; AQE then splits the partition of
+    a hot key, as the dimension has one row per key.
     """
-    if fits_broadcast(dimension):
-        return rows.join(F.broadcast(dimension), key, how)
-    if not spread_by:
-        return rows.join(dimension, key, how)
-    share = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
-    shares = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    spread_rows = rows.withColumn("_share", share)
-    spread_dimension = dimension.withColumn("_share", shares)
-    return spread_rows.join(spread_dimension, [key, "_share"], how).drop("_share")
+    hint = "broadcast" if fits_broadcast(dimension) else "merge"
+    return rows.join(dimension.hint(hint), key, how)
 
 
 @dataclass(frozen=True)
@@ -81,9 +75,7 @@ def rating_totals(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
     )
     for dimension in large:
         open_keys.remove(dimension.key)
-        totals = join_dimension(
-            totals, dimension.narrow(), dimension.key, spread_by=open_keys
-        )
+        totals = join_dimension(totals, dimension.narrow(), dimension.key)
         known += dimension.attributes
         totals = totals.groupBy(*known, *open_keys).agg(
             F.sum("rating_sum").alias("rating_sum"),

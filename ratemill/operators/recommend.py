@@ -11,11 +11,11 @@ from ratemill.sources.storage import ensure_checkpoints, fresh_folder
 RANK = 10
 ITERATIONS = 10
 REGULARIZATION = 0.1
-MIN_BLOCKS = 10
 
-# ALS keeps one list per pair of blocks, so their number has to stay moderate.
-MAX_BLOCKS = 1000
-RATINGS_PER_BLOCK = 1_000_000
+# Factor blocks, MLlib's defaults too. The factors depend on them, so that no size of a
+# table changes them: a cluster states more for a larger table (README).
+USER_BLOCKS = 10
+ITEM_BLOCKS = 10
 
 # Iterations between lineage cuts.
 CHECKPOINT_EVERY = 4
@@ -31,19 +31,17 @@ def split_ratings(ratings: DataFrame, share: float = 0.8) -> tuple[DataFrame, Da
     return ratings.where(in_training), ratings.where(~in_training)
 
 
-def blocks_for(ratings: DataFrame) -> int:
-    """Factor blocks for a table of ratings; counting one reads file footers only."""
-    wanted = -(-ratings.count() // RATINGS_PER_BLOCK)
-    return max(MIN_BLOCKS, min(wanted, MAX_BLOCKS))
-
-
 def fit_als(
-    ratings: DataFrame, seed: int = 42, blocks: int | None = None, folder: str | None = None
+    ratings: DataFrame,
+    seed: int = 42,
+    user_blocks: int = USER_BLOCKS,
+    item_blocks: int = ITEM_BLOCKS,
+    folder: str | None = None,
 ) -> ALSModel:
     """Fit explicit-feedback ALS. Repeated ratings of an item stay separate rows.
 
-    ``blocks`` is the parallelism of the factor blocks; by default it follows
-    the number of ratings, so that factors do not depend on the cluster.
+    The numbers of blocks are the parallelism of the two factor tables. They are part
+    of what defines the result, like the seed, and follow neither table nor cluster.
 
     The model is written to ``folder``, replacing an earlier one there, or to a
     fresh place in the shared folder, and read back. Its factors then survive a
@@ -52,8 +50,6 @@ def fit_als(
     """
     session = ratings.sparkSession
     ensure_checkpoints(session)
-    if blocks is None:
-        blocks = blocks_for(ratings)
     als = ALS(
         userCol="user_id",
         itemCol="movie_id",
@@ -62,8 +58,8 @@ def fit_als(
         rank=RANK,
         maxIter=ITERATIONS,
         regParam=REGULARIZATION,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=user_blocks,
+        numItemBlocks=item_blocks,
         checkpointInterval=CHECKPOINT_EVERY,
         seed=seed,
     )

@@ -36,7 +36,7 @@ def lookup_user(recommendations: DataFrame, user_id: int) -> DataFrame:
 def enrich(scored: DataFrame, dim_item: DataFrame) -> DataFrame:
     """Add ``title`` and ``match_percent`` to rows of user, item and ``score``."""
     titles = dim_item.select("movie_id", "title")
-    joined = join_dimension(scored, titles, "movie_id", "left", spread_by=["user_id"])
+    joined = join_dimension(scored, titles, "movie_id", "left")
     return joined.select(
         *scored.columns,
         F.coalesce("title", F.lit(UNKNOWN_TITLE)).alias("title"),

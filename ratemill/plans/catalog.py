@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ratemill.functions.calendar import date_id
 from ratemill.operators import decode, marts, recommend, serve, star, validate
@@ -11,7 +11,7 @@ from ratemill.operators.cleanse import clean_ratings
 from ratemill.plans import cycle, fixtures
 from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
 from ratemill.plans.star import Star, build_star, read_star, write_star
-from ratemill.sources.bronze import bronze_versions, read_bronze
+from ratemill.sources.bronze import bronze_versions, compact_bronze, read_bronze
 from ratemill.sources.documents import export_recommendations, read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream
 from ratemill.sources.storage import fresh_folder
@@ -100,14 +100,33 @@ def snapshot_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.sample(snapshot_v0(spark, sf_dir))
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze once more, with the first two batches in a range."""
+
+    def make() -> str:
+        path = ingest(spark, sf_dir)
+        compact_bronze(spark, path, before=bronze_versions(spark, path)[-1])
+        return path
+
+    return _once(spark, sf_dir, "compacted bronze", make)
+
+
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_bronze(spark, _compacted(spark, sf_dir))
+
+
+def snapshot_v0_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_bronze(spark, _compacted(spark, sf_dir), version=0)
+
+
 def silver_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of the first version, then refreshed version by version."""
     bronze = _bronze(spark, sf_dir)
     target = fresh_folder(spark, "silver")
-    versions = bronze_versions(spark, bronze)
-    rebuild_silver(spark, bronze, target, versions[0])
-    for since, version in zip(versions, versions[1:]):
-        refresh_silver(spark, bronze, target, since, version)
+    first, *later = bronze_versions(spark, bronze)
+    rebuild_silver(spark, bronze, target, first)
+    for version in later:
+        refresh_silver(spark, bronze, target, version)
     return read_silver(spark, target)
 
 
@@ -135,12 +154,19 @@ def raw_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def events_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star of events over the written Silver."""
-    return build_star(
-        ratings_table(spark, sf_dir),
-        fixtures.items(spark, sf_dir),
-        fixtures.profiles(spark, sf_dir),
-    )
+    """The star of events as written tables."""
+
+    def write() -> str:
+        path = fresh_folder(spark, "events-star")
+        built = build_star(
+            ratings_table(spark, sf_dir),
+            fixtures.items(spark, sf_dir),
+            fixtures.profiles(spark, sf_dir),
+        )
+        write_star(built, path)
+        return path
+
+    return read_star(spark, _once(spark, sf_dir, "events star", write))
 
 
 def orders_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -164,8 +190,8 @@ def star_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_check_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The check on raw events as facts, recent titles and dates per second."""
-    raw = parse_events(spark, sf_dir)
+    """The check on the written raw events as facts, with dates per second."""
+    raw = bronze_stream(spark, sf_dir)
     items = star.dim_item(fixtures.items(spark, sf_dir))
     users = star.dim_user(fixtures.profiles(spark, sf_dir))
     seconds = raw.select("timestamp").distinct()
@@ -173,7 +199,7 @@ def star_check_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.check_star(
         star.fact_ratings(raw),
         {
-            "dim_movie": (items.where("release_year >= 1990"), "movie_id"),
+            "dim_movie": (items, "movie_id"),
             "dim_user": (users, "user_id"),
             "dim_date": (dates, "date_id"),
         },
@@ -188,6 +214,12 @@ def fact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trend_by_month_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of events of which some have a time beyond any date."""
+    fact = star.fact_ratings(clean_ratings(fixtures.wrongly_timed(spark, sf_dir)))
+    return marts.trend_by_month(fact, star.dim_date(fact))
+
+
 def _reports(name: str, build: Callable[[SparkSession, str], Star]) -> dict[str, Query]:
     def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = build(spark, sf_dir)
@@ -224,6 +256,15 @@ def validate_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validate_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many submissions are stamped with the current time, to the hour."""
+    checked = validate.validate_submissions(fixtures.submissions(spark, sf_dir))
+    age = F.unix_timestamp() - F.col("timestamp")
+    return checked.agg(
+        F.count("*").alias("n_rows"), F.count_if(age.between(-3600, 3600)).alias("n_current")
+    )
+
+
 # --- recommender ------------------------------------------------------------
 
 
@@ -232,11 +273,9 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def trial_model(spark: SparkSession, sf_dir: str) -> ALSModel:
-    def fit() -> ALSModel:
-        blocks = recommend.blocks_for(ratings_table(spark, sf_dir))
-        return recommend.fit_als(_split(spark, sf_dir)[0], blocks=blocks)
-
-    return _once(spark, sf_dir, "trial model", fit)
+    return _once(
+        spark, sf_dir, "trial model", lambda: recommend.fit_als(_split(spark, sf_dir)[0])
+    )
 
 
 def full_model(spark: SparkSession, sf_dir: str) -> ALSModel:
@@ -314,17 +353,99 @@ def rec_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rec_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = star.dim_item(fixtures.items(spark, sf_dir))
+    items = events_star(spark, sf_dir).dim_item
     return serve.enrich(recommend.flatten(_artifact(spark, sf_dir)), items)
 
 
 def rating_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Display columns for event values as scores, with a catalog of recent titles."""
+    """Display columns for event values as scores; items beyond the catalog by number."""
     scored = fixtures.rated_events(spark, sf_dir).select(
         "event_id", "user_id", "movie_id", (F.col("value") / 50).alias("score")
     )
-    recent = star.dim_item(fixtures.items(spark, sf_dir)).where("release_year >= 1990")
-    return serve.enrich(scored, recent)
+    return serve.enrich(scored, events_star(spark, sf_dir).dim_item)
+
+
+def _factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("movie_id"), F.col("features").alias("i"))
+    return users, items
+
+
+def _product() -> Column:
+    """Inner product of the factors u and i, summed up in double precision."""
+    parts = F.zip_with("u", "i", lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+
+
+def predictions_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, predictions and how many differ from the product of the factors."""
+    users, items = _factors(trial_model(spark, sf_dir))
+    found = predictions(spark, sf_dir).join(users, "user_id").join(items, "movie_id")
+    off = F.abs(F.col("prediction") - _product()) > 1e-4
+    return found.groupBy("user_id").agg(F.count("*").alias("n_rows"), F.count_if(off).alias("n_off"))
+
+
+def rmse_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows behind the error of the trial model, and whether it can be recomputed."""
+    users, items = _factors(trial_model(spark, sf_dir))
+    test = _split(spark, sf_dir)[1].join(users, "user_id").join(items, "movie_id")
+    error = F.col("rating") - _product()
+    again = test.agg(F.count("*").alias("n_rows"), F.sqrt(F.avg(error * error)).alias("again"))
+    return again.join(rmse(spark, sf_dir)).select(
+        "n_rows", (F.abs(F.col("again") - F.col("rmse")) < 1e-4).alias("agrees")
+    )
+
+
+def top_lists_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, listed items, wrong scores, and items that beat the last listed one.
+
+    All pairs are scored again, in blocks of users and items.
+    """
+    users, items = _factors(full_model(spark, sf_dir))
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(recommend.USER_BLOCKS - 1))).alias("block")
+    listed = recommendations(spark, sf_dir)
+    last = listed.groupBy("user_id").agg(F.min("score").alias("last"), F.count("*").alias("n_items"))
+    asked = users.join(last, "user_id").withColumn("block", F.pmod("user_id", F.lit(recommend.USER_BLOCKS)))
+    pairs = asked.join(items.select("movie_id", "i", blocks), "block")
+    beaten = pairs.groupBy("user_id").agg(
+        F.first("n_items").alias("n_items"), F.count_if(_product() > F.col("last") + 1e-4).alias("n_above")
+    )
+    scored = listed.join(users, "user_id").join(items, "movie_id")
+    wrong = (
+        scored.withColumn("product", _product())
+        .join(last.select("user_id", "last"), "user_id")
+        .groupBy("user_id")
+        .agg(
+            F.count_if(F.abs(F.col("score") - F.col("product")) > 1e-4).alias("n_off"),
+            F.count_if(F.col("product") > F.col("last") + 1e-4).alias("n_own"),
+        )
+    )
+    return beaten.join(wrong, "user_id").select(
+        "user_id", "n_items", "n_off", (F.col("n_above") - F.col("n_own")).alias("n_better")
+    )
+
+
+def flatten_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best ratings of every user as a list, unpacked."""
+    best_first = Window.partitionBy("user_id").orderBy(F.desc("rating"), "movie_id", "timestamp")
+    best = ratings_table(spark, sf_dir).withColumn("n", F.row_number().over(best_first)).where("n <= 5")
+    item = F.struct("n", "movie_id", F.col("rating").cast("float").alias("rating"))
+    lists = best.groupBy("user_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return recommend.flatten(
+        lists.select(
+            "user_id",
+            F.transform("items", lambda x: F.struct(x["movie_id"].alias("movie_id"), x["rating"].alias("rating"))).alias(
+                "recommendations"
+            ),
+        )
+    )
+
+
+def train_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a cycle would train on the events of each wave; there is no fourth."""
+    rated = fixtures.rated_events(spark, sf_dir)
+    waves = [(wave, cycle.has_rows(rated.where(F.col("wave") == wave))) for wave in range(4)]
+    return spark.createDataFrame(waves, "wave int, trains boolean")
 
 
 # --- the whole pipeline -----------------------------------------------------
@@ -357,7 +478,9 @@ def run_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tables and models that several queries share; made once per application.
 PREPARED: dict[str, Callable[[SparkSession, str], object]] = {
     "bronze": _bronze,
+    "compacted bronze": _compacted,
     "ratings table": ratings_table,
+    "events star": events_star,
     "orders star": orders_star,
     "trial model": trial_model,
     "full model": full_model,
@@ -370,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "bronze_stream": bronze_stream,
     "snapshot_v0": snapshot_v0,
     "snapshot_sample": snapshot_sample,
+    "bronze_compacted": bronze_compacted,
+    "snapshot_v0_compacted": snapshot_v0_compacted,
     "silver": silver,
     "silver_count": silver_count,
     "silver_latest": silver_latest,
@@ -387,12 +512,19 @@ QUERIES: dict[str, Query] = {
     **_reports("", events_star),
     "top_items_from_raw": _reports("", raw_star)["top_items"],
     **_reports("_large", orders_star),
+    "trend_by_month_unknown": trend_by_month_unknown,
     "validate": validate_submissions,
     "validate_bodies": validate_bodies,
+    "validate_now": validate_now,
     "train_split": train_split,
     "predictions": predictions,
     "prediction_rows": prediction_rows,
     "rmse": rmse,
+    "predictions_check": predictions_check,
+    "rmse_check": rmse_check,
+    "top_lists_check": top_lists_check,
+    "flatten_ratings": flatten_ratings,
+    "train_guard": train_guard,
     "rmse_resubmitted": rmse_resubmitted,
     "recommendations": recommendations,
     "recommendation_counts": recommendation_counts,

@@ -6,10 +6,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import recommend, star
-from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
+from ratemill.plans.silver import read_silver, refresh_silver
 from ratemill.plans.star import Star, read_star, write_dimensions
 from ratemill.schemas import FACT
-from ratemill.sources.bronze import bronze_versions
 from ratemill.sources.documents import export_recommendations
 from ratemill.sources.tables import read_dated
 
@@ -27,43 +26,54 @@ class Report:
     version: int  # Bronze version all outputs belong to
     rmse: float | None  # None where no test pair could be scored
     edition: str | None  # recommendations written; None for an empty Silver
+    user_blocks: int  # factor blocks, which the model depends on
+    item_blocks: int
 
 
 def write_gold(
-    spark: SparkSession, paths: Paths, items: DataFrame, profiles: DataFrame
+    spark: SparkSession, paths: Paths, items: DataFrame, profiles: DataFrame, fmt: str = "parquet"
 ) -> Star:
     """Write the dimensions; facts are the Silver files under the fact schema.
 
     Silver is laid out by date, so its files already hold the fact columns and
     no second copy is made.
     """
-    fact = read_dated(spark, paths.silver, FACT)
+    fact = read_dated(spark, paths.silver, FACT, fmt)
     built = Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(fact), fact)
-    write_dimensions(built, paths.gold)
-    return read_gold(spark, paths)
+    write_dimensions(built, paths.gold, fmt)
+    return read_gold(spark, paths, fmt)
 
 
-def read_gold(spark: SparkSession, paths: Paths) -> Star:
-    return read_star(spark, paths.gold, read_dated(spark, paths.silver, FACT))
+def read_gold(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> Star:
+    return read_star(spark, paths.gold, read_dated(spark, paths.silver, FACT, fmt), fmt)
+
+
+def has_rows(ratings: DataFrame) -> bool:
+    """Whether there is anything to train on."""
+    return not ratings.isEmpty()
 
 
 def train(
-    ratings: DataFrame, path: str, n: int = 5, seed: int = 42, blocks: int | None = None
+    ratings: DataFrame,
+    path: str,
+    n: int = 5,
+    seed: int = 42,
+    user_blocks: int = recommend.USER_BLOCKS,
+    item_blocks: int = recommend.ITEM_BLOCKS,
 ) -> tuple[float | None, str | None]:
     """Score a model on held-out rows, then refit on all and export top lists.
 
     Both models are kept beside the lists, until the next training.
     """
-    if ratings.isEmpty():
+    if not has_rows(ratings):
         return None, None
-    if blocks is None:
-        blocks = recommend.blocks_for(ratings)
+    blocks = {"user_blocks": user_blocks, "item_blocks": item_blocks}
     training, test = recommend.split_ratings(ratings)
     error = None
-    if not training.isEmpty():
-        trial = recommend.fit_als(training, seed, blocks, f"{path}/trial-model")
+    if has_rows(training):
+        trial = recommend.fit_als(training, seed, **blocks, folder=f"{path}/trial-model")
         error = recommend.rmse(recommend.predict(trial, test)).first()["rmse"]
-    model = recommend.fit_als(ratings, seed, blocks, f"{path}/model")
+    model = recommend.fit_als(ratings, seed, **blocks, folder=f"{path}/model")
     return error, export_recommendations(recommend.recommend(model, n), path)
 
 
@@ -75,27 +85,25 @@ def run_cycle(
     since: int | None = None,
     load: Callable[[Star], object] | None = None,
     seed: int = 42,
-    blocks: int | None = None,
+    user_blocks: int = recommend.USER_BLOCKS,
+    item_blocks: int = recommend.ITEM_BLOCKS,
+    fmt: str = "parquet",
 ) -> Report:
     """Silver, then the star schema, then the model; the first failure ends it.
 
     The newest Bronze version is fixed at the start, so batches that arrive
-    meanwhile wait for the next cycle. Pass the previous report's ``version``
-    as ``since`` to refresh only the dates of newer events; without it Silver
-    is rebuilt. ``load`` receives the star, to fill a warehouse say.
-    Later steps read the written tables, not the plans behind them.
+    meanwhile wait for the next cycle. Silver records the version it holds and is
+    refreshed from there, also after a restart; ``since``, if given, must agree with
+    it. ``load`` receives the star, to fill a warehouse say. ``fmt`` is the format of
+    all tables but the lists; one that keeps versions itself (``delta``) has Silver
+    rebuilt as of the newest. Later steps read the written tables.
     """
-    versions = bronze_versions(spark, paths.bronze)
-    if not versions:
-        raise ValueError(f"{paths.bronze} holds no events yet")
-    version = versions[-1]
-    if since is None:
-        rebuild_silver(spark, paths.bronze, paths.silver, version)
-    elif since < version:
-        refresh_silver(spark, paths.bronze, paths.silver, since, version)
-    ratings = read_silver(spark, paths.silver)
-    gold = write_gold(spark, paths, items, profiles)
+    version = refresh_silver(spark, paths.bronze, paths.silver, since=since, fmt=fmt)
+    ratings = read_silver(spark, paths.silver, fmt)
+    gold = write_gold(spark, paths, items, profiles, fmt)
     if load is not None:
         load(gold)
-    error, edition = train(ratings, paths.recommendations, seed=seed, blocks=blocks)
-    return Report(version, error, edition)
+    error, edition = train(
+        ratings, paths.recommendations, seed=seed, user_blocks=user_blocks, item_blocks=item_blocks
+    )
+    return Report(version, error, edition, user_blocks, item_blocks)

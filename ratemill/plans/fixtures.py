@@ -33,6 +33,14 @@ def rated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wrongly_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rated events, every thirtieth with its time in milliseconds by mistake."""
+    wrong = F.col("event_id") % 30 == 0
+    return rated_events(spark, sf_dir).withColumn(
+        "timestamp", F.when(wrong, F.col("timestamp") * 1000).otherwise(F.col("timestamp"))
+    )
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in ``value`` with planted defects, and their arrival ``wave``."""
 

@@ -172,6 +172,8 @@ ORACLES: dict[str, str] = {
     "encode_events": f"WITH {_EVENTS} SELECT {_EVENT_JSON} AS value FROM rated",
     "bronze_stream": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
     "snapshot_v0": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw WHERE wave = 0",
+    "bronze_compacted": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw",
+    "snapshot_v0_compacted": f"WITH {_RAW} SELECT {_RAW_COLUMNS} FROM raw WHERE wave = 0",
     "snapshot_sample": f"""WITH {_RAW}
 SELECT {_RAW_COLUMNS} FROM raw WHERE wave = 0
 ORDER BY user_id NULLS FIRST, movie_id NULLS FIRST, rating NULLS FIRST,
@@ -200,7 +202,7 @@ dates AS ({_DATES})
 {_STAR_CHECK}""",
     "star_check_raw": f"""WITH {_RAW},
 silver AS (SELECT * FROM raw), {_FACT}, {_PROFILES},
-items AS (SELECT p_partkey::INTEGER AS movie_id FROM part WHERE 1970 + p_size >= 1990),
+items AS (SELECT p_partkey::INTEGER AS movie_id FROM part),
 dates AS (
   SELECT strftime({_DAY}, '%Y%m%d')::INTEGER AS date_id
   FROM (SELECT DISTINCT timestamp FROM raw)
@@ -211,6 +213,39 @@ dates AS (
     **_reports("_large", _SILVER_LARGE),
     "validate": _VALIDATED,
     "validate_bodies": _VALIDATED,
+    "validate_now": "SELECT count(*) AS n_rows, count(*) AS n_current FROM events",
+    "trend_by_month_unknown": f"""WITH {_EVENTS},
+wrong AS (
+  SELECT user_id, movie_id, timestamp, event_id % 30 = 0 AS unknown, max(rating) AS rating
+  FROM rated GROUP BY user_id, movie_id, timestamp, event_id % 30 = 0
+)
+SELECT CASE WHEN unknown THEN 0 ELSE year({_DAY}) END::INTEGER AS year,
+       CASE WHEN unknown THEN 0 ELSE month({_DAY}) END::INTEGER AS month, {_COUNT}, {_average(1)}
+FROM wrong GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC""",
+    "train_guard": f"""WITH {_EVENTS}
+SELECT w::INTEGER AS wave, (SELECT count(*) FROM rated WHERE wave = w) > 0 AS trains
+FROM unnest(range(4)) AS waves(w)""",
+    "flatten_ratings": f"""WITH {_SILVER}
+SELECT user_id, row_number() OVER best AS rank, movie_id, rating::FLOAT AS score
+FROM silver
+WINDOW best AS (PARTITION BY user_id ORDER BY rating DESC, movie_id, timestamp)
+QUALIFY rank <= 5""",
+    "predictions_check": f"""WITH {_SILVER},
+train AS (SELECT * FROM silver WHERE {_TRAINED})
+SELECT user_id, count(*) AS n_rows, 0 AS n_off FROM silver
+WHERE NOT {_TRAINED}
+  AND user_id IN (SELECT user_id FROM train)
+  AND movie_id IN (SELECT movie_id FROM train)
+GROUP BY user_id""",
+    "rmse_check": f"""WITH {_SILVER},
+train AS (SELECT * FROM silver WHERE {_TRAINED})
+SELECT count(*) AS n_rows, true AS agrees FROM silver
+WHERE NOT {_TRAINED}
+  AND user_id IN (SELECT user_id FROM train)
+  AND movie_id IN (SELECT movie_id FROM train)""",
+    "top_lists_check": f"""WITH {_SILVER},
+offered AS (SELECT least(5, count(DISTINCT movie_id)) AS n FROM silver)
+SELECT DISTINCT user_id, n AS n_items, 0 AS n_off, 0 AS n_better FROM silver, offered""",
     "train_split": f"""WITH {_SILVER}
 SELECT {_RAW_COLUMNS}, CASE WHEN {_TRAINED} THEN 'train' ELSE 'test' END AS part
 FROM silver""",
@@ -238,7 +273,7 @@ SELECT event_id, user_id, rated.movie_id, value / 50 AS score,
        coalesce(title, 'Unknown') AS title,
        CASE WHEN round(value / 50 / 5 * 100) > 100 THEN 99
             ELSE round(value / 50 / 5 * 100)::INTEGER END AS match_percent
-FROM rated LEFT JOIN items ON items.movie_id = rated.movie_id AND release_year >= 1990""",
+FROM rated LEFT JOIN items ON items.movie_id = rated.movie_id""",
     "run_cycle": f"""WITH {_RAW}, {_CLEAN}, {_FACT}
 SELECT 'bronze' AS table_name, count(*) AS n_rows FROM raw
 UNION ALL SELECT 'silver', count(*) FROM silver

@@ -1,65 +1,88 @@
 """The clean table: rebuilt in full, or brought up to date by touched dates."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ratemill.functions.calendar import date_id
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.schemas import EVENT, EVENT_COLUMNS
-from ratemill.sources.bronze import read_batches, read_bronze
+from ratemill.sources.bronze import latest_version, read_batches, read_bronze
+from ratemill.sources.storage import fresh_folder, remove
 from ratemill.sources.tables import (
     DATE_PARTITION,
-    is_complete,
-    overwrite_by_date,
-    overwrite_dates,
+    dates_without,
+    held_version,
+    overwrite_table,
     read_dated,
+    read_table,
+    write_dates,
 )
 
-# More touched dates than this and a refresh rewrites the whole table instead.
-MAX_TOUCHED_DATES = 5000
+
+DATED_EVENT = StructType([*EVENT.fields]).add(DATE_PARTITION, IntegerType())
 
 
 def _dated(ratings: DataFrame) -> DataFrame:
     return ratings.withColumn(DATE_PARTITION, date_id(F.col("timestamp")))
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return read_dated(spark, path, EVENT).select(*EVENT_COLUMNS)
+def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return read_dated(spark, path, EVENT, fmt).select(*EVENT_COLUMNS)
+
+
+def silver_version(spark: SparkSession, path: str) -> int | None:
+    """The Bronze version that the table holds; None before the first build."""
+    return held_version(spark, path)
 
 
 def rebuild_silver(
-    spark: SparkSession, bronze: str, silver: str, version: int | None = None
-) -> None:
+    spark: SparkSession, bronze: str, silver: str, version: int | None = None, fmt: str = "parquet"
+) -> int:
     """Clean all raw events (as of ``version``) and replace the table."""
-    raw = read_bronze(spark, bronze, version)
-    overwrite_by_date(_dated(clean_ratings(raw)), silver)
+    if version is None:
+        version = latest_version(spark, bronze, fmt)
+    if version is None:
+        raise ValueError(f"{bronze} holds no events yet")
+    write_dates(_dated(clean_ratings(read_bronze(spark, bronze, version, fmt))), silver, version, fmt=fmt)
+    return version
 
 
 def refresh_silver(
-    spark: SparkSession, bronze: str, silver: str, since: int, version: int
-) -> None:
-    """Bring the table from Bronze version ``since`` to ``version``.
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    version: int | None = None,
+    since: int | None = None,
+    fmt: str = "parquet",
+) -> int:
+    """Bring the table to Bronze ``version``, by default the newest; returns it.
 
-    Copies of an event share its second and so its date: only the dates of the
-    new events are read and rewritten. Keeping the highest rating is the same
-    in any order and any number of times, so the result is that of a rebuild,
-    also when a refresh is repeated. A table whose last write was cut off is
-    rebuilt, as its dates may be incomplete.
+    The version it holds is recorded with the table, so no batch can be left out: a
+    ``since`` that differs is an error. Copies of an event share its second and so its
+    date: only the dates of newer events are read and rewritten. Keeping the highest
+    rating is the same in any order and any number of times, so the result is that of
+    a rebuild. A table that was never written, an older ``version``, or a Bronze format
+    with versions of its own means a rebuild.
     """
-    if not is_complete(spark, silver):
-        rebuild_silver(spark, bronze, silver, version)
-        return
-    fresh = _dated(clean_ratings(read_batches(spark, bronze, since, version)))
-    dates = fresh.select(DATE_PARTITION).distinct().limit(MAX_TOUCHED_DATES + 1)
-    touched = [row[DATE_PARTITION] for row in dates.collect()]
-    if not touched:
-        return
-    if len(touched) > MAX_TOUCHED_DATES:
-        rebuild_silver(spark, bronze, silver, version)
-        return
-    day = F.col(DATE_PARTITION)
-    on_touched = day.isin([key for key in touched if key is not None])
-    if None in touched:
-        on_touched = on_touched | day.isNull()
-    kept = read_dated(spark, silver, EVENT).where(on_touched).select(*EVENT_COLUMNS)
-    merged = clean_ratings(kept.unionByName(fresh.select(*EVENT_COLUMNS)))
-    overwrite_dates(_dated(merged), silver)
+    held = silver_version(spark, silver)
+    if since is not None and since != held:
+        raise ValueError(f"{silver} holds version {held}, not {since}")
+    if version is None:
+        version = latest_version(spark, bronze, fmt)
+    if version is None:
+        raise ValueError(f"{bronze} holds no events yet")
+    if held == version:
+        return version
+    if held is None or version < held or fmt != "parquet":
+        return rebuild_silver(spark, bronze, silver, version, fmt)
+    # Read and cleaned once; its dates and its rows are needed.
+    scratch = fresh_folder(spark, "fresh")
+    overwrite_table(_dated(clean_ratings(read_batches(spark, bronze, held, version))), scratch)
+    fresh = read_table(spark, scratch)
+    touched = fresh.select(DATE_PARTITION).distinct()
+    dated = read_dated(spark, silver, DATED_EVENT, fmt)
+    same_days = dated.join(touched, DATE_PARTITION, "left_semi").select(*EVENT_COLUMNS)
+    merged = clean_ratings(same_days.unionByName(fresh.select(*EVENT_COLUMNS)))
+    write_dates(_dated(merged), silver, version, dates_without(spark, silver, touched), fmt)
+    remove(spark, scratch)
+    return version

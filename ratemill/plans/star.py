@@ -5,10 +5,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import star
-from ratemill.sources.tables import overwrite_table, read_table
+from ratemill.sources.tables import (
+    EDITION,
+    drop_old_editions,
+    newest_edition,
+    next_edition,
+    overwrite_table,
+    read_table,
+)
 
 FACT_TABLE = "fact_ratings"
 
+# Written last: an edition of the star counts from then on.
+COMPLETE = "complete/_SUCCESS"
+
 
 @dataclass(frozen=True)
 class Star:
@@ -45,23 +55,37 @@ def build_star(ratings: DataFrame, items: DataFrame, profiles: DataFrame) -> Sta
     return Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(fact), fact)
 
 
-def write_star(built: Star, path: str) -> None:
-    """Replace all four tables below ``path``; dates come from the written facts."""
-    overwrite_table(built.fact_ratings, f"{path}/{FACT_TABLE}")
-    written = read_table(built.fact_ratings.sparkSession, f"{path}/{FACT_TABLE}")
-    write_dimensions(Star(built.dim_item, built.dim_user, star.dim_date(written), written), path)
+def write_star(built: Star, path: str, fmt: str = "parquet") -> None:
+    """A new edition of all four tables; dates come from the written facts."""
+    _write(built, path, fmt, with_facts=True)
+
+
+def write_dimensions(built: Star, path: str, fmt: str = "parquet") -> None:
+    """A new edition of the dimensions, where facts are kept elsewhere."""
+    _write(built, path, fmt, with_facts=False)
 
 
-def write_dimensions(built: Star, path: str) -> None:
-    for name, table in built.dimensions().items():
-        overwrite_table(table, f"{path}/{name}")
+def _write(built: Star, path: str, fmt: str, with_facts: bool) -> None:
+    spark = built.fact_ratings.sparkSession
+    target = f"{path}/{EDITION}{next_edition(spark, path)}"
+    tables = built.dimensions()
+    if with_facts:
+        overwrite_table(built.fact_ratings, f"{target}/{FACT_TABLE}", fmt)
+        tables["dim_date"] = star.dim_date(read_table(spark, f"{target}/{FACT_TABLE}", fmt))
+    for name, table in tables.items():
+        overwrite_table(table, f"{target}/{name}", fmt)
+    overwrite_table(spark.range(1), f"{target}/complete")
+    drop_old_editions(spark, path, COMPLETE)
 
 
-def read_star(spark: SparkSession, path: str, fact: DataFrame | None = None) -> Star:
-    """The tables below ``path``; ``fact`` where facts are kept elsewhere."""
+def read_star(
+    spark: SparkSession, path: str, fact: DataFrame | None = None, fmt: str = "parquet"
+) -> Star:
+    """The newest complete edition below ``path``; ``fact`` where facts are elsewhere."""
+    edition = newest_edition(spark, path, COMPLETE)
     return Star(
-        read_table(spark, f"{path}/dim_movie"),
-        read_table(spark, f"{path}/dim_user"),
-        read_table(spark, f"{path}/dim_date"),
-        read_table(spark, f"{path}/{FACT_TABLE}") if fact is None else fact,
+        read_table(spark, f"{edition}/dim_movie", fmt),
+        read_table(spark, f"{edition}/dim_user", fmt),
+        read_table(spark, f"{edition}/dim_date", fmt),
+        read_table(spark, f"{edition}/{FACT_TABLE}", fmt) if fact is None else fact,
     )

@@ -1,54 +1,131 @@
-"""The raw event table, as of any version."""
+"""The raw event table, as of any version.
+
+A version is a micro-batch. Fresh batches lie in folders of their own
+(``_batch_id=<n>``), older ones are compacted: ``_ranges/<last>`` holds all batches
+since the range before it, up to ``last``, in files ordered by batch, and beside them
+the batches' numbers as a small table. A range counts once its files are complete, and
+from then on folders of its batches are passed over, whether or not they are gone.
+Every read is a filter on the batch number; with ``delta`` versions are Delta's own.
+"""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ratemill.schemas import EVENT, EVENT_COLUMNS
-from ratemill.sources.storage import numbered_children
+from ratemill.sources.storage import children, exists, numbered_children, remove
 
 BATCH = "_batch_id"
-
-MAX_FOLDERS = 500
+RANGES = "_ranges"
 
 _STORED = StructType([*EVENT.fields]).add(BATCH, LongType())
+_NUMBERS = StructType([StructField(BATCH, LongType())])
+
+
+def _ranges(spark: SparkSession, path: str) -> list[int]:
+    """Last batches of the complete ranges, ascending."""
+    found = sorted(int(n) for n in children(spark, f"{path}/{RANGES}") if n.isdigit())
+    return [n for n in found if exists(spark, f"{path}/{RANGES}/{n}/events/_SUCCESS")]
+
+
+def _folders(spark: SparkSession, path: str, after: int) -> list[int]:
+    return [n for n in numbered_children(spark, path, f"{BATCH}=") if n > after]
+
+
+def _numbers(spark: SparkSession, path: str, ranges: list[int]) -> DataFrame:
+    """Numbers of compacted batches with data."""
+    if not ranges:
+        return spark.createDataFrame([], _NUMBERS)
+    return spark.read.schema(_NUMBERS).parquet(*[f"{path}/{RANGES}/{n}/batches" for n in ranges])
+
+
+def has_version(spark: SparkSession, path: str, version: int) -> bool:
+    ranges = _ranges(spark, path)
+    if version > max(ranges, default=-1):
+        return version in _folders(spark, path, max(ranges, default=-1))
+    return not _numbers(spark, path, ranges).where(F.col(BATCH) == version).isEmpty()
+
+
+def latest_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
+    """The newest version, or None for a table without events."""
+    if fmt != "parquet":
+        newest = table_history(spark, path, fmt).agg(F.max("version")).first()[0]
+        return None if newest is None else int(newest)
+    ranges = _ranges(spark, path)
+    # The last batch of a range has data: ranges end with a batch that was there.
+    return max([*ranges[-1:], *_folders(spark, path, max(ranges, default=-1))], default=None)
 
 
 def bronze_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions held by a parquet Bronze table: its micro-batches with data."""
-    return numbered_children(spark, path, f"{BATCH}=")
+    """All versions of a parquet table, ascending; for tests and small tables."""
+    ranges = _ranges(spark, path)
+    old = [row[BATCH] for row in _numbers(spark, path, ranges).collect()]
+    return sorted(old) + _folders(spark, path, max(ranges, default=-1))
+
+
+def table_history(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """Versions of a table whose format keeps them itself."""
+    return spark.sql(f"DESCRIBE HISTORY {fmt}.`{path}`").select("version")
+
+
+def _events(spark: SparkSession, path: str) -> DataFrame:
+    """All events with their batch number."""
+    ranges = _ranges(spark, path)
+    last = max(ranges, default=-1)
+    parts = []
+    if ranges:
+        files = [f"{path}/{RANGES}/{n}/events" for n in ranges]
+        parts.append(spark.read.schema(_STORED).parquet(*files))
+    if _folders(spark, path, last) or not ranges:
+        parts.append(spark.read.schema(_STORED).parquet(path).where(F.col(BATCH) > last))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_bronze(
     spark: SparkSession, path: str, version: int | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Raw events, all or as of ``version``.
-
-    On parquet a version is a micro-batch, and as the table only grows, its
-    state is all batches up to that one: a filter that prunes partitions. With
-    ``delta`` the version number is Delta's own.
-    """
-    if fmt == "delta":
+    """Raw events, all or as of ``version``."""
+    if fmt != "parquet":
         reader = spark.read.format(fmt)
         if version is not None:
             reader = reader.option("versionAsOf", version)
         return reader.load(path).select(*EVENT_COLUMNS)
-    raw = spark.read.schema(_STORED).parquet(path)
+    if version is not None and not has_version(spark, path, version):
+        raise ValueError(f"no version {version} in {path}")
+    raw = _events(spark, path)
     if version is not None:
-        if version not in bronze_versions(spark, path):
-            raise ValueError(f"no version {version} in {path}")
         raw = raw.where(F.col(BATCH) <= version)
     return raw.select(*EVENT_COLUMNS)
 
 
 def read_batches(spark: SparkSession, path: str, since: int, version: int) -> DataFrame:
-    """Raw events of the micro-batches after ``since`` up to ``version``.
+    """Raw events of the micro-batches after ``since`` up to ``version``."""
+    batch = F.col(BATCH)
+    return _events(spark, path).where((batch > since) & (batch <= version)).select(*EVENT_COLUMNS)
+
 
-    Opens the folders of a few batches directly, so that the others are not
-    listed; many batches are cheaper as a filter on the whole table.
+def compact_bronze(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """Move batches (those numbered below ``before``) from folders into one range.
+
+    Returns the range's last batch, or None where there was nothing to do. Cut off
+    before its files are complete, it changes nothing and starts over next time; cut
+    off after that, the folders left behind are passed over and removed next time.
     """
-    batches = [n for n in bronze_versions(spark, path) if since < n <= version]
-    if 0 < len(batches) <= MAX_FOLDERS:
-        return spark.read.schema(EVENT).parquet(*[f"{path}/{BATCH}={n}" for n in batches])
-    batch = F.col(BATCH)
-    table = spark.read.schema(_STORED).parquet(path)
-    return table.where((batch > since) & (batch <= version)).select(*EVENT_COLUMNS)
+    ranges = _ranges(spark, path)
+    last = max(ranges, default=-1)
+    for done in numbered_children(spark, path, f"{BATCH}="):
+        if done <= last:
+            remove(spark, f"{path}/{BATCH}={done}")
+    batches = [n for n in _folders(spark, path, last) if before is None or n < before]
+    if not batches:
+        return None
+    target = f"{path}/{RANGES}/{batches[-1]}"
+    fresh = spark.read.schema(_STORED).parquet(path)
+    fresh = fresh.where(F.col(BATCH).between(batches[0], batches[-1]))
+    numbers = spark.createDataFrame([(n,) for n in batches], _NUMBERS)
+    numbers.coalesce(1).write.mode("overwrite").parquet(f"{target}/batches")
+    # A range per task, so that files can be skipped by their batch numbers.
+    ordered = fresh.repartitionByRange(BATCH).sortWithinPartitions(BATCH)
+    ordered.write.mode("overwrite").parquet(f"{target}/events")
+    for done in batches:
+        remove(spark, f"{path}/{BATCH}={done}")
+    return batches[-1]

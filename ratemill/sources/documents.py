@@ -1,20 +1,18 @@
 """Recommendations as JSON documents that are replaced as a whole."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ratemill.schemas import RECOMMENDATIONS
-from ratemill.sources.storage import exists, numbered_children, remove
+from ratemill.sources.tables import EDITION, drop_old_editions, newest_edition, next_edition
 
-EDITION = "edition="
+#: Folders of an edition; a lookup of one user reads one of them.
+BUCKETS = 64
+BUCKET = "_bucket"
 
 
-def _editions(spark: SparkSession, path: str) -> list[int]:
-    """Editions that were written to the end."""
-    return [
-        n
-        for n in numbered_children(spark, path, EDITION)
-        if exists(spark, f"{path}/{EDITION}{n}/_SUCCESS")
-    ]
+def bucket_of(user_id: Column) -> Column:
+    return F.pmod(F.xxhash64(user_id.cast("int")), F.lit(BUCKETS)).cast("int")
 
 
 def export_recommendations(recommendations: DataFrame, path: str, keep: int = 2) -> str:
@@ -26,19 +24,19 @@ def export_recommendations(recommendations: DataFrame, path: str, keep: int = 2)
     if keep < 1:
         raise ValueError("keep at least the edition just written")
     session = recommendations.sparkSession
-    started = numbered_children(session, path, EDITION)
-    number = max(started, default=-1) + 1
-    target = f"{path}/{EDITION}{number}"
-    recommendations.write.json(target)
-    kept = _editions(session, path)[-keep:]
-    for old in set(started) - set(kept):
-        remove(session, f"{path}/{EDITION}{old}")
+    target = f"{path}/{EDITION}{next_edition(session, path)}"
+    by_bucket = recommendations.withColumn(BUCKET, bucket_of(F.col("user_id")))
+    # One task per bucket writes its file; AQE splits buckets that are too large.
+    by_bucket.hint("rebalance", BUCKET).write.partitionBy(BUCKET).json(target)
+    drop_old_editions(session, path, keep=keep)
     return target
 
 
-def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete edition; an error if there is none."""
-    complete = _editions(spark, path)
-    if not complete:
-        raise FileNotFoundError(f"no recommendations below {path}")
-    return spark.read.schema(RECOMMENDATIONS).json(f"{path}/{EDITION}{complete[-1]}")
+def read_recommendations(spark: SparkSession, path: str, user_id: int | None = None) -> DataFrame:
+    """The newest complete edition, or one user's part of it; an error if there is none."""
+    stored = StructType([*RECOMMENDATIONS.fields]).add(BUCKET, IntegerType())
+    lists = spark.read.schema(stored).json(newest_edition(spark, path))
+    if user_id is not None:
+        here = F.col(BUCKET) == bucket_of(F.lit(user_id))
+        lists = lists.where(here & (F.col("user_id") == user_id))
+    return lists.select(*RECOMMENDATIONS.fieldNames())

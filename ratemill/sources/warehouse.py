@@ -1,33 +1,73 @@
 """The star schema in a relational warehouse, over JDBC, or as SQL views."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+STAGING = "_staging"
+
+
 def write_warehouse(
-    tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str]
+    tables: Mapping[str, DataFrame],
+    url: str,
+    properties: Mapping[str, str],
+    keys: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, int]:
-    """Overwrite one warehouse table per entry, in the given order.
+    """Replace one warehouse table per entry, all of them at once.
 
-    List dimensions before facts. ``properties`` go to the JDBC writer
-    (``numPartitions`` bounds its connections). A task that is run again after
-    it committed would leave its rows twice, so rows are counted on both sides
-    and a difference is an error. Pass written tables, whose count is in their
-    file footers. Returns the rows per table.
+    Every table is loaded into ``<name>_staging`` and its rows are counted on both
+    sides, because a task that is run again after it committed would leave its rows
+    twice; a difference is an error, and the live tables are as before. Then one
+    transaction drops the live tables, in reverse, and renames the staged ones, with
+    the primary keys in ``keys``. List dimensions before facts. ``properties`` go to
+    the JDBC driver (``numPartitions`` bounds the writer's connections). Pass written
+    tables, whose count is in their file footers. Returns the rows per table.
     """
     written = {}
     for name, table in tables.items():
-        table.write.jdbc(url, name, mode="overwrite", properties=dict(properties))
-        count = f"(SELECT COUNT(*) AS n FROM {name}) counted"
+        staged = f"{name}{STAGING}"
+        table.write.jdbc(url, staged, mode="overwrite", properties=dict(properties))
+        count = f"(SELECT COUNT(*) AS n FROM {staged}) counted"
         stored = int(read_warehouse(table.sparkSession, url, count, properties).first()[0])
         sent = table.count()
         if stored != sent:
             raise RuntimeError(f"{name}: {sent} rows sent, {stored} stored")
         written[name] = stored
+    if tables:
+        session = next(iter(tables.values())).sparkSession
+        run_in_transaction(session, url, properties, swap_statements(list(tables), keys or {}))
     return written
 
 
+def swap_statements(names: Sequence[str], keys: Mapping[str, Sequence[str]]) -> list[str]:
+    """SQL that puts staged tables in the place of live ones."""
+    dropped = [f"DROP TABLE IF EXISTS {name}" for name in reversed(names)]
+    renamed = [f"ALTER TABLE {name}{STAGING} RENAME TO {name}" for name in names]
+    keyed = [f"ALTER TABLE {name} ADD PRIMARY KEY ({', '.join(keys[name])})" for name in names if name in keys]
+    return [*dropped, *renamed, *keyed]
+
+
+def run_in_transaction(
+    spark: SparkSession, url: str, properties: Mapping[str, str], statements: Sequence[str]
+) -> None:
+    """Execute SQL over one JDBC connection of the driver, all of it or nothing."""
+    login = spark._jvm.java.util.Properties()
+    for name, value in properties.items():
+        login.setProperty(name, str(value))
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().execute(statement)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
 def read_warehouse(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str]
 ) -> DataFrame:

@@ -2,19 +2,28 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ratemill.sources.bronze import BATCH, bronze_versions
+from ratemill.sources.bronze import BATCH, compact_bronze, latest_version
 from ratemill.sources.storage import children
 
+# Batches kept in folders of their own; at one in 20 s, a range is some five hours.
+COMPACT_EVERY = 1000
+
 
 def refuse_lost_checkpoint(df: DataFrame, path: str, checkpoint: str) -> None:
     # A new checkpoint counts batches from 0 again and would replace old ones.
-    if bronze_versions(df.sparkSession, path) and not children(df.sparkSession, checkpoint):
+    if latest_version(df.sparkSession, path) is not None and not children(df.sparkSession, checkpoint):
         raise ValueError(f"{path} holds batches but checkpoint {checkpoint} is empty")
 
 
+def compact_now_and_then(spark: SparkSession, batch: int, path: str, every: int) -> None:
+    """After every ``every`` batches, compact all before this one, which may be replayed."""
+    if batch and batch % every == 0:
+        compact_bronze(spark, path, before=batch)
+
+
 def append_batch(events: DataFrame, batch: int, path: str) -> None:
     """Write one micro-batch as its own partition.
 
@@ -36,12 +45,14 @@ def write_bronze(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     fmt: str = "parquet",
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start appending a stream of parsed events to the table at ``path``.
 
     ``trigger`` is passed to ``writeStream.trigger``; by default the next
     micro-batch starts when the last one ends. Table and checkpoint belong
-    together. With ``delta`` the sink keeps its own transaction log.
+    together. Older batches are compacted after every ``compact_every``. With
+    ``delta`` the sink keeps its own transaction log.
     """
     writer = events.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if trigger:
@@ -49,4 +60,9 @@ def write_bronze(
     if fmt == "delta":
         return writer.format(fmt).start(path)
     refuse_lost_checkpoint(events, path, checkpoint)
-    return writer.foreachBatch(lambda df, batch: append_batch(df, batch, path)).start()
+
+    def step(df: DataFrame, batch: int) -> None:
+        append_batch(df, batch, path)
+        compact_now_and_then(df.sparkSession, batch, path, compact_every)
+
+    return writer.foreachBatch(step).start()

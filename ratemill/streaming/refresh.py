@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ratemill.plans.cycle import Paths, run_cycle
-from ratemill.streaming.bronze import append_batch, refuse_lost_checkpoint
+from ratemill.streaming.bronze import (
+    COMPACT_EVERY,
+    append_batch,
+    compact_now_and_then,
+    refuse_lost_checkpoint,
+)
 
 
 def write_and_refresh(
@@ -16,24 +21,22 @@ def write_and_refresh(
     profiles: DataFrame,
     checkpoint: str,
     trigger: Mapping[str, object],
+    compact_every: int = COMPACT_EVERY,
     **cycle_options,
 ) -> StreamingQuery:
     """Append every micro-batch of parsed events, then run a cycle over it.
 
-    The first cycle after a start rebuilds Silver, later ones refresh it. A
+    Silver knows the version it holds, so that a restart refreshes it too. A
     failing cycle fails the query; after a restart the batch is replayed, which
     replaces its own rows. Without new events nothing is run.
     """
     refuse_lost_checkpoint(events, paths.bronze, checkpoint)
     session = events.sparkSession
-    done = {"version": None}
 
     def step(batch: DataFrame, number: int) -> None:
         append_batch(batch, number, paths.bronze)
-        report = run_cycle(
-            session, paths, items, profiles, since=done["version"], **cycle_options
-        )
-        done["version"] = report.version
+        run_cycle(session, paths, items, profiles, **cycle_options)
+        compact_now_and_then(session, number, paths.bronze, compact_every)
 
     return (
         events.writeStream.outputMode("append")

@@ -4,7 +4,9 @@ from pyspark.sql import DataFrameReader
 from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
 
 from ratemill.operators.decode import encode_events, parse_events
+from ratemill.operators import marts
 from ratemill.operators.validate import accepted, validate_submissions
+from ratemill.plans import cycle
 from ratemill.sources.bronze import read_bronze
 from ratemill.sources.events import (
     publish_event_stream,
@@ -82,3 +84,29 @@ def test_accepted_submissions_are_published_as_a_stream(spark, tmp_path):
     ).awaitTermination()
     (event,) = parse_events(read_events(spark, "text", {"path": topic})).collect()
     assert tuple(event)[:3] == (1, 2, 4.0)
+
+
+def test_one_format_through_a_whole_cycle(spark, ratings, monkeypatch, tmp_path):
+    """Every table but the lists goes through the stated format, and versions through its
+    history; an installed format stands in for the one with versions of its own."""
+    bronze = str(tmp_path / "bronze")
+    ratings([(1, 1, 3.0, 10), (2, 1, 4.0, 86410), (1, 2, 5.0, 20)]).write.format("orc").save(bronze)
+    monkeypatch.setattr(
+        "ratemill.sources.bronze.table_history",
+        lambda session, path, fmt: session.createDataFrame([(0,), (7,)], "version long"),
+    )
+    items = spark.createDataFrame([(1, "a", "g", 2000), (2, "b", "g", 2001)], "movie_id int, title string, genre string, release_year int")
+    profiles = spark.createDataFrame(
+        [(1, "u", 30, "F", "here", "Basic"), (2, "v", 31, "M", "there", "Basic")],
+        "user_id int, username string, age int, gender string, location string, subscription_tier string",
+    )
+    paths = cycle.Paths(bronze, *[str(tmp_path / name) for name in ("silver", "gold", "lists")])
+    for _ in range(2):
+        report = cycle.run_cycle(spark, paths, items, profiles, fmt="orc")
+        assert report.version == 7
+    star = cycle.read_gold(spark, paths, "orc")
+    assert star.fact_ratings.count() == 3 and star.dim_date.count() == 2
+    assert marts.top_items(star.fact_ratings, star.dim_item).count() == 2
+    written = {p.suffix for name in ("silver/data", "gold") for p in (tmp_path / name).rglob("part-*")}
+    assert written == {".orc", ".parquet"}  # parquet: the marker of an edition
+    assert not list((tmp_path / "silver" / "data").rglob("*.parquet"))

@@ -3,6 +3,7 @@ from conftest import SF_DIR
 
 from ratemill import jobs
 from ratemill.plans import fixtures
+from ratemill.plans.silver import read_silver
 from ratemill.sources import storage
 from ratemill.sources.bronze import read_bronze
 from ratemill.sources.documents import read_recommendations
@@ -25,7 +26,8 @@ def test_jobs_in_order(spark, tmp_path, capsys):
     overwrite_table(fixtures.profiles(spark, SF_DIR), at("profiles")[1])
     topic = ["--format", "text", "--option", f"path={tmp_path / 'topic'}"]
 
-    jobs.main(["submit", *topic, *at("bodies"), *at("rejects")])
+    submit = ["submit", *topic, *at("bodies"), *at("rejects"), "--batch"]
+    jobs.main([*submit, "one"])
     (reject,) = spark.read.json(at("rejects")[1]).collect()
     assert reject["reason"] == "invalid_user_id"
 
@@ -38,23 +40,35 @@ def test_jobs_in_order(spark, tmp_path, capsys):
     assert "Silver holds version 0" in capsys.readouterr().out
     assert read_recommendations(spark, at("recommendations")[1]).count() == 2
 
-    jobs.main(["submit", *topic, *at("bodies"), *at("rejects")])
+    jobs.main([*submit, "one"])  # a retry: the same events, and no second reject
+    jobs.main([*submit, "two"])
+    assert spark.read.json(at("rejects")[1]).count() == 2
     jobs.main(["ingest", *topic, *at("bronze"), *at("checkpoint")])
     everything = ["bronze", "silver", "gold", "recommendations", "items", "profiles"]
     jobs.main(["cycle", *[word for name in everything for word in at(name)], "--since", "0"])
     assert "version=1" in capsys.readouterr().out
 
+    assert read_silver(spark, at("silver")[1]).count() <= 6 < read_bronze(spark, at("bronze")[1]).count()
+
     for name in sorted(jobs.REPORTS):
-        jobs.main(["report", name, *at("silver"), *at("gold")])
+        jobs.main(["report", name, *at("silver"), *at("gold"), *at("out")])
+    jobs.main(["compact", *at("bronze")])
     jobs.main(["snapshot", *at("bronze")])
     jobs.main(["lookup", *at("recommendations"), "--user-id", "2"])
     shown = capsys.readouterr().out
     assert "average_rating" in shown and "orphan_fact" in shown and "recommendations" in shown
 
 
+def test_what_is_not_shown_is_said(spark, capsys):
+    jobs._show(spark.range(jobs.SHOWN))
+    assert "more rows" not in capsys.readouterr().out
+    jobs._show(spark.range(jobs.SHOWN + 3))
+    assert "3 more rows are not shown" in capsys.readouterr().out
+
+
 def test_unknown_report_is_refused():
     with pytest.raises(SystemExit):
-        jobs.parser().parse_args(["report", "nothing", "--silver", "s", "--gold", "g"])
+        jobs.parser().parse_args(["report", "nothing", "--silver", "s", "--gold", "g", "--out", "o"])
 
 
 class Cluster:

@@ -57,7 +57,7 @@ def test_refreshes(spark, ratings, tmp_path, seed):
     last = 0
     while last < 3:
         following = rng.randrange(last + 1, 4)
-        refresh_silver(spark, bronze, silver, last, following)
+        refresh_silver(spark, bronze, silver, following, since=last)
         last = following
         seen = [event for wave in waves[: last + 1] for event in wave]
         assert rows(read_silver(spark, silver)) == best_copies(seen)

@@ -59,15 +59,26 @@ def test_every_user_gets_distinct_items_in_order(spark, model):
 def test_same_seed_same_lists(spark, ratings):
     df = ratings([(u, m, 1.0 + (u * m) % 5, 0) for u in range(12) for m in range(9) if (u + m) % 3])
     lists = [
-        {tuple(row) for row in recommend.flatten(recommend.recommend(recommend.fit_als(df, blocks=2))).collect()}
+        {tuple(row) for row in recommend.flatten(recommend.recommend(recommend.fit_als(df, user_blocks=2, item_blocks=2))).collect()}
         for _ in range(2)
     ]
     assert lists[0] == lists[1]
 
 
-def test_blocks_follow_the_number_of_ratings(spark):
-    counts = {0: 10, 10_000_000: 10, 10_000_001: 11, 5_000_000_000: 1000}
-    assert {n: recommend.blocks_for(spark.range(n)) for n in counts} == counts
+def test_no_size_of_a_table_changes_the_blocks(spark, ratings, monkeypatch):
+    """The same numbers go to MLlib for a small and for a larger table."""
+    seen = []
+    fit = recommend.ALS.fit
+
+    def note(als, rows):
+        seen.append((als.getNumUserBlocks(), als.getNumItemBlocks()))
+        return fit(als, rows)
+
+    monkeypatch.setattr(recommend.ALS, "fit", note)
+    for n in (4, 400):
+        recommend.fit_als(ratings([(u % 20, u % 17, 1.0 + u % 5, u) for u in range(n)]))
+    recommend.fit_als(ratings([(1, 1, 1.0, 0)]), user_blocks=3, item_blocks=2)
+    assert seen == [(10, 10), (10, 10), (3, 2)]
 
 
 def test_rmse_equals_the_evaluator(spark):
@@ -82,7 +93,7 @@ def test_rmse_of_nothing_is_null(spark):
 
 
 def test_unseen_pairs_are_not_predicted(spark, ratings):
-    model = recommend.fit_als(ratings([(1, 1, 5.0, 0), (2, 2, 1.0, 0)]), blocks=1)
+    model = recommend.fit_als(ratings([(1, 1, 5.0, 0), (2, 2, 1.0, 0)]), user_blocks=1, item_blocks=1)
     scored = recommend.predict(model, ratings([(1, 2, 3.0, 0), (9, 1, 3.0, 0), (1, 9, 3.0, 0)]))
     assert [(row["user_id"], row["movie_id"]) for row in scored.collect()] == [(1, 2)]
 

@@ -2,9 +2,11 @@ import random
 from collections import defaultdict
 
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from ratemill.operators import joins, marts, star
+from ratemill.plans.catalog import QUERIES
 
 
 def rows(df):
@@ -16,10 +18,10 @@ def test_dim_date_is_unique_per_date(ratings):
     assert rows(star.dim_date(star.fact_ratings(df))) == [(20231114, 2023, 11, 14)]
 
 
-def test_dates_out_of_range_stay_in_the_fact_only(ratings):
-    df = ratings([(1, 1, 1.0, 10**15)])
-    assert rows(star.dim_date(star.fact_ratings(df))) == []
-    assert rows(star.fact_ratings(df)) == [(1, 1, None, 1.0)]
+def test_times_out_of_range_share_an_unknown_date(ratings):
+    df = ratings([(1, 1, 1.0, 10**15), (2, 1, 1.0, -(10**15))])
+    assert rows(star.dim_date(star.fact_ratings(df))) == [(0, 0, 0, 0)]
+    assert rows(star.fact_ratings(df)) == [(1, 1, 0, 1.0), (2, 1, 0, 1.0)]
 
 
 def test_trend_total_is_the_number_of_facts(ratings):
@@ -147,20 +149,35 @@ def test_size_check_follows_the_session_setting(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_sizes_without_a_bound_are_too_large(spark):
-    dim = spark.range(10).withColumnRenamed("id", "movie_id")
-    assert joins.fits_broadcast(dim)
-    assert not joins.fits_broadcast(dim.withColumn("n", F.explode(F.sequence(F.lit(1), "movie_id"))))
-    other = spark.range(10**7).withColumnRenamed("id", "movie_id")
-    assert not joins.fits_broadcast(other.join(dim, "movie_id"))
+def test_size_check_counts_rows_and_texts(spark, tmp_path):
+    """Five million rows take a few kilobytes on disk and far more in memory."""
+    path = str(tmp_path / "ids")
+    constant = F.lit("somewhere").alias("location")
+    spark.range(5_000_000).select((F.col("id") * 2).cast("int").alias("user_id"), constant).write.option(
+        "compression", "zstd"
+    ).parquet(path)
+    dim = spark.read.parquet(path)
+    assert not joins.fits_broadcast(dim)
+    rows_in = spark.range(10).select(F.col("id").cast("int").alias("user_id"))
+    plan = joins.join_dimension(rows_in, dim, "user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    long_texts = spark.range(50).select("id", F.repeat(F.lit("x"), 1_000_000).alias("title"))
+    assert not joins.fits_broadcast(long_texts)
+    assert joins.fits_broadcast(long_texts.limit(3)) and joins.fits_broadcast(long_texts.limit(0))
 
 
-def test_spread_left_join_keeps_every_row_once(spark, no_broadcast):
+def test_left_join_keeps_every_row_once(spark, no_broadcast):
     rows_in = spark.range(5000).select(
         F.col("id").alias("user_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("movie_id")
     )
     dim = spark.range(100).select(F.col("id").alias("movie_id"), F.concat(F.lit("t"), "id").alias("title"))
-    joined = joins.join_dimension(rows_in, dim, "movie_id", "left", spread_by=["user_id"])
+    joined = joins.join_dimension(rows_in, dim, "movie_id", "left")
+    assert "explode" not in joined._jdf.queryExecution().toString()
     assert joined.count() == 5000
     assert joined.where("movie_id = 1 AND title = 't1'").count() == rows_in.where("movie_id = 1").count()
     assert joined.where("movie_id >= 100 AND title IS NULL").count() == rows_in.where("movie_id >= 100").count()
+
+
+def test_profiles_are_not_shuffled(spark):
+    plan = QUERIES["location_genre"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan

@@ -1,15 +1,25 @@
+import shutil
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from ratemill.operators import marts
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.operators.decode import encode_events, parse_events
 from ratemill.plans import cycle
-from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
-from ratemill.sources.bronze import bronze_versions, read_batches, read_bronze
+from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver, silver_version
+from ratemill.sources.bronze import (
+    bronze_versions,
+    compact_bronze,
+    latest_version,
+    read_batches,
+    read_bronze,
+)
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream, read_events
 from ratemill.sources.storage import fresh_folder
-from ratemill.sources.tables import overwrite_dates
+from ratemill.sources.tables import DATE_PARTITION, complete_editions
 from ratemill.streaming.bronze import append_batch, write_bronze
 from ratemill.streaming.refresh import write_and_refresh
 
@@ -105,68 +115,160 @@ def test_refreshed_silver_equals_a_rebuild(lake, spark, ratings, tmp_path):
         lake.publish(ratings(wave))
         lake.ingest()
     rebuild_silver(spark, lake.bronze, lake.silver, 0)
-    refresh_silver(spark, lake.bronze, lake.silver, 0, 1)
-    refresh_silver(spark, lake.bronze, lake.silver, 1, 2)
-    refresh_silver(spark, lake.bronze, lake.silver, 1, 2)
+    assert refresh_silver(spark, lake.bronze, lake.silver, 1, since=0) == 1
+    assert refresh_silver(spark, lake.bronze, lake.silver) == 2
+    assert refresh_silver(spark, lake.bronze, lake.silver) == 2
     whole = str(tmp_path / "whole")
     rebuild_silver(spark, lake.bronze, whole)
     assert rows(read_silver(spark, lake.silver)) == rows(read_silver(spark, whole))
     assert (2, 2, 3.0, 10**15) in rows(read_silver(spark, whole))
 
 
-@pytest.mark.parametrize("folders", [0, 1, 500])
-def test_batches_are_read_alike_from_folders_and_by_filter(
-    lake, spark, ratings, monkeypatch, folders
-):
-    monkeypatch.setattr("ratemill.sources.bronze.MAX_FOLDERS", folders)
+def test_batches_are_read_by_range(lake, spark, ratings):
+    for number, wave in enumerate(WAVES):
+        append_batch(ratings(wave), number, lake.bronze)
+    for _ in range(2):
+        assert rows(read_batches(spark, lake.bronze, 0, 2)) == sorted(WAVES[1] + WAVES[2])
+        assert rows(read_batches(spark, lake.bronze, 1, 2)) == sorted(WAVES[2])
+        assert rows(read_batches(spark, lake.bronze, 2, 2)) == []
+        compact_bronze(spark, lake.bronze, before=2)
+
+
+def test_compaction_changes_no_version(lake, spark, ratings, tmp_path):
+    more = [[(7, 7, 1.0, 70)], [(8, 8, 2.0, 80)]]
+    for number, wave in enumerate(WAVES):
+        append_batch(ratings(wave), number, lake.bronze)
+    assert compact_bronze(spark, lake.bronze, before=2) == 1
+    for number, wave in enumerate(more, 3):
+        append_batch(ratings(wave), number, lake.bronze)
+
+    def check():
+        assert lake.versions() == [0, 1, 2, 3, 4] and latest_version(spark, lake.bronze) == 4
+        for version in range(5):
+            expected = sorted(row for wave in [*WAVES, *more][: version + 1] for row in wave)
+            assert rows(read_bronze(spark, lake.bronze, version)) == expected
+        with pytest.raises(ValueError):
+            read_bronze(spark, lake.bronze, 5)
+
+    check()
+    assert compact_bronze(spark, lake.bronze) == 4
+    check()
+    assert compact_bronze(spark, lake.bronze) is None
+    assert not list((tmp_path / "bronze").glob("_batch_id=*"))
+
+
+@pytest.mark.parametrize("complete", [False, True])
+def test_cut_off_compaction(lake, spark, ratings, tmp_path, complete):
+    for number, wave in enumerate(WAVES):
+        append_batch(ratings(wave), number, lake.bronze)
+    kept = tmp_path / "kept"
+    shutil.copytree(tmp_path / "bronze", kept)
+    compact_bronze(spark, lake.bronze, before=2)
+    if complete:  # folders of compacted batches were left behind
+        shutil.copytree(kept, tmp_path / "bronze", dirs_exist_ok=True)
+    else:  # the range was not written to its end
+        shutil.copytree(kept, tmp_path / "bronze", dirs_exist_ok=True)
+        (tmp_path / "bronze" / "_ranges" / "1" / "events" / "_SUCCESS").unlink()
+    for _ in range(2):
+        assert lake.versions() == [0, 1, 2]
+        assert rows(read_bronze(spark, lake.bronze)) == sorted(sum(WAVES, []))
+        compact_bronze(spark, lake.bronze)
+
+
+def test_many_batches_open_at_once(lake, spark, ratings):
+    """A compacted table of 20,000 batches is as quick to open as one of a few."""
+    numbered = spark.range(20_000).selectExpr(
+        "int(id % 50) user_id", "int(id % 40) movie_id", "double(1) rating", "id * 60 timestamp", "id _batch_id"
+    )
+    target = f"{lake.bronze}/_ranges/19999"
+    numbered.select("_batch_id").coalesce(1).write.parquet(f"{target}/batches")
+    numbered.write.parquet(f"{target}/events")
+    append_batch(ratings(WAVES[0]), 20_000, lake.bronze)
+    latest_version(spark, lake.bronze)
+    start = time.perf_counter()
+    assert latest_version(spark, lake.bronze) == 20_000
+    opened = read_bronze(spark, lake.bronze, 20_000)
+    assert time.perf_counter() - start < 1
+    assert opened.count() == 20_002
+    assert read_batches(spark, lake.bronze, 19_990, 19_995).count() == 5
+
+
+def test_stream_compacts_old_batches(lake, spark, ratings, tmp_path):
+    for wave in WAVES:
+        lake.publish(ratings(wave).coalesce(1))
+    stream = read_event_stream(spark, "text", {"path": lake.incoming, "maxFilesPerTrigger": "1"})
+    write_bronze(
+        parse_events(stream), lake.bronze, lake.checkpoint, {"availableNow": True}, compact_every=2
+    ).awaitTermination()
+    assert lake.versions() == [0, 1, 2]
+    assert [p.name for p in (tmp_path / "bronze" / "_ranges").iterdir()] == ["1"]
+    assert rows(read_bronze(spark, lake.bronze)) == sorted(sum(WAVES, []))
+
+
+def test_wrong_since_is_refused(lake, spark, ratings):
     for number, wave in enumerate(WAVES):
         append_batch(ratings(wave), number, lake.bronze)
-    assert rows(read_batches(spark, lake.bronze, 0, 2)) == sorted(WAVES[1] + WAVES[2])
-    assert rows(read_batches(spark, lake.bronze, 1, 2)) == sorted(WAVES[2])
-    assert rows(read_batches(spark, lake.bronze, 2, 2)) == []
+    rebuild_silver(spark, lake.bronze, lake.silver, 0)
+    with pytest.raises(ValueError):
+        refresh_silver(spark, lake.bronze, lake.silver, 2, since=1)
+    assert silver_version(spark, lake.silver) == 0
+    refresh_silver(spark, lake.bronze, lake.silver)
+    assert silver_version(spark, lake.silver) == 2 and read_silver(spark, lake.silver).count() == 5
+
+
+def test_an_older_version_is_a_rebuild(lake, spark, ratings):
+    for number, wave in enumerate(WAVES):
+        append_batch(ratings(wave), number, lake.bronze)
+    refresh_silver(spark, lake.bronze, lake.silver)
+    refresh_silver(spark, lake.bronze, lake.silver, 0)
+    assert silver_version(spark, lake.silver) == 0 and read_silver(spark, lake.silver).count() == 2
 
 
-def test_a_table_not_written_to_its_end_is_not_read(lake, spark, ratings, tmp_path):
+def test_a_table_without_a_complete_edition_is_not_read(lake, spark, ratings):
     lake.publish(ratings(WAVES[0]))
     lake.ingest()
     with pytest.raises(FileNotFoundError):
         read_silver(spark, lake.silver)
     rebuild_silver(spark, lake.bronze, lake.silver)
     assert read_silver(spark, lake.silver).count() == 2
-    (tmp_path / "silver" / "_SUCCESS").unlink()
-    with pytest.raises(FileNotFoundError):
-        read_silver(spark, lake.silver)
 
 
-def test_refresh_of_very_many_dates_rebuilds(lake, spark, ratings, monkeypatch):
-    monkeypatch.setattr("ratemill.plans.silver.MAX_TOUCHED_DATES", 1)
-    for wave in WAVES:
-        lake.publish(ratings(wave))
-        lake.ingest()
-    rebuild_silver(spark, lake.bronze, lake.silver, 1)
-    refresh_silver(spark, lake.bronze, lake.silver, 1, 2)
-    assert read_silver(spark, lake.silver).count() == 5
-
-
-@pytest.mark.parametrize("leftover", [".spark-staging-x", None])
-def test_refresh_after_a_cut_off_write_rebuilds(lake, spark, ratings, tmp_path, leftover):
-    for wave in WAVES[:2]:
-        lake.publish(ratings(wave))
-        lake.ingest()
+@pytest.mark.parametrize("cut_off", ["data", "dates"])
+def test_readers_get_the_edition_before_a_cut_off_refresh(lake, spark, ratings, tmp_path, cut_off):
+    for number, wave in enumerate(WAVES[:2]):
+        append_batch(ratings(wave), number, lake.bronze)
     rebuild_silver(spark, lake.bronze, lake.silver, 0)
-    overwrite_dates(_first_date(spark, lake), lake.silver)
-    if leftover:
-        (tmp_path / "silver" / leftover).mkdir()
-    else:
-        (tmp_path / "silver" / "_SUCCESS").unlink()
-    refresh_silver(spark, lake.bronze, lake.silver, 0, 1)
+    before, reader = rows(read_silver(spark, lake.silver)), read_silver(spark, lake.silver)
+    wrong = spark.createDataFrame([(77, 1, 1.0, 10, 19700101)], "user_id int, movie_id int, rating double, timestamp long, date_id int")
+    wrong.write.partitionBy(DATE_PARTITION).parquet(f"{lake.silver}/data/_write=1")
+    (tmp_path / "silver" / "data" / ".spark-staging-x").mkdir()
+    if cut_off == "dates":
+        (tmp_path / "silver" / "dates" / "edition=1" / "_temporary").mkdir(parents=True)
+    assert rows(read_silver(spark, lake.silver)) == before == rows(reader)
+    refresh_silver(spark, lake.bronze, lake.silver)
     assert read_silver(spark, lake.silver).count() == 4
+    assert rows(reader) == before  # the edition before stays for those who read it
+    assert rows(read_silver(spark, lake.silver)) == rows(clean_ratings(read_bronze(spark, lake.bronze)))
+
 
+def test_old_writes_go(lake, spark, ratings, tmp_path):
+    for number in range(5):
+        append_batch(ratings([(1, number, 3.0, 10)]), number, lake.bronze)
+        refresh_silver(spark, lake.bronze, lake.silver)
+    assert len(complete_editions(spark, f"{lake.silver}/dates")) == 2
+    writes = [p.name for p in (tmp_path / "silver" / "data").iterdir() if "=" in p.name]
+    assert sorted(writes) == ["_write=3", "_write=4"]
+    assert read_silver(spark, lake.silver).count() == 5
 
-def _first_date(spark, lake):
-    """The first date of Silver without its rows, but for one."""
-    stored = spark.read.parquet(lake.silver)
-    return stored.where("date_id = 19700101").withColumn("user_id", F.lit(77))
+
+def test_times_beyond_any_date_have_an_unknown_one(lake, spark, ratings, tmp_path):
+    append_batch(ratings([(1, 1, 3.0, 1_700_000_000_000), (2, 1, 4.0, 1_700_000_000)]), 0, lake.bronze)
+    paths = cycle.Paths(lake.bronze, lake.silver, str(tmp_path / "gold"), str(tmp_path / "recs"))
+    refresh_silver(spark, lake.bronze, lake.silver)
+    built = cycle.write_gold(spark, paths, *_dimensions(spark))
+    trend = marts.trend_by_month(built.fact_ratings, built.dim_date).collect()
+    assert [(r["year"], r["month"], r["total_ratings"]) for r in trend] == [(2023, 11, 1), (0, 0, 1)]
+    assert built.check().where("table_name = 'dim_date' AND bad_rows > 0").isEmpty()
 
 
 def test_refresh_leaves_other_dates_alone(lake, spark, ratings):
@@ -176,14 +278,16 @@ def test_refresh_leaves_other_dates_alone(lake, spark, ratings):
     rebuild_silver(spark, lake.bronze, lake.silver, 0)
 
     def files():
-        found = spark.read.parquet(lake.silver).select("date_id", F.input_file_name().alias("f"))
+        found = spark.read.parquet(f"{lake.silver}/data").select("date_id", "_write", F.input_file_name().alias("f"))
+        found = found.orderBy("_write")
         return {row["date_id"]: row["f"] for row in found.collect()}
 
     before = files()
-    refresh_silver(spark, lake.bronze, lake.silver, 0, 1)
+    refresh_silver(spark, lake.bronze, lake.silver)
     after = files()
     assert after[19700101] == before[19700101]
     assert after[19700102] != before[19700102]
+    assert read_silver(spark, lake.silver).count() == 3
 
 
 def _dimensions(spark):
@@ -208,13 +312,13 @@ def test_cycles(lake, spark, ratings, tmp_path):
         lake.publish(ratings(wave))
         lake.ingest()
         report = cycle.run_cycle(
-            spark, paths, *_dimensions(spark), since=since, load=loaded.append, blocks=1
+            spark, paths, *_dimensions(spark), since=since, load=loaded.append, user_blocks=1, item_blocks=1
         )
         since = report.version
     assert since == 2 and len(loaded) == 3
     star = cycle.read_gold(spark, paths)
     assert star.fact_ratings.count() == read_silver(spark, paths.silver).count() == 5
-    assert star.dim_date.count() == 3
+    assert star.dim_date.count() == 4  # three days, and that of a time beyond any
     assert read_recommendations(spark, paths.recommendations).count() == 4
     kept = {path.name for path in (tmp_path / "recommendations").iterdir()}
     assert kept == {"edition=1", "edition=2", "model", "trial-model"}
@@ -233,7 +337,8 @@ def test_stream_with_a_cycle_per_batch(lake, spark, ratings, tmp_path):
         *_dimensions(spark),
         lake.checkpoint,
         {"availableNow": True},
-        blocks=1,
+        user_blocks=1,
+        item_blocks=1,
     ).awaitTermination()
     assert lake.versions() == [0, 1, 2]
     assert rows(read_silver(spark, paths.silver)) == rows(
@@ -247,7 +352,7 @@ def test_cycle_over_unusable_events_skips_the_model(lake, spark, tmp_path):
     lake.ingest()
     paths = cycle.Paths(lake.bronze, lake.silver, str(tmp_path / "gold"), str(tmp_path / "recs"))
     report = cycle.run_cycle(spark, paths, *_dimensions(spark))
-    assert report == cycle.Report(0, None, None)
+    assert report == cycle.Report(0, None, None, 10, 10)
 
 
 def test_cycle_without_events_is_an_error(lake, spark, tmp_path):

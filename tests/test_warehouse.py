@@ -12,7 +12,7 @@ LOGIN = {"user": "etl", "numPartitions": "4"}
 @pytest.fixture
 def database(monkeypatch, spark):
     """Keeps written rows in a dict and answers the count query from it."""
-    stored = {}
+    stored = {"statements": []}
 
     def write(writer, url, table, mode=None, properties=None):
         assert url == URL and mode == "overwrite" and properties == LOGIN
@@ -23,7 +23,12 @@ def database(monkeypatch, spark):
         return session.range(1).selectExpr(f"{stored[name]} AS n")
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    def execute(session, url, properties, statements):
+        assert url == URL and properties == LOGIN
+        stored["statements"] += statements
+
     monkeypatch.setattr(warehouse, "read_warehouse", read)
+    monkeypatch.setattr(warehouse, "run_in_transaction", execute)
     return stored
 
 
@@ -31,10 +36,71 @@ def tables(spark):
     return {"dim_movie": spark.range(3), "dim_user": spark.range(2), "fact_ratings": spark.range(7)}
 
 
-def test_tables_are_written_in_order_and_counted(spark, database):
-    written = warehouse.write_warehouse(tables(spark), URL, LOGIN)
-    assert list(database) == ["dim_movie", "dim_user", "fact_ratings"]
+def test_tables_are_staged_and_swapped_at_once(spark, database):
+    written = warehouse.write_warehouse(tables(spark), URL, LOGIN, {"dim_user": ["user_id"]})
+    assert list(database) == ["statements", "dim_movie_staging", "dim_user_staging", "fact_ratings_staging"]
     assert written == {"dim_movie": 3, "dim_user": 2, "fact_ratings": 7}
+    assert database["statements"] == [
+        "DROP TABLE IF EXISTS fact_ratings",
+        "DROP TABLE IF EXISTS dim_user",
+        "DROP TABLE IF EXISTS dim_movie",
+        "ALTER TABLE dim_movie_staging RENAME TO dim_movie",
+        "ALTER TABLE dim_user_staging RENAME TO dim_user",
+        "ALTER TABLE fact_ratings_staging RENAME TO fact_ratings",
+        "ALTER TABLE dim_user ADD PRIMARY KEY (user_id)",
+    ]
+
+
+class Connection:
+    """Notes what the swap does to its connection."""
+
+    def __init__(self, broken=None):
+        self.calls, self.broken = [], broken
+
+    def __getattr__(self, name):
+        return lambda *args: self.calls.append((name, *args))
+
+    def createStatement(self):
+        return self
+
+    def execute(self, sql):
+        self.calls.append(sql)
+        if sql == self.broken:
+            raise RuntimeError(sql)
+
+
+class Session:
+    """The parts of a session that the swap uses."""
+
+    def __init__(self, connection):
+        class manager:
+            @staticmethod
+            def getConnection(url, login):
+                return connection
+
+        class properties(dict):
+            setProperty = dict.__setitem__
+
+        class namespace:
+            pass
+
+        self._jvm = jvm = namespace()
+        jvm.java = namespace()
+        jvm.java.sql, jvm.java.util = namespace(), namespace()
+        jvm.java.sql.DriverManager, jvm.java.util.Properties = manager, properties
+
+
+def test_swap_is_one_transaction():
+    connection = Connection()
+    warehouse.run_in_transaction(Session(connection), URL, LOGIN, ["a", "b"])
+    assert connection.calls == [("setAutoCommit", False), "a", "b", ("commit",), ("close",)]
+
+
+def test_failed_swap_is_rolled_back():
+    connection = Connection(broken="b")
+    with pytest.raises(RuntimeError):
+        warehouse.run_in_transaction(Session(connection), URL, LOGIN, ["a", "b", "c"])
+    assert connection.calls == [("setAutoCommit", False), "a", "b", ("rollback",), ("close",)]
 
 
 def test_rows_stored_twice_are_an_error(spark, database, monkeypatch):
@@ -43,6 +109,7 @@ def test_rows_stored_twice_are_an_error(spark, database, monkeypatch):
     )
     with pytest.raises(RuntimeError):
         warehouse.write_warehouse(tables(spark), URL, LOGIN)
+    assert database["statements"] == []  # live tables are as before
 
 
 def test_views_answer_sql(spark):
