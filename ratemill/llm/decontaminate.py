@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratemill.llm.tables import lower_ascii, unused, with_row_key
+from ratemill.llm.tables import columns_of, lower_ascii, unused, with_row_key
 
 WINDOW = 10
 #: Distinct windows (hash and words) that are sent to every task at most.
@@ -147,7 +147,7 @@ def _by_join(docs: DataFrame, windows: Windows, text: str, hits: str) -> DataFra
         .agg(F.sort_array(F.collect_list(F.struct("at", "length", "window"))).alias(hits))
     )
     return keyed.join(verified, (keyed[file] == F.col("f")) & (keyed[row] == F.col("r")), "left").select(
-        *docs.columns,
+        *columns_of(docs),
         F.coalesce(hits, F.array().cast("array<struct<at:int,length:int,window:string>>")).alias(hits),
         F.size(words_of(F.col(text))).alias(f"{hits}_words"),
     )
@@ -168,7 +168,7 @@ def find_windows(docs: DataFrame, windows: Windows, text: str, hits: str, set_wi
     # The number keeps filters above this step: below, they would cut and hash the
     # text again for every window.
     return hashed.where(F.col(number) >= 0).select(
-        *docs.columns,
+        *columns_of(docs),
         _in_set(windows, words, hashes).alias(hits),
         F.size(words).alias(f"{hits}_words"),
     )
@@ -224,4 +224,4 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
     set_windows = parameters.pop("set_windows", SET_WINDOWS)
     windows = benchmark_windows(benchmark, **parameters)
     found = find_windows(docs, windows, text, hits, set_windows)
-    return found.where(F.size(hits) == 0).select(*docs.columns)
+    return found.where(F.size(hits) == 0).select(*columns_of(docs))

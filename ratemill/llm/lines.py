@@ -101,7 +101,7 @@ def deduplicate(
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(f"g.{found}"))
     shorter = F.array_join(F.transform(kept, lambda at: F.get(split, at)), "\n")
     new = F.when(F.col(f"g.{found}").isNull(), F.col(f"d.{text}")).otherwise(shorter)
-    columns = [new.alias(c) if c == text else F.col(f"d.`{c}`") for c in docs.columns]
+    columns = [new.alias(c) if c == text else F.col("d.`" + c.replace("`", "``") + "`") for c in docs.columns]
     if covered:
         none = F.array().cast("array<int>")
         columns.append(F.coalesce(F.col(f"g.{found}"), none).alias(covered))

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratemill.llm.tables import unused
+from ratemill.llm.tables import columns_of, unused
 
 TRUSTED_ROWS = 8192
 UNLABELLED_ROWS = 16384
@@ -229,4 +229,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     (name,) = unused(docs, "score")
     model = learn(docs, labels, **columns)
     scored = score(docs, model, columns.get("text", "text"), name)
-    return scored.where(F.col(name) >= threshold).select(*docs.columns)
+    return scored.where(F.col(name) >= threshold).select(*columns_of(docs))

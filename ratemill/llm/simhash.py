@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ratemill.llm.components import smallest_reachable
-from ratemill.llm.tables import unused, written
+from ratemill.llm.tables import columns_of, unused, written
 
 BYTES = 8
 SEED = 42
@@ -230,10 +230,10 @@ def keep_one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     kept = kept.select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(kept_hash))
     same = hashed[doc_id].eqNullSafe(kept[id_name]) & (hashed[hash_name] == kept[kept_hash])
     # Equal fingerprints are linked, so rows with this id and text are all of one group.
-    order = Window.partitionBy(doc_id, hash_name).orderBy(F.xxhash64(*docs.columns))
+    order = Window.partitionBy(doc_id, hash_name).orderBy(F.xxhash64(F.to_json(F.struct(*columns_of(docs)))))
     return (
         hashed.join(kept, same, "left_semi")
         .withColumn(rank_name, F.row_number().over(order))
         .where(F.col(rank_name) == 1)
-        .select(*docs.columns)
+        .select(*columns_of(docs))
     )

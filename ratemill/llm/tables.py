@@ -21,6 +21,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names have."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the folder all executors share, and read again.
 

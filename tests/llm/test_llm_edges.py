@@ -10,8 +10,8 @@ from ratemill.llm.queries import vocabulary
 from ratemill.llm.tables import with_row_key
 
 #: Columns named like those the operators use inside.
-CLASHING = ["file", "row", "words", "hashes", "hits", "number", "score", "rank", "fp", "found", "label", "item", "trusted"]
-DOCS = "doc_id long, text string, " + ", ".join(f"{name} string" for name in CLASHING)
+CLASHING = ["file", "row", "words", "hashes", "hits", "number", "score", "rank", "fp", "found", "label", "item", "trusted", "a.b", "c`d", "e f"]
+DOCS = "doc_id long, text string, " + ", ".join("`" + name.replace("`", "``") + "` string" for name in CLASHING)
 
 
 @pytest.fixture(scope="module")
