@@ -83,6 +83,10 @@ class Vocabulary:
     def _halves(self) -> dict[int, tuple[int, int]]:
         return {joined: (left, right) for left, right, joined in self.merges}
 
+    @cached_property
+    def _lengths(self) -> dict[int, int]:
+        return {at: len(token) for at, token in self.tokens.items()}
+
     @cached_property
     def _automaton(self):
         found = ahocorasick.Automaton()
@@ -158,29 +162,35 @@ class Vocabulary:
 
     def _backtrack(self, letters: str, row: list[int], number: int) -> list[int]:
         """Go on from the first ``number`` tokens of ``row``, longest matches in a row."""
-        tokens, shorter, compatible = self.tokens, self._shorter, self.compatible
+        lengths, shorter, long_from = self._lengths, self._shorter, self._automaton.iter_long
+        known, decide = self._compatible.get, self.compatible
         longest, start = {}, 0
-        for found in row:
-            longest[start] = found
-            start += len(tokens[found])
+        for token in row:
+            longest[start] = token
+            start += lengths[token]
         found, token = row[:number], row[number]
-        at = sum(len(tokens[before]) for before in found)
-        open_at = bytearray(b"\1") * (len(letters) + 1)
-        while at < len(letters):
-            end = at + len(tokens[token])
-            if open_at[end] and (not found or compatible(found[-1], token)):
+        at, size = sum(lengths[before] for before in found), len(letters)
+        closed = set()
+        while at < size:
+            end = at + lengths[token]
+            fits = end not in closed
+            if fits and found:
+                pair = (found[-1], token)
+                fits = known(pair)
+                if fits is None:
+                    fits = decide(*pair)
+            if fits:
                 found.append(token)
                 at = end
                 token = longest.get(at)
-                if token is None and at < len(letters):
-                    _, (_, token) = next(self._automaton.iter_long(letters, at))
-                    longest[at] = token
-            elif token in shorter:
-                token = shorter[token]
-            else:
-                open_at[at] = 0
+                if token is None and at < size:
+                    token = longest[at] = next(long_from(letters, at))[1][1]
+                continue
+            token = shorter.get(token)
+            if token is None:
+                closed.add(at)
                 token = found.pop()
-                at -= len(tokens[token])
+                at -= lengths[token]
         return found
 
     def _packed(self, piece: str) -> bytes:
