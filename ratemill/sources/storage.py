@@ -48,7 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):  # local-cluster[...] has executors
         return tempfile.mkdtemp(prefix="ratemill-")
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by the cluster")
 

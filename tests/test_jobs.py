@@ -83,6 +83,8 @@ class Cluster:
         master = "yarn"
 
 
-def test_a_cluster_must_name_its_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_shared_folder(monkeypatch, master):
+    monkeypatch.setattr(Cluster.sparkContext, "master", master)
     with pytest.raises(ValueError):
         storage.shared_folder(Cluster)
