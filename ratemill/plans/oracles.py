@@ -226,13 +226,13 @@ FROM wrong GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC""",
 SELECT w::INTEGER AS wave, (SELECT count(*) FROM rated WHERE wave = w) > 0 AS trains
 FROM unnest(range(4)) AS waves(w)""",
     "flatten_ratings": f"""WITH {_SILVER}
-SELECT user_id, row_number() OVER best AS rank, movie_id, rating::FLOAT AS score
+SELECT user_id, (row_number() OVER best)::INTEGER AS rank, movie_id, rating::FLOAT AS score
 FROM silver
 WINDOW best AS (PARTITION BY user_id ORDER BY rating DESC, movie_id, timestamp)
 QUALIFY rank <= 5""",
     "predictions_check": f"""WITH {_SILVER},
 train AS (SELECT * FROM silver WHERE {_TRAINED})
-SELECT user_id, count(*) AS n_rows, 0 AS n_off FROM silver
+SELECT user_id, count(*) AS n_rows, 0::BIGINT AS n_off FROM silver
 WHERE NOT {_TRAINED}
   AND user_id IN (SELECT user_id FROM train)
   AND movie_id IN (SELECT movie_id FROM train)
@@ -245,7 +245,8 @@ WHERE NOT {_TRAINED}
   AND movie_id IN (SELECT movie_id FROM train)""",
     "top_lists_check": f"""WITH {_SILVER},
 offered AS (SELECT least(5, count(DISTINCT movie_id)) AS n FROM silver)
-SELECT DISTINCT user_id, n AS n_items, 0 AS n_off, 0 AS n_better FROM silver, offered""",
+SELECT DISTINCT user_id, n AS n_items, 0::BIGINT AS n_off, 0::BIGINT AS n_better
+FROM silver, offered""",
     "train_split": f"""WITH {_SILVER}
 SELECT {_RAW_COLUMNS}, CASE WHEN {_TRAINED} THEN 'train' ELSE 'test' END AS part
 FROM silver""",
