@@ -38,6 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _is_plain_read(df: DataFrame) -> bool:
+    """Whether every row of ``df`` is one row of a file, in every read again: a table,
+    or columns and filtered rows of one, and no join, explode, limit or sample."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName().startswith("LogicalRelation") or node.nodeName().startswith("Relation")
+
+
 def with_row_key(docs: DataFrame, file: str, row: str) -> DataFrame:
     """``docs`` with two numbers that tell its rows apart, in any later read too.
 
@@ -46,7 +55,10 @@ def with_row_key(docs: DataFrame, file: str, row: str) -> DataFrame:
     first, as numbers given while it is computed can differ the next time.
     """
     for table in (docs, None):
-        table = written(docs, "rows") if table is None else table
+        if table is None:
+            table = written(docs, "rows")
+        elif not _is_plain_read(table):
+            continue
         try:
             where = table.metadataColumn("_metadata")
             return table.select(

@@ -189,3 +189,17 @@ def test_chat(spark):
 def test_row_keys_of_computed_tables(spark, table):
     keyed = with_row_key(table(ROWS).repartition(3), "f", "r")
     assert keyed.select("f", "r").distinct().count() == len(ROWS)
+
+
+def test_row_keys_of_multiplied_rows(spark, tmp_path):
+    """Rows of one file row, by a join or an explode, get keys of their own."""
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted(with_row_key(table, "f", "r").inputFiles()) == sorted(table.inputFiles())
+    for df, n in [
+        (table, 5),
+        (table.select("id").where("id > 1"), 3),
+        (table.join(spark.range(3).withColumnRenamed("id", "x")), 15),
+        (table.select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("x")), 10),
+    ]:
+        assert with_row_key(df, "f", "r").select("f", "r").distinct().count() == n
