@@ -3,6 +3,10 @@
 Each stage takes (session, documents, folder of the tables) and works on all that the
 one before it kept; all but the last return the columns of documents. ``run`` writes
 every stage's result to the shared folder and reads it again for the next.
+
+Null and empty texts go through all stages (near duplicates leave one of them), rows
+without a doc_id too; repeated rows are near duplicates of each other. An empty table
+gives no rows, missing labels or benchmark items remove nothing.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F

@@ -219,7 +219,11 @@ def contamination(
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **parameters) -> DataFrame:
-    """Rows of ``docs`` without any benchmark window, in the columns of ``docs``."""
+    """Rows of ``docs`` without any benchmark window, in the columns of ``docs``.
+
+    Null and empty texts hold none and stay, repeated rows are judged one by one, an
+    empty benchmark removes nothing, and an empty table gives no rows.
+    """
     (hits,) = unused(docs, "hits")
     set_windows = parameters.pop("set_windows", SET_WINDOWS)
     windows = benchmark_windows(benchmark, **parameters)

@@ -225,7 +225,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **columns) -> DataFrame:
-    """Rows of ``docs`` that score ``threshold`` or more, in the columns of ``docs``."""
+    """Rows of ``docs`` that score ``threshold`` or more, in the columns of ``docs``.
+
+    Null and empty texts are scored like any other, repeated rows one by one. Without
+    labels every score is a half, so that all rows stay; an empty table gives no rows.
+    """
     (name,) = unused(docs, "score")
     model = learn(docs, labels, **columns)
     scored = score(docs, model, columns.get("text", "text"), name)

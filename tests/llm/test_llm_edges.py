@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ratemill.llm import bpe, chat, decontaminate, kdtree, licences, lines, pii, quality, secret_scan, simhash
 from ratemill.llm.queries import vocabulary
 from ratemill.llm.tables import with_row_key
@@ -203,3 +204,15 @@ def test_row_keys_of_multiplied_rows(spark, tmp_path):
         (table.select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("x")), 10),
     ]:
         assert with_row_key(df, "f", "r").select("f", "r").distinct().count() == n
+
+
+@pytest.mark.parametrize("n_rows", [0, len(ROWS)])
+def test_pipeline_of_odd_documents(spark, tmp_path, n_rows):
+    docs = "doc_id long, text string, lang string, source string, n_chars long, score string, file string"
+    rows = [(*row, None, "s", len(row[1] or ""), "x", "y") for row in ROWS[:n_rows]]
+    spark.createDataFrame(rows, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in found) == ([1, 3, 4, 6] if n_rows else [])
+    assert {r["n_tokens"] for r in found if r["doc_id"] == 1} == ({0} if n_rows else set())
