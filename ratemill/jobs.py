@@ -54,7 +54,7 @@ def _load(args: argparse.Namespace):
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     events = parse_events(read_event_stream(spark, args.format, dict(args.option)))
-    write_bronze(events, args.bronze, args.checkpoint, trigger).awaitTermination()
+    write_bronze(events, args.bronze, args.checkpoint, trigger, args.fmt).awaitTermination()
 
 
 def submit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -74,7 +74,7 @@ def submit(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    version = refresh_silver(spark, args.bronze, args.silver, since=args.since)
+    version = refresh_silver(spark, args.bronze, args.silver, since=args.since, fmt=args.fmt)
     print(f"Silver holds version {version}")
 
 
@@ -84,16 +84,15 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
-    star = cycle.write_gold(
-        spark, _paths(args), read_table(spark, args.items), read_table(spark, args.profiles)
-    )
+    items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
+    star = cycle.write_gold(spark, _paths(args), items, profiles, args.fmt)
     load = _load(args)
     if load:
         load(star)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    rmse, edition = cycle.train(read_silver(spark, args.silver), args.recommendations)
+    rmse, edition = cycle.train(read_silver(spark, args.silver, args.fmt), args.recommendations)
     print(f"RMSE {rmse}, recommendations in {edition}")
 
 
@@ -101,18 +100,18 @@ def run_cycle(spark: SparkSession, args: argparse.Namespace) -> None:
     items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
     print(
         cycle.run_cycle(
-            spark, _paths(args), items, profiles, since=args.since, load=_load(args)
+            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt
         )
     )
 
 
 def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
-    _show(marts.sample(read_bronze(spark, args.bronze, args.version)))
+    _show(marts.sample(read_bronze(spark, args.bronze, args.version, args.fmt)))
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write the whole report where ``--out`` says, and show its head."""
-    overwrite_table(REPORTS[args.name](cycle.read_gold(spark, _paths(args))).coalesce(1), args.out, "json")
+    overwrite_table(REPORTS[args.name](cycle.read_gold(spark, _paths(args), args.fmt)).coalesce(1), args.out, "json")
     _show(spark.read.json(args.out))
 
 
@@ -134,6 +133,7 @@ def _pair(text: str) -> tuple[str, str]:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="ratemill", description=__doc__.splitlines()[0])
+    top.add_argument("--fmt", default="parquet", help="format of Bronze, Silver and Gold")
     jobs = top.add_subparsers(required=True)
 
     def job(name, run, *paths):
