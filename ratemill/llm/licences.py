@@ -178,11 +178,13 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
             array_remove(split(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[^a-z0-9]+'), '') AS words))"""
     )
+    # Lines without a feature have the bias alone; they need no score if that is unknown.
+    scored_lines = "size(line.grams) > 0" if int(np.argmax(model.weights[-1])) == 0 else "true"
     with_grams = F.expr(
         f"""filter(transform({found}, line -> struct(line.paragraph AS paragraph,
             array_distinct(filter(concat(line.words, zip_with(line.words, slice(line.words, 2, size(line.words)),
                 (a, b) -> concat_ws(' ', a, b))), gram -> gram IN ({_quoted(model.features)}))) AS grams,
-            line.words AS words)), line -> size(line.grams) > 0)"""
+            line.words AS words)), line -> {scored_lines})"""
     )
     by_gram = {gram: (row / model.temperature).tolist() for gram, row in zip(model.features, model.weights)}
     bias = (model.weights[-1] / model.temperature).tolist()
