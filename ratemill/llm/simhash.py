@@ -182,13 +182,14 @@ def near_duplicates(
     shingle_words: int = 3,
     max_bits: int = 3,
 ) -> DataFrame:
-    """(doc_id, text_hash, fp, component): documents grouped by near fingerprints.
+    """(doc_id, text_hash, fp, component, root): documents grouped by near fingerprints.
 
     Words are what ASCII white space separates, A-Z lower-cased; the fingerprint is
     the bitwise majority over XXH64 (seed 42) of all shingles, repeats included.
     ``component`` is the smallest doc_id reachable over links of at most
-    ``max_bits`` differing bits. One row for each row of ``docs``: repeated rows
-    and equal ids stay. A null or empty text has no words and fingerprint 0, and is
+    ``max_bits`` differing bits, and ``root`` the smallest fingerprint: it alone tells
+    groups apart, as an id can be in several. One row for each row of ``docs``:
+    repeated rows and equal ids stay. A null or empty text has no words and fingerprint 0, and is
     linked like any other; a text of fewer words than a shingle is one shingle. A
     null doc_id never is the smallest, unless a group has no other (then
     ``component`` is null). An empty table gives no rows; other columns do not matter.
@@ -207,21 +208,22 @@ def near_duplicates(
         roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left"
     ).select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component"))
-    named = grouped.join(lowest, "root").select("fp", "component")
-    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component")
+    named = grouped.join(lowest, "root").select("fp", "component", "root")
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component", "root")
 
 
 def keep_one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the smallest doc_id.
 
     Of rows that share this doc_id and the text, one stays, as the order of a hash
-    over their other columns has it. Groups without any doc_id keep one row too.
-    The columns are those of ``docs``.
+    over their other columns has it. Each group without any doc_id keeps one row too,
+    and groups that share their smallest doc_id keep one each. The columns are those
+    of ``docs``.
     """
     text, doc_id = parameters.get("text", "text"), parameters.get("doc_id", "doc_id")
     found = near_duplicates(docs, **parameters)
     kept = (
-        found.groupBy("component")
+        found.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
         .select("first.doc_id", "first.text_hash")
     )

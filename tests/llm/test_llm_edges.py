@@ -44,6 +44,16 @@ def test_simhash(table):
     assert [r["text"] for r in simhash.keep_one_of_each(table([(None, "a"), (None, "a")])).collect()] == ["a"]
 
 
+def test_simhash_groups_without_an_id_of_their_own(table):
+    """Unrelated texts without a doc_id, or with the same one, are groups of their own."""
+    first, second, third = (" ".join(f"{name}{i}" for i in range(40)) for name in "abc")
+    for doc_id in (None, 3):
+        rows = [(doc_id, first), (doc_id, second), (doc_id, first), (None, second), (9, third)]
+        kept = by_id(simhash.keep_one_of_each(table(rows)), "text")
+        assert kept == sorted([(doc_id, first), (doc_id, second), (9, third)], key=str)
+        assert len({r["root"] for r in simhash.near_duplicates(table(rows)).collect()}) == 3
+
+
 def test_secrets(spark, table, tmp_path):
     rows = [*ROWS, (7, "token: abcdefghé AKIA0123456789AB"), (8, "\U0001f986 password=12345678"), (9, "token=ab secret='12345678'")]
     ledger = str(tmp_path / "ledger")
