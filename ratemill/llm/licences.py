@@ -1,13 +1,14 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Its features are word unigrams and bigrams (ASCII letters and
-digits, lower case) that occur in licence templates and are rare in other text. A
+Paragraphs are runs of lines with words; the marks of comments are none, so a notice
+wrapped over lines is one text. Features are word unigrams and bigrams (ASCII letters
+and digits, lower case) that occur in licence templates and are rare in other text. A
 sparse logistic regression over them, with a class for unknown text, is trained from
 varied templates and from lines of the corpus; its probabilities are calibrated on
-held-out rows. A prediction counts as confirmed if the paragraph also holds enough of
-one of that family's templates. A paragraph without any feature gets the bias alone,
-which training makes unknown, so only paragraphs with features are scored: in SQL
-functions, one projection over the documents.
+held-out rows. It classifies every line, and every stretch of a paragraph that holds
+enough of a template in its order; the latter confirms a prediction of that family. A
+line without any feature gets the bias alone, which training makes unknown, so only
+lines with features are scored: in SQL functions, projections over the documents.
 """
 
 import json
@@ -78,6 +79,10 @@ def grams(found: list[str]) -> set[str]:
     return set(found) | set(map(" ".join, zip(found, found[1:])))
 
 
+#: (family, words) of every template; their words fit into the bits of a long.
+NOTICES = [(family, words(template)) for family in FAMILIES for template in TEMPLATES[family]]
+
+
 @dataclass
 class Model:
     features: list[str]
@@ -164,58 +169,138 @@ def _quoted(values) -> str:
     return ", ".join(f"'{value}'" for value in values)
 
 
+def _constant(value, kind: str) -> str:
+    return f"from_json('{json.dumps(value)}', '{kind}')"
+
+
+def _pairs(words: str) -> str:
+    """Words next to each other, in order; the last word alone."""
+    return f"zip_with({words}, slice({words}, 2, size({words})), (a, b) -> concat_ws(' ', a, b))"
+
+
+def _candidates(paragraphs: str) -> str:
+    """Paragraphs with the stretches that could be a template, as template << 32 | start.
+
+    A share of ``LEAST_SHARE`` takes a word pair of the template, and the pair's place in
+    it says where the stretch starts. Paragraphs without any such pair are left out.
+    """
+    places: dict[str, list[dict[str, int]]] = {}
+    for at, (_, template) in enumerate(NOTICES):
+        for place, pair in enumerate(map(" ".join, zip(template, template[1:]))):
+            places.setdefault(pair, []).append({"t": at, "place": place})
+    hits = f"""filter(transform({_pairs('p.words')}, (pair, at) -> struct(pair, at)), hit -> hit.pair IN ({_quoted(places)}))"""
+    starts = f"""array_distinct(flatten(transform({hits}, hit -> transform(
+        element_at({_constant(places, 'map<string,array<struct<t:bigint,place:int>>>')}, hit.pair),
+        o -> o.t * 4294967296 + greatest(hit.at - o.place, 0)))))"""
+    return f"""filter(transform({paragraphs}, p -> struct(p.first AS first, p.sizes AS sizes, p.words AS words,
+        {starts} AS starts)), p -> size(p.starts) > 0)"""
+
+
+def _notices(paragraphs: str) -> str:
+    """Confirmed stretches as (first, last, words, family, similarity), lines from 0.
+
+    Of a template's words and word pairs those count that a stretch of its length and a
+    quarter holds: words in the template's order (the longest common subsequence, by
+    bits), pairs next to each other. Of stretches that mostly overlap the closest stays.
+    """
+    lengths = [len(template) for _, template in NOTICES]
+    masks = [
+        {word: sum(1 << at for at, w in enumerate(template) if w == word) for word in template} for _, template in NOTICES
+    ]
+    pairs = [sorted(set(map(" ".join, zip(template, template[1:])))) for _, template in NOTICES]
+    n = f"element_at({_constant(lengths, 'array<int>')}, c.t + 1)"
+    every = f"element_at({_constant([(1 << length) - 1 for length in lengths], 'array<bigint>')}, c.t + 1)"
+    mask = f"coalesce(element_at(element_at({_constant(masks, 'array<map<string,bigint>>')}, c.t + 1), word), 0L)"
+    own = f"element_at({_constant(pairs, 'array<array<string>>')}, c.t + 1)"
+    in_order = f"""({n} - bit_count(aggregate(transform(c.stretch, word -> {mask}), {every},
+        (v, m) -> ((v + (v & m)) | (v & ~m)) & {every})))"""
+    share = f"({in_order} + size(array_intersect({own}, {_pairs('c.stretch')}))) / ({n} + size({own}))"
+    stretches = f"""transform(transform(p.starts, code -> struct(int(code div 4294967296) AS t, int(code % 4294967296) AS start)),
+        c -> struct(c.t AS t, c.start AS start, least(c.start + {n}, size(p.words)) AS stop,
+            slice(p.words, c.start + 1, {n} + {n} div 4) AS stretch))"""
+    close = f"""array_sort(filter(transform({stretches}, c -> struct(-({share}) AS far, c.t AS t, c.start AS start, c.stop AS stop)),
+        c -> c.far <= -{LEAST_SHARE}D))"""
+    kept = f"""aggregate({close}, cast(array() AS array<struct<far:double,t:int,start:int,stop:int>>), (kept, c) ->
+        if(exists(kept, k -> 2 * (least(k.stop, c.stop) - greatest(k.start, c.start)) > least(k.stop - k.start, c.stop - c.start)),
+            kept, concat(kept, array(c))))"""
+
+    def line(place: str) -> str:
+        return f"""p.first + aggregate(p.sizes, struct(0 AS words, 0 AS lines), (s, n) -> struct(s.words + n AS words,
+            s.lines + if(s.words + n <= {place}, 1, 0) AS lines), s -> s.lines)"""
+
+    family = f"element_at(array({_quoted(family for family, _ in NOTICES)}), k.t + 1)"
+    return f"""flatten(transform({paragraphs}, p -> transform({kept}, k -> struct({line('k.start')} AS first,
+        {line('k.stop - 1')} AS last, slice(p.words, k.start + 1, k.stop - k.start) AS words,
+        {family} AS family, -k.far AS similarity))))"""
+
+
 def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found") -> DataFrame:
-    """``docs`` with an array ``found`` of predictions, in order of paragraphs.
+    """``docs`` with an array ``found`` of predictions, in order of lines.
 
-    Each is (paragraph, family, probability, similarity, confirmed): the number of the
-    line (from 0), the likeliest family, its calibrated probability, and the largest
-    share of a template's n-grams that the line holds. Lines that are likeliest unknown,
-    or below ``LEAST_PROBABILITY``, are left out. Null and empty texts have none.
-    Words of features are letters and digits, so that they need no quoting.
+    Each is (paragraph, family, probability, similarity, confirmed). A stretch of a
+    paragraph that holds ``LEAST_SHARE`` of a template, and that the model takes for that
+    family, is confirmed; ``paragraph`` is the line (from 0) where it starts, and
+    ``similarity`` its share. A family is listed once per such line, however many lines a
+    notice runs over and families a paragraph holds. Lines that the model takes for a
+    family without such a stretch are predictions that are not confirmed; their
+    similarity is the largest share of a template's n-grams in the line, in any order.
+    What is likeliest unknown, or below ``LEAST_PROBABILITY``, is left out. Null and
+    empty texts have none. Words are letters and digits, so that they need no quoting.
     """
-    chosen = F.expr(
-        f"""transform(split({text}, '\n'), (line, at) -> struct(at AS paragraph,
+    lines = F.expr(
+        f"""transform(split({text}, '\n'), (line, at) -> struct(at AS at,
             array_remove(split(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[^a-z0-9]+'), '') AS words))"""
     )
-    # Lines without a feature have the bias alone; they need no score if that is unknown.
-    scored_lines = "size(line.grams) > 0" if int(np.argmax(model.weights[-1])) == 0 else "true"
-    with_grams = F.expr(
-        f"""filter(transform({found}, line -> struct(line.paragraph AS paragraph,
-            array_distinct(filter(concat(line.words, zip_with(line.words, slice(line.words, 2, size(line.words)),
-                (a, b) -> concat_ws(' ', a, b))), gram -> gram IN ({_quoted(model.features)}))) AS grams,
-            line.words AS words)), line -> {scored_lines})"""
+    # A paragraph is a run of lines that have words; marks of comments are no words.
+    firsts, ends = (
+        f"""filter(transform({found}, (line, i) -> if(size(line.words) > 0 AND if({border}, true, size({found}[{beside}].words) = 0),
+            {value}, null)), i -> i IS NOT NULL)"""
+        for border, beside, value in (("i = 0", "i - 1", "i"), (f"i = size({found}) - 1", "i + 1", "i + 1"))
     )
+    paragraphs = f"""transform(zip_with({firsts}, {ends}, (a, b) -> struct(a AS first,
+        transform(slice({found}, a + 1, b - a), line -> line.words) AS lines)),
+        p -> struct(p.first AS first, transform(p.lines, line -> size(line)) AS sizes, flatten(p.lines) AS words))"""
+
+    def with_grams(part: str, kept: str, rest: str) -> str:
+        return f"""filter(transform({part}, x -> struct({rest}, x.words AS words,
+            array_distinct(filter(concat(x.words, {_pairs('x.words')}), gram -> gram IN ({_quoted(model.features)}))) AS grams)),
+            x -> {kept})"""
+
+    # Lines without a feature have the bias alone; they need no score if that is unknown.
+    scored_lines = "size(x.grams) > 0" if int(np.argmax(model.weights[-1])) == 0 else "true"
+    as_line = "x.at AS first, x.at AS last, string(null) AS wanted, double(null) AS similarity"
+    as_notice = "x.first AS first, x.last AS last, x.family AS wanted, x.similarity AS similarity"
+    parts = F.expr(f"struct({with_grams(found, scored_lines, as_line)} AS lines, {_candidates(paragraphs)} AS paragraphs)")
+    notices = F.expr(f"struct({found}.lines AS lines, {_notices(found + '.paragraphs')} AS notices)")
+    together = F.expr(f"concat({with_grams(found + '.notices', 'true', as_notice)}, {found}.lines)")
     by_gram = {gram: (row / model.temperature).tolist() for gram, row in zip(model.features, model.weights)}
     bias = (model.weights[-1] / model.temperature).tolist()
+    rest = "x.first AS first, x.last AS last, x.wanted AS wanted, x.similarity AS similarity, x.words AS words"
     scored = F.expr(
-        f"""transform({found}, line -> struct(line.paragraph AS paragraph, line.words AS words,
-            aggregate(line.grams, from_json('{json.dumps(bias)}', 'array<double>'), (sums, gram) ->
-                zip_with(sums, element_at(from_json('{json.dumps(by_gram)}', 'map<string,array<double>>'), gram),
-                    (a, b) -> a + b)) AS logits))"""
+        f"""transform({found}, x -> struct({rest},
+            aggregate(x.grams, {_constant(bias, 'array<double>')}, (sums, gram) ->
+                zip_with(sums, element_at({_constant(by_gram, 'map<string,array<double>>')}, gram), (a, b) -> a + b)) AS logits))"""
     )
     likeliest = F.expr(
-        f"""filter(transform({found}, line -> struct(line.paragraph AS paragraph, line.words AS words,
-            element_at(array({_quoted((UNKNOWN, *FAMILIES))}), int(array_position(line.logits, array_max(line.logits)))) AS family,
-            1 / aggregate(line.logits, 0D, (sum, x) -> sum + exp(x - array_max(line.logits))) AS probability)),
-            line -> line.family <> '{UNKNOWN}' AND line.probability >= {LEAST_PROBABILITY})"""
+        f"""filter(transform({found}, x -> struct({rest},
+            element_at(array({_quoted((UNKNOWN, *FAMILIES))}), int(array_position(x.logits, array_max(x.logits)))) AS family,
+            1 / aggregate(x.logits, 0D, (sum, y) -> sum + exp(y - array_max(x.logits))) AS probability)),
+            x -> x.family <> '{UNKNOWN}' AND x.probability >= {LEAST_PROBABILITY} AND coalesce(x.wanted, x.family) = x.family)"""
     )
-    templates = {family: [sorted(grams(words(t))) for t in TEMPLATES[family]] for family in FAMILIES}
-    confirmed = F.expr(
-        f"""transform({found}, line -> struct(line.paragraph AS paragraph, line.family AS family,
-            line.probability AS probability,
-            array_max(transform(element_at(
-                from_json('{json.dumps(templates)}', 'map<string,array<array<string>>>'), line.family),
-                template -> size(array_intersect(template, concat(line.words, zip_with(line.words,
-                    slice(line.words, 2, size(line.words)), (a, b) -> concat_ws(' ', a, b))))) / size(template)))
-            AS similarity))"""
+    # Notices come first. A later one on the same line says nothing new, nor does a line of one.
+    new = F.expr(
+        f"""filter({found}, (x, i) -> NOT exists(filter({found}, (y, j) -> j < i AND y.wanted IS NOT NULL AND y.family = x.family),
+            y -> if(x.wanted IS NULL, x.first BETWEEN y.first AND y.last, x.first = y.first)))"""
     )
+    templates = {family: [sorted(grams(words(t))) for t in TEMPLATES[family]] for family in FAMILIES}
+    bag = f"""array_max(transform(element_at({_constant(templates, 'map<string,array<array<string>>>')}, x.family),
+        template -> size(array_intersect(template, concat(x.words, {_pairs('x.words')}))) / size(template)))"""
     named = F.expr(
-        f"""transform({found}, line -> struct(line.paragraph AS paragraph, line.family AS family,
-            line.probability AS probability, line.similarity AS similarity,
-            line.similarity >= {LEAST_SHARE} AS confirmed))"""
+        f"""array_sort(transform({found}, x -> struct(x.first AS paragraph, x.family AS family, x.probability AS probability,
+            if(x.wanted IS NULL, {bag}, x.similarity) AS similarity, x.wanted IS NOT NULL AS confirmed)))"""
     )
-    for step in (chosen, with_grams, scored, likeliest, confirmed, named):
+    for step in (lines, parts, notices, together, scored, likeliest, new, named):
         docs = docs.withColumn(found, step)
     empty = F.array().cast("array<struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean>>")
     return docs.withColumn(found, F.coalesce(found, empty))
@@ -225,7 +310,7 @@ def licences(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model:
     """(doc_id, n_paragraphs, found), one row per row of ``docs``; see ``scan``.
 
     Repeated rows and null ids stay, an empty table gives no rows, other columns do
-    not matter. A null text has no paragraphs, an empty one a single empty one. The
+    not matter. ``n_paragraphs`` counts lines: a null text has none, an empty one one. The
     model is trained on ``docs`` unless one is given.
     """
     model = model or train(docs, text)

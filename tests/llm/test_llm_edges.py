@@ -101,6 +101,23 @@ def test_licences(table):
     assert licences.licences(table([])).count() == 0
 
 
+#: Headers as files have them: wrapped, behind marks of comments, beside other lines.
+WRAPPED = {
+    "mit": ["// Permission is hereby granted, free of charge, to any person obtaining a", "// copy of this software and associated documentation files, to deal in the", "// Software without restriction."],
+    "bsd": [" * Redistribution and use in source and binary forms, with or", " * without modification, are permitted provided that the following", " * conditions are met:"],
+    "gpl": ["# This program is free software: you can redistribute it and/or modify", "# it under the terms of the GNU General Public License as published by", "# the Free Software Foundation."],
+}
+
+
+def test_licences_wrapped_over_lines(table):
+    rows = [(at + 10, "\n".join(["import os", "//", *lines, "x = 1"])) for at, lines in enumerate(WRAPPED.values())]
+    rows.append((9, "\n".join(["intro", *WRAPPED["mit"], "Released under the MIT License.", "y = 2", "", "*", *WRAPPED["bsd"]])))
+    found = dict(by_id(licences.licences(table([*ROWS, *rows])), "found"))
+    for at, family in enumerate(WRAPPED):
+        assert [(f["paragraph"], f["family"]) for f in found[at + 10] if f["confirmed"]] == [(2, family)]
+    assert [(f["paragraph"], f["family"]) for f in found[9] if f["confirmed"]] == [(1, "mit"), (4, "mit"), (8, "bsd")]
+
+
 def test_bpe(table):
     vocab = vocabulary()
     rows = [*ROWS, (7, "a<|endoftext|>é \U0001f986")]
