@@ -63,8 +63,8 @@ TEMPLATES = {
 }
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = "unknown"
-#: Bounds of the training sample: lines of the corpus, and characters of each.
-CORPUS_LINES, LINE_CHARACTERS = 3000, 300
+#: Bounds of the training rows: lines of the corpus, and words of one that are put beside a template.
+CORPUS_LINES, AROUND = 3000, 12
 #: Variants of each template, and the share of corpus lines above which an n-gram is no feature.
 VARIANTS, COMMON = 40, 0.01
 #: A prediction needs this probability, a confirmation this share of a template.
@@ -106,27 +106,27 @@ def _matrix(rows: list[set[str]], features: list[str]) -> np.ndarray:
     return found
 
 
-def fit(corpus: list[str], steps: int = 400, sparsity: float = 2e-4) -> Model:
-    """Train on varied templates and on lines of a corpus that hold no template."""
+def fit(
+    lines: list[tuple[list[str], list[str]]], common: dict[str, int], n_lines: int, steps: int = 400, sparsity: float = 2e-4
+) -> Model:
+    """Train on varied templates and on lines of a corpus that hold no template.
+
+    ``lines`` are their template n-grams and first words; ``common`` counts, of all
+    ``n_lines`` such lines of the corpus, those that hold an n-gram.
+    """
     random = np.random.default_rng(11)
     known = [grams(words(t)) for family in FAMILIES for t in TEMPLATES[family]]
-    lines = [words(line) for line in corpus]
-    lines = [line for line in lines if line and not any(len(k & grams(line)) >= LEAST_SHARE * len(k) for k in known)]
-    common: dict[str, int] = {}
-    for line in lines:
-        for gram in grams(line):
-            common[gram] = common.get(gram, 0) + 1
-    features = sorted(g for g in set().union(*known) if common.get(g, 0) <= COMMON * len(lines))
+    features = sorted(g for g in set().union(*known) if common.get(g, 0) <= COMMON * n_lines)
     rows, classes = [], []
     for at, family in enumerate(FAMILIES):
         for template in TEMPLATES[family]:
             whole = words(template)
             for variant in range(VARIANTS):
                 kept = [w for w in whole if variant == 0 or random.random() > 0.15] or whole
-                around = lines[int(random.integers(0, len(lines)))][:12] if lines and variant % 2 else []
+                around = lines[int(random.integers(0, len(lines)))][1] if lines and variant % 2 else []
                 rows.append(grams(kept + around))
                 classes.append(at + 1)
-    unknown = [grams(line) for line in lines]
+    unknown = [set(found) for found, _ in lines]
     # Parts of templates too short to tell a family are unknown text as well.
     unknown += [{word} for k in known for word in k if " " not in word and word not in ("apache", "mit", "gnu", "bsd", "mozilla")]
     unknown += [set()] * 50
@@ -156,13 +156,41 @@ def fit(corpus: list[str], steps: int = 400, sparsity: float = 2e-4) -> Model:
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """The model for a corpus, from at most ``CORPUS_LINES`` of its lines (by their hash)."""
+    """The model for a corpus: n-grams are counted over all its lines, and the rows to
+    fit are at most ``CORPUS_LINES`` different ones (by their hash), whole.
+
+    Lines that hold a template, or of which most word pairs are a template's (a part of
+    a wrapped notice), are no unknown text and left out of both.
+    """
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("line")).where("length(line) > 0")
-    cut = lines.select(F.substring("line", 1, LINE_CHARACTERS).alias("line")).withColumn("hash", F.xxhash64("line"))
-    hashes = cut.select("hash").distinct().orderBy("hash").limit(CORPUS_LINES)
+    # Template n-grams only: a small and fixed set, so that rows are short.
+    hashes = lines.select(F.xxhash64("line").alias("hash")).distinct().orderBy("hash").limit(CORPUS_LINES)
+    counts = _unknown_lines(lines).select(F.explode(F.concat("grams", F.array(F.lit("")))).alias("gram"))
+    common = {row["gram"]: row["count"] for row in counts.groupBy("gram").count().collect()}
+    some = lines.withColumn("hash", F.xxhash64("line")).join(F.broadcast(hashes), "hash")
     # At most CORPUS_LINES rows, as equal lines count once.
-    rows = cut.join(F.broadcast(hashes), "hash").distinct().orderBy("hash", "line").collect()
-    return fit([row["line"] for row in rows])
+    once = some.groupBy("hash").agg(F.min("line").alias("line"))
+    rows = _unknown_lines(once, "hash").orderBy("hash").select("grams", F.slice("words", 1, AROUND).alias("head")).collect()
+    # Every line also counts under the empty n-gram.
+    return fit([(sorted(row["grams"]), row["head"]) for row in rows], common, common.get("", 0))
+
+
+def _unknown_lines(lines: DataFrame, *kept: str) -> DataFrame:
+    """(words, grams) of the lines that have words and are no part of a notice."""
+    every = sorted(set().union(*(grams(template) for _, template in NOTICES)))
+    pairs = [gram for gram in every if " " in gram]
+    sizes = [sorted(grams(template)) for _, template in NOTICES]
+    part = f"size(x.words) > 2 AND size(filter(x.held, gram -> gram IN ({_quoted(pairs)}))) >= {LEAST_SHARE}D * (size(x.words) - 1)"
+    # The costly comparison is for lines that hold the larger part of a template in any order.
+    near = f"""exists({_constant(sizes, 'array<array<string>>')}, template -> if(size(x.grams) >= 0.5D * size(template),
+        size(array_intersect(template, x.grams)) >= 0.5D * size(template), false))"""
+    whole = _notices(_candidates("array(struct(0 AS first, array(size(x.words)) AS sizes, x.words AS words))"))
+    # One expression, as a filter on columns would compute them again for each mention.
+    held = f"""transform(array({_words('line')}), words -> struct(words AS words,
+        filter(concat(words, {_pairs('words')}), gram -> gram IN ({_quoted(every)})) AS held))"""
+    distinct = f"transform({held}, x -> struct(x.words AS words, x.held AS held, array_distinct(x.held) AS grams))"
+    unknown = f"""filter({distinct}, x -> size(x.words) > 0 AND NOT if({part}, true, if({near}, size({whole}) > 0, false)))"""
+    return lines.select(*kept, F.expr(f"inline(transform({unknown}, x -> struct(x.words AS words, x.grams AS grams)))"))
 
 
 def _quoted(values) -> str:
@@ -173,6 +201,11 @@ def _constant(value, kind: str) -> str:
     return f"from_json('{json.dumps(value)}', '{kind}')"
 
 
+def _words(line: str) -> str:
+    return f"""array_remove(split(translate({line}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^a-z0-9]+'), '')"""
+
+
 def _pairs(words: str) -> str:
     """Words next to each other, in order; the last word alone."""
     return f"zip_with({words}, slice({words}, 2, size({words})), (a, b) -> concat_ws(' ', a, b))"

@@ -118,6 +118,15 @@ def test_licences_wrapped_over_lines(table):
     assert [(f["paragraph"], f["family"]) for f in found[9] if f["confirmed"]] == [(1, "mit"), (4, "mit"), (8, "bsd")]
 
 
+def test_licence_counts_come_from_whole_lines(table):
+    """An n-gram that every line holds, but late, is no feature; a notice in many lines is."""
+    late = "w " * 200 + "Software distributed without warranties"
+    docs = [(at, f"number {at} {late}\nAll rights reserved.\nother {at}") for at in range(100)]
+    features = licences.train(table(docs)).features
+    assert not {"software", "software distributed", "without warranties"} & set(features)
+    assert "rights reserved" in features
+
+
 def test_bpe(table):
     vocab = vocabulary()
     rows = [*ROWS, (7, "a<|endoftext|>é \U0001f986")]
