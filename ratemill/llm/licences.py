@@ -40,6 +40,18 @@ TEMPLATES = {
         "General Public License as published by the Free Software Foundation.",
         "You should have received a copy of the GNU General Public License along with this program.",
     ),
+    "lgpl": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    ),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+    ),
     "bsd": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
@@ -128,7 +140,7 @@ def fit(
                 classes.append(at + 1)
     unknown = [set(found) for found, _ in lines]
     # Parts of templates too short to tell a family are unknown text as well.
-    unknown += [{word} for k in known for word in k if " " not in word and word not in ("apache", "mit", "gnu", "bsd", "mozilla")]
+    unknown += [{word} for k in known for word in k if " " not in word and word not in ("apache", "mit", "gnu", "lesser", "affero", "bsd", "mozilla")]
     unknown += [set()] * 50
     rows += unknown
     classes += [0] * len(unknown)

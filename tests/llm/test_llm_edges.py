@@ -118,6 +118,26 @@ def test_licences_wrapped_over_lines(table):
     assert [(f["paragraph"], f["family"]) for f in found[9] if f["confirmed"]] == [(1, "mit"), (4, "mit"), (8, "bsd")]
 
 
+def test_licences_of_one_line(table):
+    """Every family of a line is found, look-alikes are not, and LGPL and AGPL are no GPL."""
+    gnu = "This work is licensed under the GNU {}General Public License, version 3."
+    apache = "Licensed under the Apache License, Version 2.0."
+    texts = {
+        11: ("Released under the MIT License. We are glad. " + apache, ["apache", "mit"]),
+        12: ("all seats were reserved, film rights sold", []),
+        13: ("reserved rights, all of them", []),
+        14: (gnu.format(""), ["gpl"]),
+        15: (gnu.format("Lesser "), ["lgpl"]),
+        16: (gnu.format("Affero "), ["agpl"]),
+        17: ("GNU Lesser General Public License, version 3", []),  # half of a template
+        18: ("version of the apache tribe, may the license of a car be obtained in compliance with the law", []),
+    }
+    rows = [(doc_id, text) for doc_id, (text, _) in texts.items()]
+    scanned = licences.licences(table([*ROWS, *rows])).select("doc_id", licences.confirmed_families(F.col("found")).alias("families"))
+    families = {r["doc_id"]: r["families"] for r in scanned.collect()}
+    assert {doc_id: families[doc_id] for doc_id in texts} == {doc_id: sorted(want) for doc_id, (_, want) in texts.items()}
+
+
 def test_licence_counts_come_from_whole_lines(table):
     """An n-gram that every line holds, but late, is no feature; a notice in many lines is."""
     late = "w " * 200 + "Software distributed without warranties"
