@@ -154,16 +154,27 @@ def learn(
 ) -> Model:
     """Fit on documents outside fold 0: those labelled 1, and those without a label.
 
-    Rows with a null doc_id, and labels of no document, are not used. A document that
-    has several rows is used once.
+    Rows with a null doc_id, and labels of no document, are not used; a null label is
+    none. If every document has a label, all of them are the mixture that unlabelled
+    ones stand for, whatever their label. A document that has several rows is used once.
     """
-    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).where("doc_id is not null")
+    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
+    known = known.where("doc_id is not null and label is not null")
     ids = docs.select(F.col(doc_id).alias("doc_id")).where("doc_id is not null").distinct()
     outside = fold_of(F.col("doc_id")) != 0
     order = F.xxhash64("doc_id"), F.col("doc_id")
     positive = known.where(outside & (F.col("label") == 1)).select("doc_id").distinct()
     positive = positive.join(ids, "doc_id", "left_semi").orderBy(*order).limit(trusted_rows)
-    other = ids.where(outside).join(known, "doc_id", "left_anti").orderBy(*order).limit(unlabelled_rows)
+    mixture = ids.where(outside)
+    other = mixture.join(known, "doc_id", "left_anti").orderBy(*order).limit(unlabelled_rows)
+    trusted, unlabelled = _measured(docs, positive, other, text, doc_id)
+    if len(trusted) and not len(unlabelled):
+        trusted, unlabelled = _measured(docs, positive, mixture.orderBy(*order).limit(unlabelled_rows), text, doc_id)
+    return fit(trusted, unlabelled)
+
+
+def _measured(docs: DataFrame, positive: DataFrame, other: DataFrame, text: str, doc_id: str) -> list[np.ndarray]:
+    """Features of the documents of two samples of ids."""
     sample = positive.withColumn("trusted", F.lit(True)).union(other.withColumn("trusted", F.lit(False)))
     kinds = kinds_table()
 
@@ -182,13 +193,12 @@ def learn(
         .orderBy("doc_id")
         .collect()
     )
-    both = [
+    return [
         np.frombuffer(b"".join(row["features"] for row in rows if row["trusted"] == which), "<f4")
         .reshape(-1, N_FEATURES)
         .astype(np.float64)
         for which in (True, False)
     ]
-    return fit(*both)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -212,7 +222,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
     ``held_out`` tells documents that no label was learnt from (fold 0; a null doc_id
     counts as the empty text). Null and empty texts are scored too, repeated rows stay,
-    an empty table gives no rows, an empty label table gives scores of a half.
+    an empty table gives no rows; an empty label table, or one of null labels only,
+    gives scores of a half.
     """
     model = learn(docs, labels, text, doc_id)
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

@@ -180,6 +180,21 @@ def test_quality(spark, table):
     assert quality.keep_good(table(ROWS), labels).columns == table(ROWS).columns
 
 
+def test_quality_of_labelled_corpora(spark, table):
+    """A null label is none, and a corpus in which every document has a label is learnt from."""
+    good = {i: f"The river number {i} runs slowly, and people of the town walk along it." for i in range(40)}
+    bad = {i: f"$$ {i} ## BUY!! now!! now!! {i}{i} ||| <<>>" for i in range(40, 80)}
+    docs = table([*good.items(), *bad.items()])
+    kind = "doc_id long, quality int"
+    some = spark.createDataFrame([(i, 1) for i in range(20)], kind)
+    nulls = spark.createDataFrame([(i, 1 if i < 20 else None) for i in range(80)], kind)
+    full = spark.createDataFrame([(i, int(i in good)) for i in range(80)], kind)
+    scores = {name: dict(by_id(quality.classify(docs, labels), "score")) for name, labels in (("some", some), ("nulls", nulls), ("full", full))}
+    assert scores["nulls"] == scores["some"] and len(set(scores["some"].values())) > 1
+    assert min(scores["full"][i] for i in good) > max(scores["full"][i] for i in bad)
+    assert {r["doc_id"] for r in quality.keep_good(docs, full).collect()} == set(good)
+
+
 def test_decontamination(spark, table):
     words = [f"w{i}" for i in range(14)]
     items = [(1, " ".join(words[:12])), (2, "Short ITEM!"), (3, None), (4, "..."), (None, "nobody names me"), (5, " ".join(words[:12]))]
