@@ -1,10 +1,24 @@
 """Registered queries of the subpackage: thin digests of what the operators give."""
 
+from itertools import permutations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratemill.llm import bpe, chat, decontaminate, kdtree, licences, lines, pii, quality, secret_scan, simhash
+from ratemill.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    filter_audit,
+    kdtree,
+    licences,
+    lines,
+    matrix_bpe,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+)
 from ratemill.llm.tables import digest_of, read
 from ratemill.sources.storage import fresh_folder
 
@@ -156,6 +170,31 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    ).drop("filter")
+
+
+def ranks(name: str = "byte_bpe_50k.tiktoken") -> matrix_bpe.Ranks:
+    """A public file of ranks, read by the driver and sent to the tasks."""
+    import public_tokenizers
+
+    content = Path(public_tokenizers.path(name)).read_bytes()
+    return matrix_bpe.Ranks.from_tiktoken(content, public_tokenizers.PATTERN)
+
+
+def op13_matrix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = ranks()
+    found = matrix_bpe.decode(matrix_bpe.encode(read(spark, sf_dir, "documents"), vocab), vocab)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_secrets": op2_secrets,
@@ -167,6 +206,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_exact_topk": op9_exact_topk,
     "op10_chat_format": op10_chat_format,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_matrix_bpe": op13_matrix_bpe,
 }
 
 
@@ -207,7 +248,56 @@ def _secret_sql() -> str:
     """
 
 
+def _audit_sql() -> str:
+    names = "ABCDE"
+    bits = {name: 1 << at for at, name in enumerate(names)}
+    listed = ", ".join(f"('{''.join(order)}')" for order in permutations(names))
+    flags = ", ".join(f"(CASE WHEN {name} THEN {bit} ELSE 0 END)" for name, bit in bits.items())
+    return rf"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), tested AS (
+            SELECT doc_id, part,
+                   len(words) < 100 AS A,
+                   100 * len(list_distinct(words)) < 80 * len(words) AS B,
+                   100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) AS C,
+                   regexp_matches(text, '[#$%&*|]') AS D,
+                   coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS E,
+                   coalesce(doc_id IN (SELECT l.doc_id FROM labels l WHERE quality = 1), false) AS good,
+                   coalesce(doc_id IN (SELECT l.doc_id FROM labels l WHERE toxic = 1), false) AS bad
+            FROM texts
+        ), masks AS (
+            SELECT part, list_sum([{flags}])::INTEGER AS mask, count(*) AS n,
+                   count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad
+            FROM tested GROUP BY ALL
+        ), steps AS (
+            SELECT filter_order, step, ascii(filter_order[step]) - 65 AS bit,
+                   list_sum([0] || list_transform(range(1, step), lambda s: 1 << (ascii(filter_order[s]) - 65)))
+                       ::INTEGER AS prefix
+            FROM (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step
+                  FROM (VALUES {listed}) t(filter_order))
+        ), counted AS (
+            SELECT part, filter_order, step, bit,
+                   sum(CASE WHEN mask & (prefix | (1 << bit)) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN mask & prefix = 0 AND mask & (1 << bit) <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN mask & prefix <> 0 AND mask & (1 << bit) <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN mask = (1 << bit) THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN mask & prefix = 0 AND mask & (1 << bit) <> 0 THEN n_good ELSE 0 END)::BIGINT
+                       AS good_lost,
+                   sum(CASE WHEN mask & prefix = 0 AND mask & (1 << bit) <> 0 THEN n_bad ELSE 0 END)::BIGINT
+                       AS toxic_lost
+            FROM masks, steps GROUP BY ALL
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM counted
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op11_filter_audit": _audit_sql(),
     "op2_secrets": _secret_sql(),
     "op6_line_dedup": """
         WITH docs AS (
