@@ -14,6 +14,7 @@ from ratemill.llm import (
     licences,
     lines,
     matrix_bpe,
+    max_sketch,
     pii,
     quality,
     secret_scan,
@@ -176,6 +177,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("filter")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = max_sketch.build_index(read(spark, sf_dir, "documents"))
+    return max_sketch.search(index, read(spark, sf_dir, "benchmark"), k=10)
+
+
 def ranks(name: str = "byte_bpe_50k.tiktoken") -> matrix_bpe.Ranks:
     """A public file of ranks, read by the driver and sent to the tasks."""
     import public_tokenizers
@@ -207,6 +213,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_chat_format": op10_chat_format,
     "op11_filter_audit": op11_filter_audit,
+    "op12_ranked_search": op12_ranked_search,
     "op13_matrix_bpe": op13_matrix_bpe,
 }
 
@@ -296,7 +303,46 @@ def _audit_sql() -> str:
     """
 
 
+_RANKED_SQL = r"""
+    WITH terms AS (
+        SELECT number, doc_id, unnest(words) AS term FROM (
+            SELECT row_number() OVER () AS number, doc_id, list_transform(
+                regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words
+            FROM documents)
+    ), asked AS (
+        SELECT DISTINCT number, item_id, unnest(words) AS term FROM (
+            SELECT row_number() OVER () AS number, item_id, list_transform(
+                regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+                lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words
+            FROM benchmark)
+    ), lengths AS (
+        SELECT number, count(*) AS n FROM terms GROUP BY number
+    ), sums AS (
+        SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths
+    ), found AS (
+        SELECT number, doc_id, term, count(*) AS tf FROM terms
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+        FROM (SELECT term, count(*) AS df FROM found GROUP BY term), sums
+    ), norms AS (
+        SELECT number, 100 - 90 + ((90 * n * docs) // words) AS m FROM lengths, sums
+    ), scores AS (
+        SELECT a.number, a.item_id, f.doc_id, f.number AS place,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM asked a JOIN found f USING (term) JOIN weights USING (term) JOIN norms n ON n.number = f.number
+        GROUP BY ALL
+    )
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id NULLS LAST, place) AS rank
+        FROM scores WHERE score > 0)
+    WHERE rank <= 10
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_ranked_search": _RANKED_SQL,
     "op11_filter_audit": _audit_sql(),
     "op2_secrets": _secret_sql(),
     "op6_line_dedup": """
