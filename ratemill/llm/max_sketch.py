@@ -42,7 +42,7 @@ TERMS_AT_ONCE = 4096
 #: Documents scored first, for each of the k.
 FIRST = 4
 #: Rows of sketches read together, and terms that a task counts before it hands on.
-ROWS_AT_ONCE, TERMS_KEPT = 2048, 500_000
+ROWS_AT_ONCE, TERMS_KEPT = 1024, 150_000
 #: Rows of one product that stay in a core's cache.
 IN_CACHE = 256
 #: Scored documents that go to all tasks with the plan: 24 bytes each.
