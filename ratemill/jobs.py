@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import marts, validate
 from ratemill.operators.decode import encode_events, parse_events
+from ratemill.operators.recommend import ITEM_BLOCKS, USER_BLOCKS
 from ratemill.plans import cycle
-from ratemill.plans.silver import read_silver, refresh_silver
+from ratemill.plans.silver import has_totals, merge_silver, read_silver, read_totals, refresh_silver
 from ratemill.plans.star import Star
 from ratemill.sources.bronze import compact_bronze, read_bronze
 from ratemill.sources.documents import read_recommendations
@@ -27,11 +28,13 @@ from ratemill.sources.warehouse import write_warehouse
 from ratemill.streaming.bronze import write_bronze
 
 REPORTS = {
-    "top_items": lambda s: marts.top_items(s.fact_ratings, s.dim_item),
-    "trend_by_month": lambda s: marts.trend_by_month(s.fact_ratings, s.dim_date),
-    "location_genre": lambda s: marts.location_genre(s.fact_ratings, s.dim_user, s.dim_item),
-    "sample": lambda s: marts.sample(s.fact_ratings),
-    "check": Star.check,
+    "top_items": lambda s, t: marts.top_items(t.by_item if t else s.fact_ratings, s.dim_item),
+    "trend_by_month": lambda s, t: marts.trend_by_month(t.by_date if t else s.fact_ratings, s.dim_date),
+    "location_genre": lambda s, t: marts.location_genre(
+        t.by_pair if t else s.fact_ratings, s.dim_user, s.dim_item
+    ),
+    "sample": lambda s, t: marts.sample(s.fact_ratings),
+    "check": lambda s, t: Star.check(s),
 }
 
 # Rows of a table that a job prints; reports are written in full.
@@ -51,6 +54,10 @@ def _load(args: argparse.Namespace):
     return lambda star: write_warehouse(star.tables(), args.jdbc_url, dict(args.jdbc_option), keys)
 
 
+def _blocks(args: argparse.Namespace) -> dict[str, int]:
+    return {"user_blocks": args.user_blocks, "item_blocks": args.item_blocks}
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     events = parse_events(read_event_stream(spark, args.format, dict(args.option)))
@@ -74,12 +81,19 @@ def submit(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    version = refresh_silver(spark, args.bronze, args.silver, since=args.since, fmt=args.fmt)
+    version = refresh_silver(
+        spark, args.bronze, args.silver, since=args.since, fmt=args.fmt, totals=not args.no_totals
+    )
     print(f"Silver holds version {version}")
 
 
+def merge(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Merge runs of Silver; beside readers and refreshes, whenever it suits."""
+    print(f"{merge_silver(spark, args.silver, args.fmt)} runs fewer")
+
+
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Merge the folders of old batches; not while an ingest job writes to the table."""
+    """Merge the parts of old batches; also while an ingest job writes to the table."""
     print(f"Compacted up to version {compact_bronze(spark, args.bronze)}")
 
 
@@ -92,7 +106,8 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    rmse, edition = cycle.train(read_silver(spark, args.silver, args.fmt), args.recommendations)
+    ratings = read_silver(spark, args.silver, args.fmt)
+    rmse, edition = cycle.train(ratings, args.recommendations, **_blocks(args))
     print(f"RMSE {rmse}, recommendations in {edition}")
 
 
@@ -100,7 +115,7 @@ def run_cycle(spark: SparkSession, args: argparse.Namespace) -> None:
     items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
     print(
         cycle.run_cycle(
-            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt
+            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt, **_blocks(args)
         )
     )
 
@@ -111,7 +126,9 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Write the whole report where ``--out`` says, and show its head."""
-    overwrite_table(REPORTS[args.name](cycle.read_gold(spark, _paths(args), args.fmt)).coalesce(1), args.out, "json")
+    totals = read_totals(spark, args.silver, args.fmt) if has_totals(spark, args.silver) else None
+    found = REPORTS[args.name](cycle.read_gold(spark, _paths(args), args.fmt), totals)
+    overwrite_table(found.coalesce(1), args.out, "json")
     _show(spark.read.json(args.out))
 
 
@@ -155,14 +172,22 @@ def parser() -> argparse.ArgumentParser:
     messages(added)
     added.add_argument("--every", help="pause between batches; without it, one pass")
     messages(job("submit", submit, "bodies", "rejects", "batch"))
-    job("silver", silver, "bronze", "silver").add_argument("--since", type=int)
+    def blocks(added):
+        added.add_argument("--user-blocks", type=int, default=USER_BLOCKS, help="of ALS: its parallelism")
+        added.add_argument("--item-blocks", type=int, default=ITEM_BLOCKS)
+
+    added = job("silver", silver, "bronze", "silver")
+    added.add_argument("--since", type=int)
+    added.add_argument("--no-totals", action="store_true", help="a first build without totals for reports")
+    job("merge", merge, "silver")
     job("compact", compact, "bronze")
     warehouse(job("gold", gold, "silver", "gold", "items", "profiles"))
-    job("train", train, "silver", "recommendations")
+    blocks(job("train", train, "silver", "recommendations"))
     added = job(
         "cycle", run_cycle, "bronze", "silver", "gold", "recommendations", "items", "profiles"
     )
     warehouse(added)
+    blocks(added)
     added.add_argument("--since", type=int)
     job("snapshot", snapshot, "bronze").add_argument("--version", type=int, default=0)
     job("report", report, "silver", "gold", "out").add_argument("name", choices=sorted(REPORTS))

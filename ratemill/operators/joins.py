@@ -55,7 +55,8 @@ class Dimension:
 def rating_totals(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     """Sum and count of ratings per combination of dimension attributes.
 
-    Same result as joining every fact row and grouping at the end, with the
+    ``fact`` holds facts, or partial totals of them per the dimensions' keys
+    (``rating_sum``, ``rating_count``). Same result as joining every fact row and grouping at the end, with the
     facts collapsed early. With several dimensions, those within the broadcast
     threshold join row by row without a shuffle. Facts are then added up per
     key of the rest, with a map-side combine, so that a hot key no longer
@@ -64,15 +65,17 @@ def rating_totals(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
     small = [d for d in dimensions if len(dimensions) > 1 and fits_broadcast(d.narrow())]
     large = [d for d in dimensions if d not in small]
 
-    rows = fact.select(*{d.key: None for d in dimensions}, "rating")
+    added = {"rating_sum": F.sum("rating"), "rating_count": F.count("rating")}
+    if "rating_count" in fact.columns:
+        added = {name: F.sum(name) for name in added}
+    values = ["rating"] if "rating" in fact.columns else list(added)
+    rows = fact.select(*{d.key: None for d in dimensions}, *values)
     known: list[str] = []
     for dimension in small:
         rows = rows.join(F.broadcast(dimension.narrow()), dimension.key)
         known += dimension.attributes
     open_keys = [d.key for d in large]
-    totals = rows.groupBy(*known, *open_keys).agg(
-        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count")
-    )
+    totals = rows.groupBy(*known, *open_keys).agg(*[total.alias(name) for name, total in added.items()])
     for dimension in large:
         open_keys.remove(dimension.key)
         totals = join_dimension(totals, dimension.narrow(), dimension.key)

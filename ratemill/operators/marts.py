@@ -1,4 +1,7 @@
-"""The published reports on the star schema."""
+"""The published reports on the star schema.
+
+Each takes facts, or totals of ratings per the keys it joins on, which Silver keeps.
+"""
 
 from pyspark.sql import DataFrame, functions as F
 

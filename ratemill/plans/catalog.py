@@ -9,7 +9,7 @@ from ratemill.functions.calendar import date_id
 from ratemill.operators import decode, marts, recommend, serve, star, validate
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.plans import cycle, fixtures
-from ratemill.plans.silver import read_silver, rebuild_silver, refresh_silver
+from ratemill.plans.silver import read_silver, read_totals, rebuild_silver, refresh_silver
 from ratemill.plans.star import Star, build_star, read_star, write_star
 from ratemill.sources.bronze import bronze_versions, compact_bronze, read_bronze
 from ratemill.sources.documents import export_recommendations, read_recommendations
@@ -119,15 +119,27 @@ def snapshot_v0_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, _compacted(spark, sf_dir), version=0)
 
 
-def silver_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _refresh(spark: SparkSession, sf_dir: str, totals: bool) -> str:
     """Silver of the first version, then refreshed version by version."""
     bronze = _bronze(spark, sf_dir)
     target = fresh_folder(spark, "silver")
     first, *later = bronze_versions(spark, bronze)
-    rebuild_silver(spark, bronze, target, first)
+    rebuild_silver(spark, bronze, target, first, totals=totals)
     for version in later:
         refresh_silver(spark, bronze, target, version)
-    return read_silver(spark, target)
+    return target
+
+
+def silver_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _refresh(spark, sf_dir, totals=False))
+
+
+def _silver_with_totals(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "silver with totals", lambda: _refresh(spark, sf_dir, totals=True))
+
+
+def silver_with_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _silver_with_totals(spark, sf_dir))
 
 
 # --- star schema and reports ------------------------------------------------
@@ -206,6 +218,22 @@ def star_check_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def top_items_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from totals that two refreshes kept up to date."""
+    totals = read_totals(spark, _silver_with_totals(spark, sf_dir))
+    return marts.top_items(totals.by_item, events_star(spark, sf_dir).dim_item)
+
+
+def trend_by_month_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = read_totals(spark, _silver_with_totals(spark, sf_dir))
+    return marts.trend_by_month(totals.by_date, star.dim_date(totals.by_date))
+
+
+def location_genre_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals, dims = read_totals(spark, _silver_with_totals(spark, sf_dir)), events_star(spark, sf_dir)
+    return marts.location_genre(totals.by_pair, dims.dim_user, dims.dim_item)
+
+
 def fact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five facts by SQL over the registered tables."""
     register_views(events_star(spark, sf_dir).tables())
@@ -479,6 +507,7 @@ def run_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREPARED: dict[str, Callable[[SparkSession, str], object]] = {
     "bronze": _bronze,
     "compacted bronze": _compacted,
+    "silver with totals": _silver_with_totals,
     "ratings table": ratings_table,
     "events star": events_star,
     "orders star": orders_star,
@@ -500,6 +529,10 @@ QUERIES: dict[str, Query] = {
     "silver_latest": silver_latest,
     "silver_large": silver_large,
     "silver_refreshed": silver_refreshed,
+    "silver_with_totals": silver_with_totals,
+    "top_items_refreshed": top_items_refreshed,
+    "trend_by_month_refreshed": trend_by_month_refreshed,
+    "location_genre_refreshed": location_genre_refreshed,
     "dim_item": lambda spark, sf_dir: star.dim_item(fixtures.items(spark, sf_dir)),
     "dim_user": lambda spark, sf_dir: star.dim_user(fixtures.profiles(spark, sf_dir)),
     "dim_date": lambda spark, sf_dir: events_star(spark, sf_dir).dim_date,

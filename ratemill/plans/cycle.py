@@ -6,11 +6,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import recommend, star
-from ratemill.plans.silver import read_silver, refresh_silver
+from ratemill.plans.silver import has_totals, merge_silver, read_silver, read_totals, refresh_silver
 from ratemill.plans.star import Star, read_star, write_dimensions
-from ratemill.schemas import FACT
 from ratemill.sources.documents import export_recommendations
-from ratemill.sources.tables import read_dated
 
 
 @dataclass(frozen=True)
@@ -33,19 +31,21 @@ class Report:
 def write_gold(
     spark: SparkSession, paths: Paths, items: DataFrame, profiles: DataFrame, fmt: str = "parquet"
 ) -> Star:
-    """Write the dimensions; facts are the Silver files under the fact schema.
+    """Write the dimensions; facts are the Silver rows under the fact schema.
 
-    Silver is laid out by date, so its files already hold the fact columns and
-    no second copy is made.
+    No second copy of them is made, and dates come from the totals where Silver
+    keeps them.
     """
-    fact = read_dated(spark, paths.silver, FACT, fmt)
-    built = Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(fact), fact)
+    fact = star.fact_ratings(read_silver(spark, paths.silver, fmt))
+    dated = read_totals(spark, paths.silver, fmt).by_date if has_totals(spark, paths.silver) else fact
+    built = Star(star.dim_item(items), star.dim_user(profiles), star.dim_date(dated), fact)
     write_dimensions(built, paths.gold, fmt)
     return read_gold(spark, paths, fmt)
 
 
 def read_gold(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> Star:
-    return read_star(spark, paths.gold, read_dated(spark, paths.silver, FACT, fmt), fmt)
+    fact = star.fact_ratings(read_silver(spark, paths.silver, fmt))
+    return read_star(spark, paths.gold, fact, fmt)
 
 
 def has_rows(ratings: DataFrame) -> bool:
@@ -95,10 +95,11 @@ def run_cycle(
     meanwhile wait for the next cycle. Silver records the version it holds and is
     refreshed from there, also after a restart; ``since``, if given, must agree with
     it. ``load`` receives the star, to fill a warehouse say. ``fmt`` is the format of
-    all tables but the lists; one that keeps versions itself (``delta``) has Silver
-    rebuilt as of the newest. Later steps read the written tables.
+    all tables but the lists; of one that keeps versions itself (``delta``) the changes
+    since the last cycle are read. Later steps read the written tables.
     """
     version = refresh_silver(spark, paths.bronze, paths.silver, since=since, fmt=fmt)
+    merge_silver(spark, paths.silver, fmt)
     ratings = read_silver(spark, paths.silver, fmt)
     gold = write_gold(spark, paths, items, profiles, fmt)
     if load is not None:

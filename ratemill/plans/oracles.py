@@ -186,6 +186,8 @@ SELECT user_id, movie_id, max(6 - rating) AS rating, timestamp
 FROM rated GROUP BY user_id, movie_id, timestamp""",
     "silver_large": f"WITH {_SILVER_LARGE} SELECT {_RAW_COLUMNS} FROM silver",
     "silver_refreshed": f"WITH {_SILVER} SELECT {_RAW_COLUMNS} FROM silver",
+    "silver_with_totals": f"WITH {_SILVER} SELECT {_RAW_COLUMNS} FROM silver",
+    **{f"{name}_refreshed": sql for name, sql in _reports("", _SILVER).items()},
     "dim_item": f"WITH {_ITEMS} SELECT * FROM items",
     "dim_user": f"WITH {_PROFILES} SELECT * FROM profiles",
     "dim_date": f"WITH {_SILVER}, {_FACT} {_DATES}",

@@ -1,65 +1,62 @@
 """The raw event table, as of any version.
 
-A version is a micro-batch. Fresh batches lie in folders of their own
-(``_batch_id=<n>``), older ones are compacted: ``_ranges/<last>`` holds all batches
-since the range before it, up to ``last``, in files ordered by batch, and beside them
-the batches' numbers as a small table. A range counts once its files are complete, and
-from then on folders of its batches are passed over, whether or not they are gone.
-Every read is a filter on the batch number; with ``delta`` versions are Delta's own.
+A version is a micro-batch. Batches and compactions are commits (``commits``): a batch
+adds a part, a compaction puts one part, whose files are ordered by batch, in the place
+of several, by sizes that grow tenfold, so that the parts of years of batches are few.
+A snapshot reads the parts of one commit, and every read is one filter on the batch
+number, after parts beyond it are left out. With a format that keeps versions itself
+(``delta``) versions are its own.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from ratemill.schemas import EVENT, EVENT_COLUMNS
-from ratemill.sources.storage import children, exists, numbered_children, remove
+from ratemill.sources import commits
+from ratemill.sources.commits import Commit, Conflict, Part, joined, new_folder, newest
+from ratemill.sources.storage import remove
 
 BATCH = "_batch_id"
-RANGES = "_ranges"
+#: Parts of a level that are merged into one of the next.
+FAN = 10
 
 _STORED = StructType([*EVENT.fields]).add(BATCH, LongType())
-_NUMBERS = StructType([StructField(BATCH, LongType())])
 
 
-def _ranges(spark: SparkSession, path: str) -> list[int]:
-    """Last batches of the complete ranges, ascending."""
-    found = sorted(int(n) for n in children(spark, f"{path}/{RANGES}") if n.isdigit())
-    return [n for n in found if exists(spark, f"{path}/{RANGES}/{n}/events/_SUCCESS")]
+class StaleWriter(RuntimeError):
+    """A query that writes although a later one has taken over."""
 
 
-def _folders(spark: SparkSession, path: str, after: int) -> list[int]:
-    return [n for n in numbered_children(spark, path, f"{BATCH}=") if n > after]
+# --- versions ---------------------------------------------------------------
 
 
-def _numbers(spark: SparkSession, path: str, ranges: list[int]) -> DataFrame:
-    """Numbers of compacted batches with data."""
-    if not ranges:
-        return spark.createDataFrame([], _NUMBERS)
-    return spark.read.schema(_NUMBERS).parquet(*[f"{path}/{RANGES}/{n}/batches" for n in ranges])
+def _holds(commit: Commit, version: int) -> bool:
+    return any(
+        first <= version <= last
+        for part in commit.parts
+        if part.first <= version <= part.last
+        for first, last in part.numbers
+    )
 
 
 def has_version(spark: SparkSession, path: str, version: int) -> bool:
-    ranges = _ranges(spark, path)
-    if version > max(ranges, default=-1):
-        return version in _folders(spark, path, max(ranges, default=-1))
-    return not _numbers(spark, path, ranges).where(F.col(BATCH) == version).isEmpty()
+    return _holds(newest(spark, path), version)
 
 
 def latest_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
     """The newest version, or None for a table without events."""
     if fmt != "parquet":
-        newest = table_history(spark, path, fmt).agg(F.max("version")).first()[0]
-        return None if newest is None else int(newest)
-    ranges = _ranges(spark, path)
-    # The last batch of a range has data: ranges end with a batch that was there.
-    return max([*ranges[-1:], *_folders(spark, path, max(ranges, default=-1))], default=None)
+        version = table_history(spark, path, fmt).agg(F.max("version")).first()[0]
+        return None if version is None else int(version)
+    return max((part.last for part in newest(spark, path).parts), default=None)
 
 
 def bronze_versions(spark: SparkSession, path: str) -> list[int]:
     """All versions of a parquet table, ascending; for tests and small tables."""
-    ranges = _ranges(spark, path)
-    old = [row[BATCH] for row in _numbers(spark, path, ranges).collect()]
-    return sorted(old) + _folders(spark, path, max(ranges, default=-1))
+    runs = [run for part in newest(spark, path).parts for run in part.numbers]
+    return [n for first, last in joined(runs) for n in range(first, last + 1)]
 
 
 def table_history(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -67,17 +64,13 @@ def table_history(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.sql(f"DESCRIBE HISTORY {fmt}.`{path}`").select("version")
 
 
-def _events(spark: SparkSession, path: str) -> DataFrame:
-    """All events with their batch number."""
-    ranges = _ranges(spark, path)
-    last = max(ranges, default=-1)
-    parts = []
-    if ranges:
-        files = [f"{path}/{RANGES}/{n}/events" for n in ranges]
-        parts.append(spark.read.schema(_STORED).parquet(*files))
-    if _folders(spark, path, last) or not ranges:
-        parts.append(spark.read.schema(_STORED).parquet(path).where(F.col(BATCH) > last))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+# --- reading ----------------------------------------------------------------
+
+
+def _read(spark: SparkSession, path: str, parts: list[Part]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], _STORED)
+    return spark.read.schema(_STORED).parquet(*[f"{path}/{part.folder}" for part in parts])
 
 
 def read_bronze(
@@ -89,43 +82,102 @@ def read_bronze(
         if version is not None:
             reader = reader.option("versionAsOf", version)
         return reader.load(path).select(*EVENT_COLUMNS)
-    if version is not None and not has_version(spark, path, version):
+    now = newest(spark, path)
+    if version is None:
+        return _read(spark, path, list(now.parts)).select(*EVENT_COLUMNS)
+    if not _holds(now, version):
         raise ValueError(f"no version {version} in {path}")
-    raw = _events(spark, path)
-    if version is not None:
-        raw = raw.where(F.col(BATCH) <= version)
-    return raw.select(*EVENT_COLUMNS)
+    until = _read(spark, path, [part for part in now.parts if part.first <= version])
+    return until.where(F.col(BATCH) <= version).select(*EVENT_COLUMNS)
 
 
-def read_batches(spark: SparkSession, path: str, since: int, version: int) -> DataFrame:
-    """Raw events of the micro-batches after ``since`` up to ``version``."""
+def read_batches(
+    spark: SparkSession, path: str, since: int, version: int, fmt: str = "parquet"
+) -> DataFrame:
+    """Raw events of the micro-batches after ``since`` up to ``version``.
+
+    A format that keeps versions is asked for the rows inserted between the two, by its
+    reader of changes (Delta: the table has ``delta.enableChangeDataFeed``).
+    """
+    if fmt != "parquet":
+        reader = spark.read.format(fmt).option("readChangeFeed", "true")
+        changes = reader.option("startingVersion", since + 1).option("endingVersion", version).load(path)
+        if "_change_type" in changes.columns:
+            changes = changes.where(F.col("_change_type") == "insert")
+        return changes.select(*EVENT_COLUMNS)
+    parts = [part for part in newest(spark, path).parts if part.last > since and part.first <= version]
     batch = F.col(BATCH)
-    return _events(spark, path).where((batch > since) & (batch <= version)).select(*EVENT_COLUMNS)
+    return _read(spark, path, parts).where((batch > since) & (batch <= version)).select(*EVENT_COLUMNS)
 
 
-def compact_bronze(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """Move batches (those numbered below ``before``) from folders into one range.
+# --- writing ----------------------------------------------------------------
 
-    Returns the range's last batch, or None where there was nothing to do. Cut off
-    before its files are complete, it changes nothing and starts over next time; cut
-    off after that, the folders left behind are passed over and removed next time.
+
+def begin_writing(spark: SparkSession, path: str) -> int:
+    """Take over as the one query that adds batches; returns its number."""
+    return commits.update(spark, path, lambda now: replace(now, writer=now.writer + 1)).writer
+
+
+def append_batch(events: DataFrame, batch: int, path: str, writer: int | None = None) -> None:
+    """Add one micro-batch; without events, or if it is there already, nothing.
+
+    A batch that is replayed after a failure has the same number and the same events, so
+    every event is stored once. With ``writer``, only while no later query has begun.
+    """
+    spark = events.sparkSession
+
+    def open_to(now: Commit) -> bool:
+        if writer is not None and now.writer != writer:
+            raise StaleWriter(f"query {now.writer} has begun to write {path} after query {writer}")
+        return not _holds(now, batch)
+
+    now = newest(spark, path)
+    if not open_to(now):
+        return
+    folder, seen = new_folder(now), Observation()
+    numbered = events.select(*EVENT_COLUMNS, F.lit(batch).cast("bigint").alias(BATCH))
+    numbered.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/{folder}")
+    rows = seen.get["rows"]
+    part = Part(folder, batch, batch, rows, ((batch, batch),))
+    added = False
+    try:
+        if rows:
+            then = commits.update(spark, path, lambda now: now.replaced([], part) if open_to(now) else None)
+            added = part in then.parts
+    finally:
+        if not added:
+            remove(spark, f"{path}/{folder}")
+
+
+def compact_bronze(
+    spark: SparkSession, path: str, before: int | None = None, fan: int = FAN
+) -> int | None:
+    """Merge parts of single batches (those numbered below ``before``) into one.
+
+    If that makes ``fan`` parts of a level, they are merged in the same go. Returns the
+    last batch that was merged, or None where there was nothing to do, or where another
+    compaction was first. It may run beside readers, ingestion and itself: what it
+    replaces stays for as many commits as ``commits.KEEP`` says.
     """
-    ranges = _ranges(spark, path)
-    last = max(ranges, default=-1)
-    for done in numbered_children(spark, path, f"{BATCH}="):
-        if done <= last:
-            remove(spark, f"{path}/{BATCH}={done}")
-    batches = [n for n in _folders(spark, path, last) if before is None or n < before]
-    if not batches:
+    commits.sweep(spark, path)
+    now = newest(spark, path)
+    merged = [p for p in now.parts if p.level == 0 and (before is None or p.last < before)]
+    if not merged:
+        return None
+    level = 1
+    while len(same := [p for p in now.parts if p.level == level]) + 1 >= fan:
+        merged += same
+        level += 1
+    folder = new_folder(now)
+    # A range of batches per task, so that files can be skipped by their numbers.
+    rows = _read(spark, path, merged).repartitionByRange(BATCH).sortWithinPartitions(BATCH)
+    rows.write.parquet(f"{path}/{folder}")
+    numbers = joined([run for part in merged for run in part.numbers])
+    first, last = numbers[0][0], numbers[-1][1]
+    part = Part(folder, first, last, sum(p.rows for p in merged), numbers, level=level)
+    try:
+        commits.update(spark, path, lambda now: now.replaced(merged, part))
+    except Conflict:
+        remove(spark, f"{path}/{folder}")
         return None
-    target = f"{path}/{RANGES}/{batches[-1]}"
-    fresh = spark.read.schema(_STORED).parquet(path)
-    fresh = fresh.where(F.col(BATCH).between(batches[0], batches[-1]))
-    numbers = spark.createDataFrame([(n,) for n in batches], _NUMBERS)
-    numbers.coalesce(1).write.mode("overwrite").parquet(f"{target}/batches")
-    # A range per task, so that files can be skipped by their batch numbers.
-    ordered = fresh.repartitionByRange(BATCH).sortWithinPartitions(BATCH)
-    ordered.write.mode("overwrite").parquet(f"{target}/events")
-    for done in batches:
-        remove(spark, f"{path}/{BATCH}={done}")
-    return batches[-1]
+    return last

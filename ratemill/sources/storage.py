@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -33,6 +34,45 @@ def numbered_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(tail) for tail in tails if tail.isdigit())
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, hadoop_path = _path(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file whole, or return False where there is one already.
+
+    The content goes to a file beside it, which then gets the name: by a rename that
+    does not replace, or on a local disk by a link, as a rename replaces there.
+    """
+    fs, target = _path(spark, path)
+    jvm = spark._jvm
+    waiting = jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(waiting, True)
+    stream.write(content.encode())
+    stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            names = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, waiting)]
+            jvm.java.nio.file.Files.createLink(*names)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            never_replace = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(waiting, target, never_replace)
+    except Py4JJavaError as error:
+        if fs.exists(target) and "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(waiting, False)
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote."""
     fs, hadoop_path = _path(spark, path)

@@ -2,25 +2,16 @@
 
 A table is replaced by writing a new edition beside the old one. An edition counts
 once it is complete, readers take the newest complete one, and the last two stay, so
-that a reader of the older can finish. A dated table adds a list of its dates to that:
-an edition names, for each date, the write that holds its rows, and an update writes
-the touched dates only. The list also records the source version the table belongs to.
+that a reader of the older can finish. Tables that grow instead are in ``runs``.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.sources.storage import exists, numbered_children, remove
 
-DATE_PARTITION = "date_id"
 EDITION = "edition="
-WRITE = "_write"
 KEPT = 2
 
-_DATES = (
-    StructType().add(DATE_PARTITION, IntegerType()).add(WRITE, LongType()).add("version", LongType())
-)
-
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
@@ -60,77 +51,3 @@ def newest_edition(spark: SparkSession, path: str, marker: str = "_SUCCESS") ->
     if not complete:
         raise FileNotFoundError(f"{path} holds no complete edition")
     return f"{path}/{EDITION}{complete[-1]}"
-
-
-# --- tables laid out by date ------------------------------------------------
-
-
-def _dates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_DATES).parquet(newest_edition(spark, f"{path}/dates"))
-
-
-def held_version(spark: SparkSession, path: str) -> int | None:
-    """Source version the table holds; None for one that was never written."""
-    if not complete_editions(spark, f"{path}/dates"):
-        return None
-    return _dates(spark, path).where(F.col(WRITE).isNull()).first()["version"]
-
-
-def read_dated(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
-) -> DataFrame:
-    """The newest edition of a dated table; the stated schema also fits an empty one."""
-    dates = _dates(spark, path).where(F.col(WRITE).isNotNull()).select(WRITE, DATE_PARTITION)
-    stored = schema
-    if DATE_PARTITION not in schema.fieldNames():
-        stored = StructType([*schema.fields]).add(DATE_PARTITION, IntegerType())
-    stored = StructType([*stored.fields]).add(WRITE, LongType())
-    if dates.isEmpty():
-        return spark.createDataFrame([], schema)
-    # The list has a row per date, and prunes the folders that are read.
-    rows = spark.read.format(fmt).schema(stored).load(f"{path}/data")
-    return rows.join(dates, [WRITE, DATE_PARTITION], "left_semi").select(*schema.fieldNames())
-
-
-def write_dates(
-    df: DataFrame, path: str, version: int, kept: DataFrame | None = None, fmt: str = "parquet"
-) -> None:
-    """A new edition of a dated table, of all rows of ``df`` and, from the edition
-    before, the dates in ``kept``."""
-    spark = df.sparkSession
-    number = next_edition(spark, f"{path}/dates")
-    target = f"{path}/data/{WRITE}={number}"
-    # REBALANCE gathers a date into few files, and AQE splits a date that is too
-    # large for one task.
-    laid_out = df.hint("rebalance", DATE_PARTITION)
-    laid_out.write.format(fmt).mode("overwrite").partitionBy(DATE_PARTITION).save(target)
-    rows = spark.read.format(fmt).schema(
-        StructType([*df.schema.fields])
-    ).load(target)
-    entry = F.lit(number).cast("long").alias(WRITE), F.lit(version).cast("long").alias("version")
-    listed = rows.select(DATE_PARTITION).distinct().select(DATE_PARTITION, *entry)
-    if kept is not None:
-        before = _dates(spark, path).where(F.col(WRITE).isNotNull())
-        same = before.join(kept.select(DATE_PARTITION), DATE_PARTITION, "left_semi")
-        listed = listed.unionByName(same)
-    head = spark.createDataFrame([(None, None, version)], _DATES)
-    # The edition counts from here on.
-    listed.unionByName(head).coalesce(1).write.parquet(f"{path}/dates/{EDITION}{number}")
-    drop_old_editions(spark, f"{path}/dates")
-    _drop_unused_writes(spark, path)
-
-
-def _drop_unused_writes(spark: SparkSession, path: str) -> None:
-    """Remove writes that no kept edition names; their number is that of updates."""
-    editions = [f"{path}/dates/{EDITION}{n}" for n in complete_editions(spark, f"{path}/dates")]
-    used = spark.read.schema(_DATES).parquet(*editions).select(WRITE).distinct()
-    writes = numbered_children(spark, f"{path}/data", f"{WRITE}=")
-    named = {row[WRITE] for row in used.where(F.col(WRITE).isin(writes)).collect()}
-    for number in set(writes) - named:
-        remove(spark, f"{path}/data/{WRITE}={number}")
-
-
-def dates_without(spark: SparkSession, path: str, touched: DataFrame) -> DataFrame:
-    """Dates of the newest edition that are not in ``touched``."""
-    before = _dates(spark, path).where(F.col(WRITE).isNotNull())
-    return before.select(DATE_PARTITION).join(touched, DATE_PARTITION, "left_anti")

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ratemill.plans.cycle import Paths, run_cycle
+from ratemill.sources.bronze import append_batch, begin_writing
 from ratemill.streaming.bronze import (
     COMPACT_EVERY,
-    append_batch,
+    append_versioned,
+    check_format,
     compact_now_and_then,
     refuse_lost_checkpoint,
 )
@@ -22,21 +24,31 @@ def write_and_refresh(
     checkpoint: str,
     trigger: Mapping[str, object],
     compact_every: int = COMPACT_EVERY,
+    fmt: str = "parquet",
     **cycle_options,
 ) -> StreamingQuery:
     """Append every micro-batch of parsed events, then run a cycle over it.
 
     Silver knows the version it holds, so that a restart refreshes it too. A
     failing cycle fails the query; after a restart the batch is replayed, which
-    replaces its own rows. Without new events nothing is run.
+    adds nothing twice. Without new events nothing is run. ``fmt`` is the format
+    of all tables, as in ``run_cycle``.
     """
-    refuse_lost_checkpoint(events, paths.bronze, checkpoint)
+    check_format(fmt)
     session = events.sparkSession
-
-    def step(batch: DataFrame, number: int) -> None:
-        append_batch(batch, number, paths.bronze)
-        run_cycle(session, paths, items, profiles, **cycle_options)
-        compact_now_and_then(session, number, paths.bronze, compact_every)
+    number = None
+    if fmt == "parquet":
+        refuse_lost_checkpoint(events, paths.bronze, checkpoint)
+        number = begin_writing(session, paths.bronze)
+
+    def step(batch: DataFrame, n: int) -> None:
+        if fmt == "parquet":
+            append_batch(batch, n, paths.bronze, number)
+        else:
+            append_versioned(batch, n, paths.bronze, checkpoint, fmt)
+        run_cycle(session, paths, items, profiles, fmt=fmt, **cycle_options)
+        if fmt == "parquet":
+            compact_now_and_then(session, n, paths.bronze, compact_every)
 
     return (
         events.writeStream.outputMode("append")

@@ -1,6 +1,7 @@
 """Formats whose packages are absent here: format and options arrive unchanged."""
 
-from pyspark.sql import DataFrameReader
+import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
 
 from ratemill.operators.decode import encode_events, parse_events
@@ -15,6 +16,7 @@ from ratemill.sources.events import (
     read_events,
 )
 from ratemill.streaming.bronze import write_bronze
+from ratemill.streaming.refresh import write_and_refresh
 
 
 def stand_in(monkeypatch, cls, absent, present):
@@ -110,3 +112,35 @@ def test_one_format_through_a_whole_cycle(spark, ratings, monkeypatch, tmp_path)
     written = {p.suffix for name in ("silver/data", "gold") for p in (tmp_path / name).rglob("part-*")}
     assert written == {".orc", ".parquet"}  # parquet: the marker of an edition
     assert not list((tmp_path / "silver" / "data").rglob("*.parquet"))
+
+
+def test_one_format_through_the_stream(spark, ratings, monkeypatch, tmp_path):
+    """Micro-batches are appended in the stated format, with their number; a format that
+    is neither parquet nor one with versions is an error before anything starts."""
+    topic, bronze, checkpoint = (str(tmp_path / name) for name in ("topic", "bronze", "checkpoint"))
+    publish_events(encode_events(ratings([(1, 1, 3.0, 10), (2, 1, 4.0, 86410)])), "text", {"path": topic})
+    stream = parse_events(read_event_stream(spark, "text", {"path": topic}))
+    paths = cycle.Paths(bronze, *[str(tmp_path / name) for name in ("silver", "gold", "lists")])
+    items = spark.createDataFrame([(1, "a", "g", 2000)], "movie_id int, title string, genre string, release_year int")
+    profiles = spark.createDataFrame(
+        [(1, "u", 30, "F", "here", "Basic")],
+        "user_id int, username string, age int, gender string, location string, subscription_tier string",
+    )
+
+    def start():
+        return write_and_refresh(stream, paths, items, profiles, checkpoint, {"availableNow": True}, fmt="orc")
+
+    with pytest.raises(ValueError):
+        start()
+    with pytest.raises(ValueError):
+        write_bronze(stream, bronze, checkpoint, fmt="orc")
+    monkeypatch.setattr("ratemill.streaming.bronze.VERSIONED", {"orc"})
+    monkeypatch.setattr(
+        "ratemill.sources.bronze.table_history",
+        lambda session, path, fmt: session.createDataFrame([(0,)], "version long"),
+    )
+    seen = stand_in(monkeypatch, DataFrameWriter, "none", "none")
+    start().awaitTermination()
+    assert seen["txnAppId"] == checkpoint and seen["txnVersion"] == 0
+    assert spark.read.format("orc").load(bronze).count() == 2
+    assert cycle.read_gold(spark, paths, "orc").fact_ratings.count() == 2

@@ -1,8 +1,4 @@
-import shutil
-import time
-
 import pytest
-from pyspark.sql import functions as F
 
 from ratemill.operators import marts
 from ratemill.operators.cleanse import clean_ratings
@@ -16,10 +12,10 @@ from ratemill.sources.bronze import (
     read_batches,
     read_bronze,
 )
+from ratemill.sources.commits import newest
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream, read_events
 from ratemill.sources.storage import fresh_folder
-from ratemill.sources.tables import DATE_PARTITION, complete_editions
 from ratemill.streaming.bronze import append_batch, write_bronze
 from ratemill.streaming.refresh import write_and_refresh
 
@@ -154,43 +150,7 @@ def test_compaction_changes_no_version(lake, spark, ratings, tmp_path):
     assert compact_bronze(spark, lake.bronze) == 4
     check()
     assert compact_bronze(spark, lake.bronze) is None
-    assert not list((tmp_path / "bronze").glob("_batch_id=*"))
-
-
-@pytest.mark.parametrize("complete", [False, True])
-def test_cut_off_compaction(lake, spark, ratings, tmp_path, complete):
-    for number, wave in enumerate(WAVES):
-        append_batch(ratings(wave), number, lake.bronze)
-    kept = tmp_path / "kept"
-    shutil.copytree(tmp_path / "bronze", kept)
-    compact_bronze(spark, lake.bronze, before=2)
-    if complete:  # folders of compacted batches were left behind
-        shutil.copytree(kept, tmp_path / "bronze", dirs_exist_ok=True)
-    else:  # the range was not written to its end
-        shutil.copytree(kept, tmp_path / "bronze", dirs_exist_ok=True)
-        (tmp_path / "bronze" / "_ranges" / "1" / "events" / "_SUCCESS").unlink()
-    for _ in range(2):
-        assert lake.versions() == [0, 1, 2]
-        assert rows(read_bronze(spark, lake.bronze)) == sorted(sum(WAVES, []))
-        compact_bronze(spark, lake.bronze)
-
-
-def test_many_batches_open_at_once(lake, spark, ratings):
-    """A compacted table of 20,000 batches is as quick to open as one of a few."""
-    numbered = spark.range(20_000).selectExpr(
-        "int(id % 50) user_id", "int(id % 40) movie_id", "double(1) rating", "id * 60 timestamp", "id _batch_id"
-    )
-    target = f"{lake.bronze}/_ranges/19999"
-    numbered.select("_batch_id").coalesce(1).write.parquet(f"{target}/batches")
-    numbered.write.parquet(f"{target}/events")
-    append_batch(ratings(WAVES[0]), 20_000, lake.bronze)
-    latest_version(spark, lake.bronze)
-    start = time.perf_counter()
-    assert latest_version(spark, lake.bronze) == 20_000
-    opened = read_bronze(spark, lake.bronze, 20_000)
-    assert time.perf_counter() - start < 1
-    assert opened.count() == 20_002
-    assert read_batches(spark, lake.bronze, 19_990, 19_995).count() == 5
+    assert [(part.first, part.last, part.level) for part in newest(spark, lake.bronze).parts] == [(0, 1, 1), (2, 4, 1)]
 
 
 def test_stream_compacts_old_batches(lake, spark, ratings, tmp_path):
@@ -201,7 +161,7 @@ def test_stream_compacts_old_batches(lake, spark, ratings, tmp_path):
         parse_events(stream), lake.bronze, lake.checkpoint, {"availableNow": True}, compact_every=2
     ).awaitTermination()
     assert lake.versions() == [0, 1, 2]
-    assert [p.name for p in (tmp_path / "bronze" / "_ranges").iterdir()] == ["1"]
+    assert [(part.first, part.last) for part in newest(spark, lake.bronze).parts] == [(2, 2), (0, 1)]
     assert rows(read_bronze(spark, lake.bronze)) == sorted(sum(WAVES, []))
 
 
@@ -233,34 +193,6 @@ def test_a_table_without_a_complete_edition_is_not_read(lake, spark, ratings):
     assert read_silver(spark, lake.silver).count() == 2
 
 
-@pytest.mark.parametrize("cut_off", ["data", "dates"])
-def test_readers_get_the_edition_before_a_cut_off_refresh(lake, spark, ratings, tmp_path, cut_off):
-    for number, wave in enumerate(WAVES[:2]):
-        append_batch(ratings(wave), number, lake.bronze)
-    rebuild_silver(spark, lake.bronze, lake.silver, 0)
-    before, reader = rows(read_silver(spark, lake.silver)), read_silver(spark, lake.silver)
-    wrong = spark.createDataFrame([(77, 1, 1.0, 10, 19700101)], "user_id int, movie_id int, rating double, timestamp long, date_id int")
-    wrong.write.partitionBy(DATE_PARTITION).parquet(f"{lake.silver}/data/_write=1")
-    (tmp_path / "silver" / "data" / ".spark-staging-x").mkdir()
-    if cut_off == "dates":
-        (tmp_path / "silver" / "dates" / "edition=1" / "_temporary").mkdir(parents=True)
-    assert rows(read_silver(spark, lake.silver)) == before == rows(reader)
-    refresh_silver(spark, lake.bronze, lake.silver)
-    assert read_silver(spark, lake.silver).count() == 4
-    assert rows(reader) == before  # the edition before stays for those who read it
-    assert rows(read_silver(spark, lake.silver)) == rows(clean_ratings(read_bronze(spark, lake.bronze)))
-
-
-def test_old_writes_go(lake, spark, ratings, tmp_path):
-    for number in range(5):
-        append_batch(ratings([(1, number, 3.0, 10)]), number, lake.bronze)
-        refresh_silver(spark, lake.bronze, lake.silver)
-    assert len(complete_editions(spark, f"{lake.silver}/dates")) == 2
-    writes = [p.name for p in (tmp_path / "silver" / "data").iterdir() if "=" in p.name]
-    assert sorted(writes) == ["_write=3", "_write=4"]
-    assert read_silver(spark, lake.silver).count() == 5
-
-
 def test_times_beyond_any_date_have_an_unknown_one(lake, spark, ratings, tmp_path):
     append_batch(ratings([(1, 1, 3.0, 1_700_000_000_000), (2, 1, 4.0, 1_700_000_000)]), 0, lake.bronze)
     paths = cycle.Paths(lake.bronze, lake.silver, str(tmp_path / "gold"), str(tmp_path / "recs"))
@@ -271,25 +203,6 @@ def test_times_beyond_any_date_have_an_unknown_one(lake, spark, ratings, tmp_pat
     assert built.check().where("table_name = 'dim_date' AND bad_rows > 0").isEmpty()
 
 
-def test_refresh_leaves_other_dates_alone(lake, spark, ratings):
-    for wave in (WAVES[0], [(9, 9, 1.0, DAY + 99)]):
-        lake.publish(ratings(wave))
-        lake.ingest()
-    rebuild_silver(spark, lake.bronze, lake.silver, 0)
-
-    def files():
-        found = spark.read.parquet(f"{lake.silver}/data").select("date_id", "_write", F.input_file_name().alias("f"))
-        found = found.orderBy("_write")
-        return {row["date_id"]: row["f"] for row in found.collect()}
-
-    before = files()
-    refresh_silver(spark, lake.bronze, lake.silver)
-    after = files()
-    assert after[19700101] == before[19700101]
-    assert after[19700102] != before[19700102]
-    assert read_silver(spark, lake.silver).count() == 3
-
-
 def _dimensions(spark):
     items = spark.createDataFrame(
         [(m, f"t{m}", "g", 2000) for m in range(1, 5)],
