@@ -196,11 +196,14 @@ def _unknown_lines(lines: DataFrame, *kept: str) -> DataFrame:
     # The costly comparison is for lines that hold the larger part of a template in any order.
     near = f"""exists({_constant(sizes, 'array<array<string>>')}, template -> if(size(x.grams) >= 0.5D * size(template),
         size(array_intersect(template, x.grams)) >= 0.5D * size(template), false))"""
-    whole = _notices(_candidates("array(struct(0 AS first, array(size(x.words)) AS sizes, x.words AS words))"))
+    line = "array(struct(0 AS first, array(size(x.words)) AS sizes, x.words AS words, x.known AS known))"
+    whole = _notices(_candidates(line))
     # One expression, as a filter on columns would compute them again for each mention.
-    held = f"""transform(array({_words('line')}), words -> struct(words AS words,
-        filter(concat(words, {_pairs('words')}), gram -> gram IN ({_quoted(every)})) AS held))"""
-    distinct = f"transform({held}, x -> struct(x.words AS words, x.held AS held, array_distinct(x.held) AS grams))"
+    both = f"transform(transform(array({_words('line')}), words -> struct(words AS words, {_known('words')} AS known)), "
+    held = f"""{both} x -> struct(x.words AS words, x.known AS known,
+        filter(concat(x.known, {_pairs('x.known')}), gram -> gram IN ({_quoted(every)})) AS held))"""
+    distinct = f"""transform({held}, x -> struct(x.words AS words, x.known AS known, x.held AS held,
+        array_distinct(x.held) AS grams))"""
     unknown = f"""filter({distinct}, x -> size(x.words) > 0 AND NOT if({part}, true, if({near}, size({whole}) > 0, false)))"""
     return lines.select(*kept, F.expr(f"inline(transform({unknown}, x -> struct(x.words AS words, x.grams AS grams)))"))
 
@@ -214,13 +217,19 @@ def _constant(value, kind: str) -> str:
 
 
 def _words(line: str) -> str:
-    return f"""array_remove(split(translate({line}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[^a-z0-9]+'), '')"""
+    # What is left of a line is ASCII, so that lower() changes A-Z only.
+    return f"array_remove(split(lower(regexp_replace({line}, '[^A-Za-z0-9]+', ' ')), ' '), '')"
 
 
-def _pairs(words: str) -> str:
-    """Words next to each other, in order; the last word alone."""
-    return f"zip_with({words}, slice({words}, 2, size({words})), (a, b) -> concat_ws(' ', a, b))"
+def _known(words: str) -> str:
+    """The words with null in the place of those that no template has."""
+    every = sorted({word for _, template in NOTICES for word in template})
+    return f"transform({words}, word -> if(word IN ({_quoted(every)}), word, null))"
+
+
+def _pairs(known: str) -> str:
+    """Words next to each other, in order; null where either is, and for the last."""
+    return f"zip_with({known}, slice({known}, 2, size({known})), (a, b) -> concat(a, ' ', b))"
 
 
 def _candidates(paragraphs: str) -> str:
@@ -233,12 +242,12 @@ def _candidates(paragraphs: str) -> str:
     for at, (_, template) in enumerate(NOTICES):
         for place, pair in enumerate(map(" ".join, zip(template, template[1:]))):
             places.setdefault(pair, []).append({"t": at, "place": place})
-    hits = f"""filter(transform({_pairs('p.words')}, (pair, at) -> struct(pair, at)), hit -> hit.pair IN ({_quoted(places)}))"""
+    hits = f"""filter(transform({_pairs('p.known')}, (pair, at) -> struct(pair, at)), hit -> hit.pair IN ({_quoted(places)}))"""
     starts = f"""array_distinct(flatten(transform({hits}, hit -> transform(
         element_at({_constant(places, 'map<string,array<struct<t:bigint,place:int>>>')}, hit.pair),
         o -> o.t * 4294967296 + greatest(hit.at - o.place, 0)))))"""
     return f"""filter(transform({paragraphs}, p -> struct(p.first AS first, p.sizes AS sizes, p.words AS words,
-        {starts} AS starts)), p -> size(p.starts) > 0)"""
+        p.known AS known, {starts} AS starts)), p -> size(p.starts) > 0)"""
 
 
 def _notices(paragraphs: str) -> str:
@@ -262,7 +271,7 @@ def _notices(paragraphs: str) -> str:
     share = f"({in_order} + size(array_intersect({own}, {_pairs('c.stretch')}))) / ({n} + size({own}))"
     stretches = f"""transform(transform(p.starts, code -> struct(int(code div 4294967296) AS t, int(code % 4294967296) AS start)),
         c -> struct(c.t AS t, c.start AS start, least(c.start + {n}, size(p.words)) AS stop,
-            slice(p.words, c.start + 1, {n} + {n} div 4) AS stretch))"""
+            slice(p.known, c.start + 1, {n} + {n} div 4) AS stretch))"""
     close = f"""array_sort(filter(transform({stretches}, c -> struct(-({share}) AS far, c.t AS t, c.start AS start, c.stop AS stop)),
         c -> c.far <= -{LEAST_SHARE}D))"""
     kept = f"""aggregate({close}, cast(array() AS array<struct<far:double,t:int,start:int,stop:int>>), (kept, c) ->
@@ -276,6 +285,7 @@ def _notices(paragraphs: str) -> str:
     family = f"element_at(array({_quoted(family for family, _ in NOTICES)}), k.t + 1)"
     return f"""flatten(transform({paragraphs}, p -> transform({kept}, k -> struct({line('k.start')} AS first,
         {line('k.stop - 1')} AS last, slice(p.words, k.start + 1, k.stop - k.start) AS words,
+        slice(p.known, k.start + 1, k.stop - k.start) AS known,
         {family} AS family, -k.far AS similarity))))"""
 
 
@@ -293,9 +303,8 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     empty texts have none. Words are letters and digits, so that they need no quoting.
     """
     lines = F.expr(
-        f"""transform(split({text}, '\n'), (line, at) -> struct(at AS at,
-            array_remove(split(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[^a-z0-9]+'), '') AS words))"""
+        f"""transform(transform(split({text}, '\n'), line -> {_words('line')}),
+            (words, at) -> struct(at AS at, words AS words, {_known('words')} AS known))"""
     )
     # A paragraph is a run of lines that have words; marks of comments are no words.
     firsts, ends = (
@@ -304,12 +313,13 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
         for border, beside, value in (("i = 0", "i - 1", "i"), (f"i = size({found}) - 1", "i + 1", "i + 1"))
     )
     paragraphs = f"""transform(zip_with({firsts}, {ends}, (a, b) -> struct(a AS first,
-        transform(slice({found}, a + 1, b - a), line -> line.words) AS lines)),
-        p -> struct(p.first AS first, transform(p.lines, line -> size(line)) AS sizes, flatten(p.lines) AS words))"""
+        slice({found}, a + 1, b - a) AS lines)),
+        p -> struct(p.first AS first, transform(p.lines, line -> size(line.words)) AS sizes,
+            flatten(p.lines.words) AS words, flatten(p.lines.known) AS known))"""
 
     def with_grams(part: str, kept: str, rest: str) -> str:
         return f"""filter(transform({part}, x -> struct({rest}, x.words AS words,
-            array_distinct(filter(concat(x.words, {_pairs('x.words')}), gram -> gram IN ({_quoted(model.features)}))) AS grams)),
+            array_distinct(filter(concat(x.known, {_pairs('x.known')}), gram -> gram IN ({_quoted(model.features)}))) AS grams)),
             x -> {kept})"""
 
     # Lines without a feature have the bias alone; they need no score if that is unknown.
