@@ -77,6 +77,8 @@ FAMILIES = tuple(TEMPLATES)
 UNKNOWN = "unknown"
 #: Bounds of the training rows: lines of the corpus, and words of one that are put beside a template.
 CORPUS_LINES, AROUND = 3000, 12
+#: Words of a template, from which on it is cut; and parts of the rows held out in turn.
+PIECE, FOLDS = 60, 4
 #: Variants of each template, and the share of corpus lines above which an n-gram is no feature.
 VARIANTS, COMMON = 40, 0.01
 #: A prediction needs this probability, a confirmation this share of a template.
@@ -91,8 +93,14 @@ def grams(found: list[str]) -> set[str]:
     return set(found) | set(map(" ".join, zip(found, found[1:])))
 
 
-#: (family, words) of every template; their words fit into the bits of a long.
-NOTICES = [(family, words(template)) for family in FAMILIES for template in TEMPLATES[family]]
+def pieces(found: list[str], longest: int = PIECE) -> list[list[str]]:
+    """A template's words in pieces of like length: their places are bits of a long."""
+    n = -(-len(found) // longest)
+    return [found[len(found) * at // n : len(found) * (at + 1) // n] for at in range(n)]
+
+
+#: (family, words) of every template; of a long one, each piece is a template.
+NOTICES = [(family, piece) for family in FAMILIES for t in TEMPLATES[family] for piece in pieces(words(t))]
 
 
 @dataclass
@@ -127,46 +135,58 @@ def fit(
     ``n_lines`` such lines of the corpus, those that hold an n-gram.
     """
     random = np.random.default_rng(11)
-    known = [grams(words(t)) for family in FAMILIES for t in TEMPLATES[family]]
+    known = [grams(template) for _, template in NOTICES]
     features = sorted(g for g in set().union(*known) if common.get(g, 0) <= COMMON * n_lines)
-    rows, classes = [], []
-    for at, family in enumerate(FAMILIES):
-        for template in TEMPLATES[family]:
-            whole = words(template)
-            for variant in range(VARIANTS):
-                kept = [w for w in whole if variant == 0 or random.random() > 0.15] or whole
-                around = lines[int(random.integers(0, len(lines)))][1] if lines and variant % 2 else []
-                rows.append(grams(kept + around))
-                classes.append(at + 1)
+    rows, classes, folds = [], [], []
+    of_family = {family: 0 for family in FAMILIES}
+    for family, whole in NOTICES:
+        fold, of_family[family] = of_family[family] % FOLDS, of_family[family] + 1
+        for variant in range(VARIANTS):
+            kept = [w for w in whole if variant == 0 or random.random() > 0.15] or whole
+            around = lines[int(random.integers(0, len(lines)))][1] if lines and variant % 2 else []
+            rows.append(grams(kept + around))
+            classes.append(FAMILIES.index(family) + 1)
+            folds.append(fold)
     unknown = [set(found) for found, _ in lines]
-    # Parts of templates too short to tell a family are unknown text as well.
-    unknown += [{word} for k in known for word in k if " " not in word and word not in ("apache", "mit", "gnu", "lesser", "affero", "bsd", "mozilla")]
+    # A word alone is unknown text as well, unless one family only has it.
+    owners = {word: {family for family, template in NOTICES if word in template} for k in known for word in k}
+    unknown += [{word} for word in sorted(owners) if " " not in word and len(owners[word]) > 1]
     unknown += [set()] * 50
     rows += unknown
     classes += [0] * len(unknown)
-    x, y = _matrix(rows, features), np.array(classes)
-    held = random.random(len(y)) < 0.2
-    weights = np.zeros((len(features) + 1, len(FAMILIES) + 1))
-    one_hot = np.eye(weights.shape[1])
-    share = np.bincount(y[~held], minlength=weights.shape[1])
-    importance = (1 / np.maximum(share, 1))[y[~held]]
-    importance[y[~held] == 0] *= 4
-    importance /= importance.sum()
-    train = np.hstack([x[~held], np.ones(((~held).sum(), 1))])
-    for _ in range(steps):
-        error = _softmax(train @ weights) - one_hot[y[~held]]
-        weights -= 4.0 * (train.T @ (error * importance[:, None]))
-        weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - 4.0 * sparsity, 0)
+    folds += [at % FOLDS for at in range(len(unknown))]
+    x, y, fold = _matrix(rows, features), np.array(classes), np.array(folds)
+    weights = _descend(x, y, steps, sparsity)
     used = np.abs(weights[:-1]).sum(1) > 0
     model = Model([f for f, u in zip(features, used) if u], np.vstack([weights[:-1][used], weights[-1:]]), 1.0)
-    # Calibration: the temperature under which held-out rows are likeliest.
-    logits = model.logits(x[held][:, used])
+    # Calibration: the temperature under which rows are likeliest that a model was not
+    # fitted to, nor to any variant of their template, though to others of the family.
+    logits = np.zeros((len(y), weights.shape[1]))
+    several = np.isin(y, [0, *(at + 1 for at, family in enumerate(FAMILIES) if of_family[family] > 1)])
+    for held in range(FOLDS):
+        inside = (fold != held) | ~several
+        without = _descend(x[inside], y[inside], steps, sparsity)
+        logits[~inside] = x[~inside] @ without[:-1] + without[-1]
     choices = np.geomspace(0.25, 4, 33)
-    losses = [-np.log(_softmax(logits / t)[np.arange(held.sum()), y[held]] + 1e-12).mean() for t in choices]
+    losses = [-np.log(_softmax(logits[several] / t)[np.arange(several.sum()), y[several]] + 1e-12).mean() for t in choices]
     model.temperature = float(choices[int(np.argmin(losses))])
     return model
 
 
+def _descend(x: np.ndarray, y: np.ndarray, steps: int, sparsity: float) -> np.ndarray:
+    """Weights (features and bias, classes) by proximal steps; classes count alike."""
+    one_hot = np.eye(len(FAMILIES) + 1)[y]
+    importance = (1 / np.maximum(np.bincount(y, minlength=len(FAMILIES) + 1), 1))[y]
+    importance[y == 0] *= 4
+    importance /= importance.sum()
+    rows, weights = np.hstack([x, np.ones((len(y), 1))]), np.zeros((x.shape[1] + 1, len(FAMILIES) + 1))
+    for _ in range(steps):
+        error = _softmax(rows @ weights) - one_hot
+        weights -= 4.0 * (rows.T @ (error * importance[:, None]))
+        weights[:-1] = np.sign(weights[:-1]) * np.maximum(np.abs(weights[:-1]) - 4.0 * sparsity, 0)
+    return weights
+
+
 def train(docs: DataFrame, text: str = "text") -> Model:
     """The model for a corpus: n-grams are counted over all its lines, and the rows to
     fit are at most ``CORPUS_LINES`` different ones (by their hash), whole.
@@ -348,7 +368,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
         f"""filter({found}, (x, i) -> NOT exists(filter({found}, (y, j) -> j < i AND y.wanted IS NOT NULL AND y.family = x.family),
             y -> if(x.wanted IS NULL, x.first BETWEEN y.first AND y.last, x.first = y.first)))"""
     )
-    templates = {family: [sorted(grams(words(t))) for t in TEMPLATES[family]] for family in FAMILIES}
+    templates = {f: [sorted(grams(words)) for family, words in NOTICES if family == f] for f in FAMILIES}
     bag = f"""array_max(transform(element_at({_constant(templates, 'map<string,array<array<string>>>')}, x.family),
         template -> size(array_intersect(template, concat(x.words, {_pairs('x.words')}))) / size(template)))"""
     named = F.expr(
