@@ -216,12 +216,12 @@ def _unknown_lines(lines: DataFrame, *kept: str) -> DataFrame:
     # The costly comparison is for lines that hold the larger part of a template in any order.
     near = f"""exists({_constant(sizes, 'array<array<string>>')}, template -> if(size(x.grams) >= 0.5D * size(template),
         size(array_intersect(template, x.grams)) >= 0.5D * size(template), false))"""
-    line = "array(struct(0 AS first, array(size(x.words)) AS sizes, x.words AS words, x.known AS known))"
+    line = "array(struct(0 AS first, array(size(x.known)) AS sizes, x.known AS known))"
     whole = _notices(_candidates(line))
     # One expression, as a filter on columns would compute them again for each mention.
     both = f"transform(transform(array({_words('line')}), words -> struct(words AS words, {_known('words')} AS known)), "
     held = f"""{both} x -> struct(x.words AS words, x.known AS known,
-        filter(concat(x.known, {_pairs('x.known')}), gram -> gram IN ({_quoted(every)})) AS held))"""
+        concat({_among('x.known', every)}, {_among(_pairs('x.known'), every)}) AS held))"""
     distinct = f"""transform({held}, x -> struct(x.words AS words, x.known AS known, x.held AS held,
         array_distinct(x.held) AS grams))"""
     unknown = f"""filter({distinct}, x -> size(x.words) > 0 AND NOT if({part}, true, if({near}, size({whole}) > 0, false)))"""
@@ -237,8 +237,8 @@ def _constant(value, kind: str) -> str:
 
 
 def _words(line: str) -> str:
-    # What is left of a line is ASCII, so that lower() changes A-Z only.
-    return f"array_remove(split(lower(regexp_replace({line}, '[^A-Za-z0-9]+', ' ')), ' '), '')"
+    # Words are ASCII, so that lower() changes A-Z only.
+    return f"transform(regexp_extract_all({line}, '[A-Za-z0-9]+', 0), word -> lower(word))"
 
 
 def _known(words: str) -> str:
@@ -249,7 +249,12 @@ def _known(words: str) -> str:
 
 def _pairs(known: str) -> str:
     """Words next to each other, in order; null where either is, and for the last."""
-    return f"zip_with({known}, slice({known}, 2, size({known})), (a, b) -> concat(a, ' ', b))"
+    pair = "if(a IS NULL, null, if(b IS NULL, null, concat(a, ' ', b)))"
+    return f"zip_with({known}, slice({known}, 2, size({known})), (a, b) -> {pair})"
+
+
+def _among(found: str, values) -> str:
+    return f"filter({found}, gram -> gram IN ({_quoted(values)}))"
 
 
 def _candidates(paragraphs: str) -> str:
@@ -262,16 +267,17 @@ def _candidates(paragraphs: str) -> str:
     for at, (_, template) in enumerate(NOTICES):
         for place, pair in enumerate(map(" ".join, zip(template, template[1:]))):
             places.setdefault(pair, []).append({"t": at, "place": place})
-    hits = f"""filter(transform({_pairs('p.known')}, (pair, at) -> struct(pair, at)), hit -> hit.pair IN ({_quoted(places)}))"""
+    hits = f"""filter(transform({_pairs('p.known')}, (pair, at) -> if(pair IN ({_quoted(places)}), struct(pair, at), null)),
+        hit -> hit IS NOT NULL)"""
     starts = f"""array_distinct(flatten(transform({hits}, hit -> transform(
         element_at({_constant(places, 'map<string,array<struct<t:bigint,place:int>>>')}, hit.pair),
         o -> o.t * 4294967296 + greatest(hit.at - o.place, 0)))))"""
-    return f"""filter(transform({paragraphs}, p -> struct(p.first AS first, p.sizes AS sizes, p.words AS words,
+    return f"""filter(transform({paragraphs}, p -> struct(p.first AS first, p.sizes AS sizes,
         p.known AS known, {starts} AS starts)), p -> size(p.starts) > 0)"""
 
 
 def _notices(paragraphs: str) -> str:
-    """Confirmed stretches as (first, last, words, family, similarity), lines from 0.
+    """Confirmed stretches as (first, last, known, family, similarity), lines from 0.
 
     Of a template's words and word pairs those count that a stretch of its length and a
     quarter holds: words in the template's order (the longest common subsequence, by
@@ -290,7 +296,7 @@ def _notices(paragraphs: str) -> str:
         (v, m) -> ((v + (v & m)) | (v & ~m)) & {every})))"""
     share = f"({in_order} + size(array_intersect({own}, {_pairs('c.stretch')}))) / ({n} + size({own}))"
     stretches = f"""transform(transform(p.starts, code -> struct(int(code div 4294967296) AS t, int(code % 4294967296) AS start)),
-        c -> struct(c.t AS t, c.start AS start, least(c.start + {n}, size(p.words)) AS stop,
+        c -> struct(c.t AS t, c.start AS start, least(c.start + {n}, size(p.known)) AS stop,
             slice(p.known, c.start + 1, {n} + {n} div 4) AS stretch))"""
     close = f"""array_sort(filter(transform({stretches}, c -> struct(-({share}) AS far, c.t AS t, c.start AS start, c.stop AS stop)),
         c -> c.far <= -{LEAST_SHARE}D))"""
@@ -304,8 +310,7 @@ def _notices(paragraphs: str) -> str:
 
     family = f"element_at(array({_quoted(family for family, _ in NOTICES)}), k.t + 1)"
     return f"""flatten(transform({paragraphs}, p -> transform({kept}, k -> struct({line('k.start')} AS first,
-        {line('k.stop - 1')} AS last, slice(p.words, k.start + 1, k.stop - k.start) AS words,
-        slice(p.known, k.start + 1, k.stop - k.start) AS known,
+        {line('k.stop - 1')} AS last, slice(p.known, k.start + 1, k.stop - k.start) AS known,
         {family} AS family, -k.far AS similarity))))"""
 
 
@@ -324,22 +329,22 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     """
     lines = F.expr(
         f"""transform(transform(split({text}, '\n'), line -> {_words('line')}),
-            (words, at) -> struct(at AS at, words AS words, {_known('words')} AS known))"""
+            (words, at) -> struct(at AS at, {_known('words')} AS known))"""
     )
     # A paragraph is a run of lines that have words; marks of comments are no words.
     firsts, ends = (
-        f"""filter(transform({found}, (line, i) -> if(size(line.words) > 0 AND if({border}, true, size({found}[{beside}].words) = 0),
+        f"""filter(transform({found}, (line, i) -> if(size(line.known) > 0 AND if({border}, true, size({found}[{beside}].known) = 0),
             {value}, null)), i -> i IS NOT NULL)"""
         for border, beside, value in (("i = 0", "i - 1", "i"), (f"i = size({found}) - 1", "i + 1", "i + 1"))
     )
     paragraphs = f"""transform(zip_with({firsts}, {ends}, (a, b) -> struct(a AS first,
         slice({found}, a + 1, b - a) AS lines)),
-        p -> struct(p.first AS first, transform(p.lines, line -> size(line.words)) AS sizes,
-            flatten(p.lines.words) AS words, flatten(p.lines.known) AS known))"""
+        p -> struct(p.first AS first, transform(p.lines, line -> size(line.known)) AS sizes,
+            flatten(p.lines.known) AS known))"""
 
     def with_grams(part: str, kept: str, rest: str) -> str:
-        return f"""filter(transform({part}, x -> struct({rest}, x.words AS words,
-            array_distinct(filter(concat(x.known, {_pairs('x.known')}), gram -> gram IN ({_quoted(model.features)}))) AS grams)),
+        return f"""filter(transform({part}, x -> struct({rest}, x.known AS known,
+            array_distinct(concat({_among('x.known', model.features)}, {_among(_pairs('x.known'), model.features)})) AS grams)),
             x -> {kept})"""
 
     # Lines without a feature have the bias alone; they need no score if that is unknown.
@@ -351,7 +356,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     together = F.expr(f"concat({with_grams(found + '.notices', 'true', as_notice)}, {found}.lines)")
     by_gram = {gram: (row / model.temperature).tolist() for gram, row in zip(model.features, model.weights)}
     bias = (model.weights[-1] / model.temperature).tolist()
-    rest = "x.first AS first, x.last AS last, x.wanted AS wanted, x.similarity AS similarity, x.words AS words"
+    rest = "x.first AS first, x.last AS last, x.wanted AS wanted, x.similarity AS similarity, x.known AS known"
     scored = F.expr(
         f"""transform({found}, x -> struct({rest},
             aggregate(x.grams, {_constant(bias, 'array<double>')}, (sums, gram) ->
@@ -370,7 +375,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     )
     templates = {f: [sorted(grams(words)) for family, words in NOTICES if family == f] for f in FAMILIES}
     bag = f"""array_max(transform(element_at({_constant(templates, 'map<string,array<array<string>>>')}, x.family),
-        template -> size(array_intersect(template, concat(x.words, {_pairs('x.words')}))) / size(template)))"""
+        template -> size(array_intersect(template, concat(x.known, {_pairs('x.known')}))) / size(template)))"""
     named = F.expr(
         f"""array_sort(transform({found}, x -> struct(x.first AS paragraph, x.family AS family, x.probability AS probability,
             if(x.wanted IS NULL, {bag}, x.similarity) AS similarity, x.wanted IS NOT NULL AS confirmed)))"""
