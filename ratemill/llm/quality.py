@@ -1,4 +1,4 @@
-"""Quality classifier learnt from trusted positives and unlabelled web text.
+"""Quality classifier learnt from trusted positives and a mixture of all web text.
 
 A linear model on the shape of a text (which kinds of characters follow which, how
 often words repeat) is fitted by minimising the non-negative unbiased risk: the loss
@@ -26,6 +26,8 @@ from ratemill.llm.tables import columns_of, unused
 
 TRUSTED_ROWS = 8192
 UNLABELLED_ROWS = 16384
+#: Rows of a sample below which nothing is learnt: half of them have to tell a prior.
+LEAST_ROWS = 8
 FOLDS = 5
 THRESHOLD = 0.3
 #: Counts are divided by the length plus this, so that short texts say little.
@@ -121,13 +123,14 @@ def class_prior(trusted_scores: np.ndarray, unlabelled_scores: np.ndarray) -> fl
 
 
 def fit(trusted: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """The model of two samples of features; without positives every score is a half."""
-    if not len(trusted) or not len(unlabelled):
+    """The model of two samples of features. With fewer than ``LEAST_ROWS`` rows in
+    either, no prior can be told, and every score is a half."""
+    if min(len(trusted), len(unlabelled)) < LEAST_ROWS:
         nothing = np.zeros(N_FEATURES)
         return Model(nothing, 0.0, nothing, nothing + 1)
     # Half of each sample ranks the other half: on rows it was fitted to, the ranking
     # would be too good for positives and the prior too low.
-    fitted, judged = (slice(None, None, 2), slice(1, None, 2)) if min(len(trusted), len(unlabelled)) > 1 else (slice(None),) * 2
+    fitted, judged = slice(None, None, 2), slice(1, None, 2)
     apart = _fit(trusted[fitted], unlabelled[fitted], None)
     prior = class_prior(apart.score(trusted[judged]), apart.score(unlabelled[judged]))
     model = _fit(trusted, unlabelled, prior)
@@ -152,11 +155,12 @@ def learn(
     trusted_rows: int = TRUSTED_ROWS,
     unlabelled_rows: int = UNLABELLED_ROWS,
 ) -> Model:
-    """Fit on documents outside fold 0: those labelled 1, and those without a label.
+    """Fit on documents outside fold 0: those labelled 1, against a mixture of all.
 
-    Rows with a null doc_id, and labels of no document, are not used; a null label is
-    none. If every document has a label, all of them are the mixture that unlabelled
-    ones stand for, whatever their label. A document that has several rows is used once.
+    The mixture is a sample of all such documents, with whatever label or none, so that
+    it stands for the corpus however many labels there are. Rows with a null doc_id, and
+    labels of no document, are not used; a null label is none. A document that has
+    several rows is used once in either sample.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
     known = known.where("doc_id is not null and label is not null")
@@ -165,12 +169,8 @@ def learn(
     order = F.xxhash64("doc_id"), F.col("doc_id")
     positive = known.where(outside & (F.col("label") == 1)).select("doc_id").distinct()
     positive = positive.join(ids, "doc_id", "left_semi").orderBy(*order).limit(trusted_rows)
-    mixture = ids.where(outside)
-    other = mixture.join(known, "doc_id", "left_anti").orderBy(*order).limit(unlabelled_rows)
-    trusted, unlabelled = _measured(docs, positive, other, text, doc_id)
-    if len(trusted) and not len(unlabelled):
-        trusted, unlabelled = _measured(docs, positive, mixture.orderBy(*order).limit(unlabelled_rows), text, doc_id)
-    return fit(trusted, unlabelled)
+    mixture = ids.where(outside).orderBy(*order).limit(unlabelled_rows)
+    return fit(*_measured(docs, positive, mixture, text, doc_id))
 
 
 def _measured(docs: DataFrame, positive: DataFrame, other: DataFrame, text: str, doc_id: str) -> list[np.ndarray]:
@@ -181,20 +181,22 @@ def _measured(docs: DataFrame, positive: DataFrame, other: DataFrame, text: str,
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [row.astype("<f4").tobytes() for row in _rows(batch["text"], kinds)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "trusted": batch["trusted"], "features": found})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "samples": batch["samples"], "features": found})
 
+    # A document may be in both samples.
+    sample = sample.groupBy("doc_id").agg(F.collect_set("trusted").alias("samples"))
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
     kind = chosen.schema["doc_id"].dataType.simpleString()
     # At most trusted_rows + unlabelled_rows rows, one per id, of N_FEATURES small numbers.
     rows = (
-        chosen.mapInPandas(measured, f"doc_id {kind}, trusted boolean, features binary")
-        .groupBy("doc_id", "trusted")
-        .agg(F.min("features").alias("features"))
+        chosen.mapInPandas(measured, f"doc_id {kind}, samples array<boolean>, features binary")
+        .groupBy("doc_id")
+        .agg(F.first("samples").alias("samples"), F.min("features").alias("features"))
         .orderBy("doc_id")
         .collect()
     )
     return [
-        np.frombuffer(b"".join(row["features"] for row in rows if row["trusted"] == which), "<f4")
+        np.frombuffer(b"".join(row["features"] for row in rows if which in row["samples"]), "<f4")
         .reshape(-1, N_FEATURES)
         .astype(np.float64)
         for which in (True, False)
@@ -222,8 +224,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
     ``held_out`` tells documents that no label was learnt from (fold 0; a null doc_id
     counts as the empty text). Null and empty texts are scored too, repeated rows stay,
-    an empty table gives no rows; an empty label table, or one of null labels only,
-    gives scores of a half.
+    an empty table gives no rows; too few positives (``LEAST_ROWS``), or none, give
+    scores of a half.
     """
     model = learn(docs, labels, text, doc_id)
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
