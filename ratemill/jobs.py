@@ -54,8 +54,8 @@ def _load(args: argparse.Namespace):
     return lambda star: write_warehouse(star.tables(), args.jdbc_url, dict(args.jdbc_option), keys)
 
 
-def _blocks(args: argparse.Namespace) -> dict[str, int]:
-    return {"user_blocks": args.user_blocks, "item_blocks": args.item_blocks}
+def _model(args: argparse.Namespace) -> dict[str, int | bool]:
+    return {"user_blocks": args.user_blocks, "item_blocks": args.item_blocks, "pruned": args.pruned}
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -107,7 +107,7 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     ratings = read_silver(spark, args.silver, args.fmt)
-    rmse, edition = cycle.train(ratings, args.recommendations, **_blocks(args))
+    rmse, edition = cycle.train(ratings, args.recommendations, **_model(args))
     print(f"RMSE {rmse}, recommendations in {edition}")
 
 
@@ -115,7 +115,7 @@ def run_cycle(spark: SparkSession, args: argparse.Namespace) -> None:
     items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
     print(
         cycle.run_cycle(
-            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt, **_blocks(args)
+            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt, **_model(args)
         )
     )
 
@@ -172,7 +172,8 @@ def parser() -> argparse.ArgumentParser:
     messages(added)
     added.add_argument("--every", help="pause between batches; without it, one pass")
     messages(job("submit", submit, "bodies", "rejects", "batch"))
-    def blocks(added):
+    def model(added):
+        added.add_argument("--pruned", action="store_true", help="top lists without scoring all pairs")
         added.add_argument("--user-blocks", type=int, default=USER_BLOCKS, help="of ALS: its parallelism")
         added.add_argument("--item-blocks", type=int, default=ITEM_BLOCKS)
 
@@ -182,12 +183,12 @@ def parser() -> argparse.ArgumentParser:
     job("merge", merge, "silver")
     job("compact", compact, "bronze")
     warehouse(job("gold", gold, "silver", "gold", "items", "profiles"))
-    blocks(job("train", train, "silver", "recommendations"))
+    model(job("train", train, "silver", "recommendations"))
     added = job(
         "cycle", run_cycle, "bronze", "silver", "gold", "recommendations", "items", "profiles"
     )
     warehouse(added)
-    blocks(added)
+    model(added)
     added.add_argument("--since", type=int)
     job("snapshot", snapshot, "bronze").add_argument("--version", type=int, default=0)
     job("report", report, "silver", "gold", "out").add_argument("name", choices=sorted(REPORTS))

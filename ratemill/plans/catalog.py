@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ratemill.functions.calendar import date_id
 from ratemill.operators import decode, marts, recommend, serve, star, validate
 from ratemill.operators.cleanse import clean_ratings
+from ratemill.operators.toplists import top_lists
 from ratemill.plans import cycle, fixtures
 from ratemill.plans.silver import read_silver, read_totals, rebuild_silver, refresh_silver
 from ratemill.plans.star import Star, build_star, read_star, write_star
@@ -342,6 +343,17 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.flatten(recommend.recommend(full_model(spark, sf_dir)))
 
 
+def recommendations_pruned_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, items of the lists found without scoring all pairs, and ranks at which
+    their scores differ from those over all pairs."""
+    pruned = recommend.flatten(top_lists(full_model(spark, sf_dir)).lists)
+    both = recommendations(spark, sf_dir).join(
+        pruned.select("user_id", "rank", F.col("score").alias("pruned")), ["user_id", "rank"], "full"
+    )
+    off = F.coalesce(F.abs(F.col("score") - F.col("pruned")) > 1e-4, F.lit(True))
+    return both.groupBy("user_id").agg(F.count("pruned").alias("n_items"), F.count_if(off).alias("n_off"))
+
+
 def recommendation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user: number of items, of distinct items, and of rises in score."""
     items = F.col("recommendations.movie_id")
@@ -561,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "rmse_resubmitted": rmse_resubmitted,
     "recommendations": recommendations,
     "recommendation_counts": recommendation_counts,
+    "recommendations_pruned_check": recommendations_pruned_check,
     "rec_lookup": rec_lookup,
     "rec_enriched": rec_enriched,
     "rating_display": rating_display,

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import recommend, star
+from ratemill.operators.toplists import top_lists
 from ratemill.plans.silver import has_totals, merge_silver, read_silver, read_totals, refresh_silver
 from ratemill.plans.star import Star, read_star, write_dimensions
 from ratemill.sources.documents import export_recommendations
@@ -60,10 +61,12 @@ def train(
     seed: int = 42,
     user_blocks: int = recommend.USER_BLOCKS,
     item_blocks: int = recommend.ITEM_BLOCKS,
+    pruned: bool = False,
 ) -> tuple[float | None, str | None]:
     """Score a model on held-out rows, then refit on all and export top lists.
 
-    Both models are kept beside the lists, until the next training.
+    Both models are kept beside the lists, until the next training. ``pruned`` finds the
+    lists without scoring all pairs, for many items.
     """
     if not has_rows(ratings):
         return None, None
@@ -74,7 +77,8 @@ def train(
         trial = recommend.fit_als(training, seed, **blocks, folder=f"{path}/trial-model")
         error = recommend.rmse(recommend.predict(trial, test)).first()["rmse"]
     model = recommend.fit_als(ratings, seed, **blocks, folder=f"{path}/model")
-    return error, export_recommendations(recommend.recommend(model, n), path)
+    lists = top_lists(model, n).lists if pruned else recommend.recommend(model, n)
+    return error, export_recommendations(lists, path)
 
 
 def run_cycle(
@@ -87,6 +91,7 @@ def run_cycle(
     seed: int = 42,
     user_blocks: int = recommend.USER_BLOCKS,
     item_blocks: int = recommend.ITEM_BLOCKS,
+    pruned: bool = False,
     fmt: str = "parquet",
 ) -> Report:
     """Silver, then the star schema, then the model; the first failure ends it.
@@ -105,6 +110,6 @@ def run_cycle(
     if load is not None:
         load(gold)
     error, edition = train(
-        ratings, paths.recommendations, seed=seed, user_blocks=user_blocks, item_blocks=item_blocks
+        ratings, paths.recommendations, seed=seed, user_blocks=user_blocks, item_blocks=item_blocks, pruned=pruned
     )
     return Report(version, error, edition, user_blocks, item_blocks)

@@ -260,6 +260,9 @@ WHERE NOT {_TRAINED}
   AND movie_id IN (SELECT movie_id FROM train)""",
     "rmse_resubmitted":
         f"WITH {_EVENTS} SELECT sqrt(avg(power(2 * rating - 6, 2))) AS rmse FROM rated",
+    "recommendations_pruned_check": f"""WITH {_SILVER},
+offered AS (SELECT least(5, count(DISTINCT movie_id)) AS n FROM silver)
+SELECT DISTINCT user_id, n AS n_items, 0 AS n_off FROM silver, offered""",
     "recommendation_counts": f"""WITH {_SILVER},
 offered AS (SELECT least(5, count(DISTINCT movie_id))::INTEGER AS n FROM silver)
 SELECT DISTINCT user_id, n AS n_items, n AS n_distinct, 0 AS n_rises

@@ -45,14 +45,17 @@ def test_jobs_in_order(spark, tmp_path, capsys):
     assert spark.read.json(at("rejects")[1]).count() == 2
     jobs.main(["ingest", *topic, *at("bronze"), *at("checkpoint")])
     everything = ["bronze", "silver", "gold", "recommendations", "items", "profiles"]
-    jobs.main(["cycle", *[word for name in everything for word in at(name)], "--since", "0"])
-    assert "version=1" in capsys.readouterr().out
+    blocks = ["--user-blocks", "2", "--item-blocks", "3", "--pruned"]
+    jobs.main(["cycle", *[word for name in everything for word in at(name)], "--since", "0", *blocks])
+    shown = capsys.readouterr().out
+    assert "version=1" in shown and "user_blocks=2, item_blocks=3" in shown
 
     assert read_silver(spark, at("silver")[1]).count() <= 6 < read_bronze(spark, at("bronze")[1]).count()
 
     for name in sorted(jobs.REPORTS):
         jobs.main(["report", name, *at("silver"), *at("gold"), *at("out")])
     jobs.main(["compact", *at("bronze")])
+    jobs.main(["merge", *at("silver")])
     jobs.main(["snapshot", *at("bronze")])
     jobs.main(["lookup", *at("recommendations"), "--user-id", "2"])
     shown = capsys.readouterr().out
