@@ -127,10 +127,13 @@ def _hashed_places(words: Column, hashes: Column, length: int) -> Column:
     return F.transform(_starts(words, length), place)
 
 
-def _by_join(docs: DataFrame, windows: Windows, text: str, hits: str) -> DataFrame:
+def _by_join(
+    docs: DataFrame, windows: Windows, text: str, hits: str, key: tuple[str, str] | None
+) -> DataFrame:
     """``docs`` with verified windows, looked up by a join that can be shuffled."""
     file, row, words, hashes = unused(docs, "file", "row", "words", "hashes")
-    keyed = with_row_key(docs, file, row)
+    keyed = docs if key else with_row_key(docs, file, row)
+    file, row = key or (file, row)
     cut = keyed.select(file, row, words_of(F.col(text)).alias(words)).withColumn(hashes, _hashed(F.col(words)))
     places = F.concat(*[_hashed_places(F.col(words), F.col(hashes), n) for n in windows.lengths])
     known = windows.table.select("length", _by_length(windows.lengths, _hash_at).alias("hash")).distinct()
@@ -153,13 +156,21 @@ def _by_join(docs: DataFrame, windows: Windows, text: str, hits: str) -> DataFra
     )
 
 
-def find_windows(docs: DataFrame, windows: Windows, text: str, hits: str, set_windows: int = SET_WINDOWS) -> DataFrame:
-    """``docs`` with the array ``hits`` of (at, length, window) and ``<hits>_words``."""
+def find_windows(
+    docs: DataFrame,
+    windows: Windows,
+    text: str,
+    hits: str,
+    set_windows: int = SET_WINDOWS,
+    key: tuple[str, str] | None = None,
+) -> DataFrame:
+    """``docs`` with the array ``hits`` of (at, length, window) and ``<hits>_words``;
+    ``key`` names two columns that tell its rows apart, if it has them."""
     if not windows.count:
         none = F.array().cast("array<struct<at:int,length:int,window:string>>")
         return docs.withColumns({hits: none, f"{hits}_words": F.size(words_of(F.col(text)))})
     if windows.count > set_windows:
-        return _by_join(docs, windows, text, hits)
+        return _by_join(docs, windows, text, hits, key)
     words, hashes, number = unused(docs, "words", "hashes", "number")
     with_words = docs.withColumn(words, words_of(F.col(text)))
     hashed = with_words.withColumns(
@@ -193,13 +204,13 @@ def contamination(
     benchmark hits nothing. Other columns do not matter.
     """
     windows = benchmark_windows(benchmark, text, item_id, window)
-    found = find_windows(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), windows, "text", "hits", set_windows
-    )
-    # Within one query a row's number is the same in every attempt of its task.
-    numbered = found.withColumn("number", F.monotonically_increasing_id())
-    hit = numbered.select("number", "doc_id", "hits_words", F.explode_outer("hits").alias("hit")).select(
-        "number", "doc_id", "hits_words", "hit.*"
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    # Hits of a row meet again after a shuffle: by a key that a task which is run again,
+    # maybe on rows in another order, gives to the same rows.
+    key = ("file", "row")
+    found = find_windows(with_row_key(chosen, *key), windows, "text", "hits", set_windows, key)
+    hit = found.select(*key, "doc_id", "hits_words", F.explode_outer("hits").alias("hit")).select(
+        *key, "doc_id", "hits_words", "hit.*"
     )
     named = hit.join(windows.table.select("window", "items"), "window", "left")
     inside = F.array_sort(
@@ -207,14 +218,14 @@ def contamination(
     )
     items = F.array_distinct(F.flatten(F.collect_set("items")))
     return (
-        named.groupBy("number")
+        named.groupBy(*key)
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.first("hits_words").alias("n_words"),
             inside.alias("positions"),
             F.array_sort(F.transform(items, lambda item: item.cast("string"))).alias("items"),
         )
-        .drop("number")
+        .drop(*key)
     )
 
 

@@ -195,6 +195,27 @@ def test_quality_of_labelled_corpora(spark, table):
     assert {r["doc_id"] for r in quality.keep_good(docs, full).collect()} == set(good)
 
 
+def test_decontamination_of_a_shuffled_table(spark):
+    """Rows that come out of a shuffle are told apart by a written key, on either path."""
+    docs = [(i % 7, " ".join(f"w{(i * 13 + at) % 90}" for at in range(30))) for i in range(60)]
+    items = [(n, " ".join(f"w{n * 9 + at}" for at in range(12))) for n in range(5)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(6, "doc_id")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for doc_id, text in docs:
+        found, inside, named = text.split(), set(), set()
+        for at in range(21):
+            for item, passage in items:
+                theirs = passage.split()
+                if any(found[at : at + 10] == theirs[b : b + 10] for b in range(3)):
+                    inside.update(range(at, at + 10))
+                    named.add(str(item))
+        want.append((doc_id, 30, sorted(inside), sorted(named)))
+    for set_windows in (decontaminate.SET_WINDOWS, 1):
+        found = decontaminate.contamination(table, benchmark, set_windows=set_windows)
+        assert by_id(found, "n_words", "positions", "items") == sorted(want, key=str)
+
+
 def test_decontamination(spark, table):
     words = [f"w{i}" for i in range(14)]
     items = [(1, " ".join(words[:12])), (2, "Short ITEM!"), (3, None), (4, "..."), (None, "nobody names me"), (5, " ".join(words[:12]))]
