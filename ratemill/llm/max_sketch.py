@@ -105,6 +105,23 @@ def sketches(counts: list[Counter], coordinates: _Coordinates) -> np.ndarray:
     return folded.reshape(len(counts), coordinates.width)
 
 
+def packed(folded: np.ndarray) -> list[bytes]:
+    """Sketches as bytes: the coordinates that are not zero, then their maxima."""
+    rows, at = np.nonzero(folded)
+    ends = np.cumsum(np.bincount(rows, minlength=len(folded))).tolist()
+    at, maxima = at.astype("<u2").tobytes(), folded[folded != 0].tobytes()
+    return [at[2 * start : 2 * end] + maxima[start:end] for start, end in zip([0, *ends], ends)]
+
+
+def unpacked(sketch: list[bytes], width: int) -> np.ndarray:
+    sizes = [len(row) // 3 for row in sketch]
+    at = np.frombuffer(b"".join(row[: 2 * size] for row, size in zip(sketch, sizes)), "<u2")
+    maxima = np.frombuffer(b"".join(row[2 * size :] for row, size in zip(sketch, sizes)), np.uint8)
+    folded = np.zeros(len(sketch) * width, np.uint8)
+    folded[np.repeat(np.arange(len(sketch)) * width, sizes) + at] = maxima
+    return folded.reshape(-1, width)
+
+
 @dataclass(frozen=True)
 class Index:
     """Tables in the shared folder, and the texts they belong to."""
@@ -135,8 +152,8 @@ def build_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     and an id may be null. A null or empty text has no terms and is no document of the
     index; a text of any length is counted whole. Other columns do not matter.
     """
-    if not 2 <= width < 1 << 31 or width % 2:
-        raise ValueError("a sketch has two halves of at least one coordinate")
+    if not 2 <= width <= 1 << 16 or width % 2:
+        raise ValueError("a sketch has two halves, and at most 65536 coordinates")
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = with_row_key(named, *_ID).select(*_ID, "doc_id", "text")
 
@@ -157,7 +174,7 @@ def build_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
                         "file": part["file"],
                         "row": part["row"],
                         "n": [found.total() for found in counts],
-                        "sketch": [row.tobytes() for row in folded],
+                        "sketch": packed(folded),
                         "term": [None] * len(counts),
                         "df": [None] * len(counts),
                     },
@@ -285,8 +302,7 @@ def _bounds(block: Block, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[n
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             part = batch.slice(at, ROWS_AT_ONCE)
-            octets = b"".join(part["sketch"].to_pylist())
-            sketch = np.frombuffer(octets, np.uint8).reshape(-1, block.width)
+            sketch = unpacked(part["sketch"].to_pylist(), block.width)
             yield part["file"].to_numpy(), part["row"].to_numpy(), block.bounds(part["n"].to_numpy(), sketch)
 
 

@@ -71,6 +71,15 @@ def test_matches_scoring_all(spark, corpus, width, at_once):
     assert got == brute(*corpus, 10)
 
 
+def test_sketches_are_packed_whole():
+    rnd = np.random.default_rng(1)
+    folded = rnd.integers(0, 256, (50, 128)).astype(np.uint8) * (rnd.random((50, 128)) < 0.1)
+    folded[7] = 0
+    rows = max_sketch.packed(folded)
+    assert rows[7] == b"" and (max_sketch.unpacked(rows, 128) == folded).all()
+    assert max_sketch.packed(folded[:0]) == [] and max_sketch.unpacked([], 128).shape == (0, 128)
+
+
 def test_bounds_are_bounds(corpus):
     docs, items = corpus
     split = [max_sketch.terms_of((t or "").encode()) for _, t in docs]
