@@ -79,9 +79,11 @@ UNKNOWN = "unknown"
 CORPUS_LINES, AROUND = 3000, 12
 #: Words of a template, from which on it is cut; and parts of the rows held out in turn.
 PIECE, FOLDS = 60, 4
+#: Families that may have a word in common before it says nothing: three are GNU's.
+SHARED = 3
 #: Variants of each template, and the share of corpus lines above which an n-gram is no feature.
 VARIANTS, COMMON = 40, 0.01
-#: A prediction needs this probability, a confirmation this share of a template.
+#: A prediction needs this probability of not being unknown, a confirmation this share of a template.
 LEAST_PROBABILITY, LEAST_SHARE = 0.5, 0.6
 
 
@@ -148,9 +150,9 @@ def fit(
             classes.append(FAMILIES.index(family) + 1)
             folds.append(fold)
     unknown = [set(found) for found, _ in lines]
-    # A word alone is unknown text as well, unless one family only has it.
+    # A word alone is unknown text as well if many families have it.
     owners = {word: {family for family, template in NOTICES if word in template} for k in known for word in k}
-    unknown += [{word} for word in sorted(owners) if " " not in word and len(owners[word]) > 1]
+    unknown += [{word} for word in sorted(owners) if " " not in word and len(owners[word]) > SHARED]
     unknown += [set()] * 50
     rows += unknown
     classes += [0] * len(unknown)
@@ -324,7 +326,8 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     notice runs over and families a paragraph holds. Lines that the model takes for a
     family without such a stretch are predictions that are not confirmed; their
     similarity is the largest share of a template's n-grams in the line, in any order.
-    What is likeliest unknown, or below ``LEAST_PROBABILITY``, is left out. Null and
+    What is likeliest unknown, or known with less than ``LEAST_PROBABILITY``, is left
+    out; ``probability`` is that of the family. Null and
     empty texts have none. Words are letters and digits, so that they need no quoting.
     """
     lines = F.expr(
@@ -365,8 +368,10 @@ def scan(docs: DataFrame, model: Model, text: str = "text", found: str = "found"
     likeliest = F.expr(
         f"""filter(transform({found}, x -> struct({rest},
             element_at(array({_quoted((UNKNOWN, *FAMILIES))}), int(array_position(x.logits, array_max(x.logits)))) AS family,
-            1 / aggregate(x.logits, 0D, (sum, y) -> sum + exp(y - array_max(x.logits))) AS probability)),
-            x -> x.family <> '{UNKNOWN}' AND x.probability >= {LEAST_PROBABILITY} AND coalesce(x.wanted, x.family) = x.family)"""
+            1 / aggregate(x.logits, 0D, (sum, y) -> sum + exp(y - array_max(x.logits))) AS probability,
+            exp(x.logits[0] - array_max(x.logits)) AS unknown)),
+            x -> x.family <> '{UNKNOWN}' AND 1 - x.unknown * x.probability >= {LEAST_PROBABILITY}
+                AND coalesce(x.wanted, x.family) = x.family)"""
     )
     # Notices come first. A later one on the same line says nothing new, nor does a line of one.
     new = F.expr(

@@ -37,7 +37,7 @@ class Plain:
         logits = self.model.logits(np.array([[float(f in known) for f in self.model.features]]))[0]
         chances = np.exp(logits - logits.max())
         at = int(logits.argmax())
-        return (licences.UNKNOWN, *licences.FAMILIES)[at], chances[at] / chances.sum()
+        return (licences.UNKNOWN, *licences.FAMILIES)[at], 1 - chances[0] / chances.sum()
 
     def family(self, found):
         family, chance = self.judged(frozenset(grams(found) & self.places.keys()))
