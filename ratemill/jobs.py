@@ -17,14 +17,21 @@ from ratemill.operators import marts, validate
 from ratemill.operators.decode import encode_events, parse_events
 from ratemill.operators.recommend import ITEM_BLOCKS, USER_BLOCKS
 from ratemill.plans import cycle
-from ratemill.plans.silver import has_totals, merge_silver, read_silver, read_totals, refresh_silver
-from ratemill.plans.star import Star
+from ratemill.plans.silver import (
+    has_totals,
+    merge_silver,
+    read_changes,
+    read_silver,
+    read_totals,
+    refresh_silver,
+)
+from ratemill.plans.star import FACT_TABLE, Star
 from ratemill.sources.bronze import compact_bronze, read_bronze
 from ratemill.sources.documents import read_recommendations
 from ratemill.sources.events import publish_events, read_event_stream
-from ratemill.sources.storage import exists
+from ratemill.sources.storage import exists, fresh_folder, remove
 from ratemill.sources.tables import overwrite_table, read_table
-from ratemill.sources.warehouse import write_warehouse
+from ratemill.sources.warehouse import loaded_version, merge_warehouse, write_warehouse
 from ratemill.streaming.bronze import write_bronze
 
 REPORTS = {
@@ -47,11 +54,38 @@ def _paths(args: argparse.Namespace) -> cycle.Paths:
     )
 
 
-def _load(args: argparse.Namespace):
+#: Primary keys of the dimensions, and what tells facts apart when they are merged.
+KEYS = {"dim_movie": ["movie_id"], "dim_user": ["user_id"], "dim_date": ["date_id"]}
+FACT_GROUP = ("user_id", "movie_id", "date_id")
+
+
+def _load(spark: SparkSession, args: argparse.Namespace):
+    """What loads a star into the warehouse: all of it, or the facts that changed.
+
+    A star's version is read before its facts: a refresh meanwhile can bring in facts
+    early, which the next load sends again, and never leaves one out.
+    """
     if args.jdbc_url is None:
         return None
-    keys = {"dim_movie": ["movie_id"], "dim_user": ["user_id"], "dim_date": ["date_id"]}
-    return lambda star: write_warehouse(star.tables(), args.jdbc_url, dict(args.jdbc_option), keys)
+    url, login = args.jdbc_url, dict(args.jdbc_option)
+
+    def load(star: Star) -> None:
+        version = star.version
+        if not args.jdbc_changes:
+            write_warehouse(star.tables(), url, login, KEYS, {FACT_TABLE: version})
+            return
+        since = loaded_version(spark, url, login, FACT_TABLE)
+        if since is None or since > version:
+            raise ValueError(f"the warehouse holds version {since}, Silver {version}: load it whole")
+        scratch = fresh_folder(spark, "changes")
+        overwrite_table(read_changes(spark, args.silver, since, FACT_GROUP, args.fmt), scratch)
+        changes = read_table(spark, scratch)
+        merge_warehouse(
+            star.dimensions(), FACT_TABLE, changes, FACT_GROUP, url, login, KEYS, since=since, version=version
+        )
+        remove(spark, scratch)
+
+    return load
 
 
 def _model(args: argparse.Namespace) -> dict[str, int | bool]:
@@ -100,7 +134,7 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
     star = cycle.write_gold(spark, _paths(args), items, profiles, args.fmt)
-    load = _load(args)
+    load = _load(spark, args)
     if load:
         load(star)
 
@@ -115,7 +149,7 @@ def run_cycle(spark: SparkSession, args: argparse.Namespace) -> None:
     items, profiles = read_table(spark, args.items), read_table(spark, args.profiles)
     print(
         cycle.run_cycle(
-            spark, _paths(args), items, profiles, args.since, _load(args), fmt=args.fmt, **_model(args)
+            spark, _paths(args), items, profiles, args.since, _load(spark, args), fmt=args.fmt, **_model(args)
         )
     )
 
@@ -167,6 +201,7 @@ def parser() -> argparse.ArgumentParser:
     def warehouse(added):
         added.add_argument("--jdbc-url")
         added.add_argument("--jdbc-option", type=_pair, action="append", default=[])
+        added.add_argument("--jdbc-changes", action="store_true", help="send only facts that changed")
 
     added = job("ingest", ingest, "bronze", "checkpoint")
     messages(added)

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from ratemill.sources.statistics import stored_size
+
 # What a row takes in a broadcast table besides its values.
 ROW_BYTES = 48
 
@@ -13,13 +15,19 @@ ROW_BYTES = 48
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is below the session's broadcast threshold in memory.
 
-    The bound is rows times width and the bytes of all texts. Rows are counted first,
-    which for a written table reads file footers only; texts are measured where that
-    does not rule the table out. Bytes on disk bound neither: five million ids
-    may take 140 kB there. Pass written tables.
+    The bound is rows times width and the bytes of all texts. Both are known, without a
+    job, of a table that was written with its counts (``sources.statistics``). Otherwise
+    rows are counted first, which for a written table reads file footers only; texts are
+    measured where that does not rule the table out. Bytes on disk bound neither: five
+    million ids may take 140 kB there. Pass written tables.
     """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    bound = df.count() * (ROW_BYTES + 8 * len(df.columns))
+    width = ROW_BYTES + 8 * len(df.columns)
+    stored = stored_size(df)
+    if stored:
+        rows, text_bytes = stored
+        return rows * width + text_bytes <= limit
+    bound = df.count() * width
     if bound > limit:
         return False
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]

@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import recommend, star
 from ratemill.operators.toplists import top_lists
-from ratemill.plans.silver import has_totals, merge_silver, read_silver, read_totals, refresh_silver
+from ratemill.plans.silver import (
+    has_totals,
+    merge_silver,
+    read_silver,
+    read_totals,
+    refresh_silver,
+    silver_version,
+)
 from ratemill.plans.star import Star, read_star, write_dimensions
 from ratemill.sources.documents import export_recommendations
 
@@ -45,8 +52,9 @@ def write_gold(
 
 
 def read_gold(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> Star:
+    version = silver_version(spark, paths.silver)  # before the facts, which may be newer
     fact = star.fact_ratings(read_silver(spark, paths.silver, fmt))
-    return read_star(spark, paths.gold, fact, fmt)
+    return read_star(spark, paths.gold, fact, fmt, version)
 
 
 def has_rows(ratings: DataFrame) -> bool:

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructType
 from ratemill.functions.calendar import date_id
 from ratemill.operators.cleanse import clean_ratings
 from ratemill.operators.joins import fits_broadcast
+from ratemill.operators.star import fact_ratings
 from ratemill.schemas import EVENT, EVENT_COLUMNS, EVENT_KEY
 from ratemill.sources import commits
 from ratemill.sources.bronze import latest_version, read_batches, read_bronze
@@ -63,6 +64,34 @@ def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return read_kind(spark, path, _built(spark, path), ROWS, fmt).select(*EVENT_COLUMNS)
 
 
+def read_changes(
+    spark: SparkSession, path: str, since: int, group: tuple[str, ...] = ("user_id", "movie_id", "date_id"), fmt: str = "parquet"
+) -> DataFrame:
+    """All facts, as they are now, of each ``group`` that changed after Bronze version
+    ``since``, for a copy of the facts elsewhere that holds that version.
+
+    Groups are those with a row in a run that goes beyond ``since``; merged runs may
+    bring in more of them, which does no harm. Other runs are searched for their rows,
+    without a shuffle while the groups may be broadcast.
+    """
+    now = _built(spark, path)
+    if since > now.version:
+        raise ValueError(f"{path} holds version {now.version}, not {since} or later")
+    runs = now.of(ROWS.name)
+    newer = [run for run in runs if run.last > since]
+    if len(newer) == len(runs):
+        return fact_ratings(read_silver(spark, path, fmt))
+
+    def dated(some: list) -> DataFrame:
+        return read_runs(spark, path, some, ROWS, fmt).withColumn("date_id", date_id(F.col("timestamp")))
+
+    groups = dated(newer).select(*group).distinct()
+    if newer and fits_broadcast(groups):
+        groups = F.broadcast(groups)
+    found = dated(runs).join(groups, list(group), "left_semi")
+    return fact_ratings(ROWS.merged(found.select(*EVENT_COLUMNS)))
+
+
 def has_totals(spark: SparkSession, path: str) -> bool:
     return bool(newest(spark, path).of(BY_ITEM.name))
 

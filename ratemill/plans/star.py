@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.operators import star
+from ratemill.sources.statistics import read_counted, write_counted
 from ratemill.sources.tables import (
     EDITION,
     drop_old_editions,
@@ -26,6 +27,7 @@ class Star:
     dim_user: DataFrame
     dim_date: DataFrame
     fact_ratings: DataFrame
+    version: int | None = None  # of Silver, which the facts hold at least
 
     def tables(self) -> dict[str, DataFrame]:
         """Tables by warehouse name, dimensions first."""
@@ -73,19 +75,25 @@ def _write(built: Star, path: str, fmt: str, with_facts: bool) -> None:
         overwrite_table(built.fact_ratings, f"{target}/{FACT_TABLE}", fmt)
         tables["dim_date"] = star.dim_date(read_table(spark, f"{target}/{FACT_TABLE}", fmt))
     for name, table in tables.items():
-        overwrite_table(table, f"{target}/{name}", fmt)
+        write_counted(table, f"{target}/{name}", fmt)
     overwrite_table(spark.range(1), f"{target}/complete")
     drop_old_editions(spark, path, COMPLETE)
 
 
 def read_star(
-    spark: SparkSession, path: str, fact: DataFrame | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    fact: DataFrame | None = None,
+    fmt: str = "parquet",
+    version: int | None = None,
 ) -> Star:
-    """The newest complete edition below ``path``; ``fact`` where facts are elsewhere."""
+    """The newest complete edition below ``path``; ``fact`` where facts are elsewhere,
+    which then hold ``version``."""
     edition = newest_edition(spark, path, COMPLETE)
     return Star(
-        read_table(spark, f"{edition}/dim_movie", fmt),
-        read_table(spark, f"{edition}/dim_user", fmt),
-        read_table(spark, f"{edition}/dim_date", fmt),
+        read_counted(spark, f"{edition}/dim_movie", fmt),
+        read_counted(spark, f"{edition}/dim_user", fmt),
+        read_counted(spark, f"{edition}/dim_date", fmt),
         read_table(spark, f"{edition}/{FACT_TABLE}", fmt) if fact is None else fact,
+        version,
     )

@@ -1,9 +1,15 @@
 """The JDBC sink without a database: the calls it makes, in order."""
 
+import random
+
+import duckdb
 import pytest
 from pyspark.sql import DataFrameWriter
 
+from ratemill.operators.star import fact_ratings
+from ratemill.plans.silver import merge_silver, read_changes, read_silver, refresh_silver
 from ratemill.sources import warehouse
+from ratemill.sources.bronze import append_batch, read_batches
 
 URL = "jdbc:postgresql://warehouse/ratings"
 LOGIN = {"user": "etl", "numPartitions": "4"}
@@ -115,3 +121,126 @@ def test_rows_stored_twice_are_an_error(spark, database, monkeypatch):
 def test_views_answer_sql(spark):
     warehouse.register_views({"dim_movie": spark.range(3)})
     assert spark.sql("SELECT count(*) FROM dim_movie").first()[0] == 3
+
+
+# --- loads of what changed, held against a database in this process --------------
+
+
+class Duck:
+    """A DuckDB file behind the calls of the JDBC sink."""
+
+    def __init__(self, monkeypatch):
+        self.db = duckdb.connect()
+        self.sent = {}
+
+        def write(writer, url, table, mode=None, properties=None):
+            rows = writer._df.toPandas()
+            self.sent[table] = len(rows)
+            self.db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM rows")
+
+        def read(session, url, table, properties):
+            found = self.db.execute(f"SELECT * FROM {table}").df()
+            return session.createDataFrame(found, ", ".join(f"{c} long" for c in found.columns))
+
+        def transaction(session, url, properties, statements):
+            warehouse_transaction(Session(self), url, properties, statements)
+
+        warehouse_transaction = warehouse.run_in_transaction
+        monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+        monkeypatch.setattr(warehouse, "read_warehouse", read)
+        monkeypatch.setattr(warehouse, "run_in_transaction", transaction)
+
+    def setAutoCommit(self, on):
+        self.db.begin()
+
+    def createStatement(self):
+        return self
+
+    def execute(self, sql):
+        self.db.execute(sql)
+
+    def executeUpdate(self, sql):
+        return self.db.execute(sql).fetchone()[0]
+
+    def commit(self):
+        self.db.commit()
+
+    def rollback(self):
+        self.db.rollback()
+
+    def close(self):
+        pass
+
+    def facts(self):
+        return sorted(self.db.execute("SELECT user_id, movie_id, date_id, rating FROM fact_ratings").fetchall())
+
+
+GROUP = ("user_id", "movie_id", "date_id")
+
+
+@pytest.fixture
+def lake(spark, ratings, tmp_path):
+    """Bronze batches whose keys return, and a Silver table at the first two."""
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    for number in range(4):
+        draw = random.Random(number)
+        rows = [
+            (draw.randrange(9), draw.randrange(7), float(draw.randrange(1, 6)), draw.randrange(30) * 86400 + draw.randrange(2))
+            for _ in range(60)
+        ]
+        append_batch(ratings(rows), number, bronze)
+    refresh_silver(spark, bronze, silver, version=1)
+    return bronze, silver
+
+
+def facts_of(spark, silver):
+    return sorted(tuple(row) for row in fact_ratings(read_silver(spark, silver)).collect())
+
+
+def test_changed_facts_bring_the_warehouse_up_to_date(spark, monkeypatch, lake):
+    bronze, silver = lake
+    duck = Duck(monkeypatch)
+    dims = {"dim_date": spark.range(3).withColumnRenamed("id", "date_id")}
+    fact = fact_ratings(read_silver(spark, silver))
+    warehouse.write_warehouse({**dims, "fact_ratings": fact}, URL, LOGIN, versions={"fact_ratings": 1})
+    for version in (2, 3):
+        refresh_silver(spark, bronze, silver, version=version)
+        if version == 3:
+            merge_silver(spark, silver, fan=2, small=1)
+        since = warehouse.loaded_version(spark, URL, LOGIN, "fact_ratings")
+        changes = read_changes(spark, silver, since, GROUP)
+        warehouse.merge_warehouse(
+            dims, "fact_ratings", changes, GROUP, URL, LOGIN, {"dim_date": ["date_id"]}, since=since, version=version
+        )
+        assert duck.facts() == facts_of(spark, silver)
+        assert warehouse.loaded_version(spark, URL, LOGIN, "fact_ratings") == version
+        assert duck.db.execute("SELECT count(*) FROM dim_date").fetchone() == (3,)
+    assert "fact_ratings_staging" not in {name for (name,) in duck.db.execute("SHOW TABLES").fetchall()}
+
+
+def test_only_changed_groups_are_sent(spark, lake):
+    bronze, silver = lake
+    refresh_silver(spark, bronze, silver, version=2)
+    new = {tuple(r) for r in fact_ratings(read_batches(spark, bronze, 1, 2)).select(*GROUP).collect()}
+    sent = [tuple(row) for row in read_changes(spark, silver, 1, GROUP).collect()]
+    assert sent and {row[:3] for row in sent} <= new
+    assert sorted(sent) == [row for row in facts_of(spark, silver) if row[:3] in {r[:3] for r in sent}]
+    assert read_changes(spark, silver, 2, GROUP).count() == 0
+    with pytest.raises(ValueError):
+        read_changes(spark, silver, 3, GROUP)
+
+
+def test_a_repeated_or_second_load_changes_nothing(spark, monkeypatch, lake):
+    bronze, silver = lake
+    duck = Duck(monkeypatch)
+    warehouse.write_warehouse(
+        {"fact_ratings": fact_ratings(read_silver(spark, silver))}, URL, LOGIN, versions={"fact_ratings": 1}
+    )
+    refresh_silver(spark, bronze, silver, version=2)
+    changes = read_changes(spark, silver, 1, GROUP)
+    warehouse.merge_warehouse({}, "fact_ratings", changes, GROUP, URL, LOGIN, since=1, version=2)
+    before = duck.facts()
+    with pytest.raises(RuntimeError):
+        warehouse.merge_warehouse({}, "fact_ratings", changes, GROUP, URL, LOGIN, since=1, version=2)
+    assert duck.facts() == before
+    assert warehouse.loaded_version(spark, URL, LOGIN, "fact_ratings") == 2
