@@ -4,7 +4,8 @@ Every round makes each node point at smaller neighbours (large star, then small
 star); after a few rounds every node points at the smallest of its component.
 Tables between rounds are written, so a lost executor costs one round at most.
 Minima are combined before the shuffle, so a node with very many links is one
-row per task; the join that hands the minimum back is one AQE can split.
+row per task. The minimum goes back to links in ``SLICES`` slices of each node, so
+the links of one node never meet in one task.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,21 +13,32 @@ from pyspark.sql import DataFrame, functions as F
 from ratemill.llm.tables import written
 
 
-def _lowest(links: DataFrame) -> DataFrame:
-    return links.groupBy("a").agg(F.min("b").alias("low"))
+#: Parts that the links of one node are dealt to, by a hash of the other end.
+SLICES = 64
+
+
+def _with_lowest(links: DataFrame) -> DataFrame:
+    """``links`` with the smallest b of each a as ``low``.
+
+    A node is known per slice first, which has at most ``SLICES`` rows for it; the links
+    join these, and not the node.
+    """
+    sliced = links.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SLICES)).alias("slice"))
+    parts = sliced.groupBy("a", "slice").agg(F.min("b").alias("part_low"))
+    lowest = parts.groupBy("a").agg(F.min("part_low").alias("low"))
+    of_parts = parts.select("a", "slice").join(lowest, "a")
+    return sliced.join(of_parts, ["a", "slice"]).select("a", "b", "low")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = _lowest(both).select("a", F.least("a", "low").alias("low"))
-    return (
-        both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-    )
+    near = _with_lowest(both).where("b > a")
+    return near.select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    joined = down.join(_lowest(down), "a")
+    joined = _with_lowest(down)
     onward = joined.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return onward.union(joined.select("a", F.col("low").alias("b"))).where("a <> b").distinct()
 
