@@ -10,7 +10,7 @@ and a line feed. Inside roles and texts a backslash, the two control strings and
 so a control string never appears in them and reading back is plain replacement.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 OPEN, CLOSE = "### ", "</turn>"
 REPLY = "assistant"
@@ -31,26 +31,8 @@ def unescape(text: Column, codes=TEXT_CODES) -> Column:
     return text
 
 
-def _header(turn: Column) -> Column:
-    return F.concat(F.lit(OPEN), escape(turn["role"], ROLE_CODES), F.lit(": "))
-
-
-def _piece(turn: Column) -> Column:
-    return F.concat(_header(turn), escape(turn["text"]), F.lit(CLOSE + "\n"))
-
-
-def _example(turns: Column, pieces: Column, at: Column) -> Column:
-    """The example of the turn numbered ``at`` from 1."""
-    turn = F.element_at(turns, at)
-    context = F.array_join(F.slice(pieces, F.lit(1), at - 1), "")
-    trained = turn["role"] == REPLY
-    start = F.char_length(context) + F.char_length(_header(turn))
-    return F.struct(
-        at.alias("turn_number"),
-        F.concat(context, F.element_at(pieces, at)).alias("formatted"),
-        F.when(trained, start).alias("loss_start"),
-        F.when(trained, start + F.char_length(escape(turn["text"]))).alias("loss_end"),
-    )
+def _header(role: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(role, ROLE_CODES), F.lit(": "))
 
 
 def format_examples(
@@ -68,28 +50,50 @@ def format_examples(
     get a last row whose loss positions are null, so that the output holds every
     turn. Turns go by turn (null first), ties by role and text; repeated rows stay.
     A null text or role is empty, a null conv_id a conversation like any other, an
-    empty table gives no rows, and other columns do not matter. One conversation
-    is held in one row, as its examples are.
+    empty table gives no rows, and other columns do not matter.
+
+    Turns are numbered, and lengths added up, by windows, which spill; the turns up to a
+    reply are joined to one piece first. Examples come out one at a time, each as the
+    pieces up to its own, so no row holds more than its example and a task no more than
+    the pieces of one conversation. An example longer than a string of 2 GB fails.
     """
     filled = conversations.select(
         F.col(conv_id).alias("conv_id"),
-        F.struct(
-            F.col(turn).alias("turn"),
-            F.coalesce(F.col(role), F.lit("")).alias("role"),
-            F.coalesce(F.col(text), F.lit("")).alias("text"),
-        ).alias("turn"),
+        F.col(turn).alias("turn"),
+        F.coalesce(F.col(role), F.lit("")).alias("role"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    whole = filled.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    whole = whole.withColumn("pieces", F.transform("turns", _piece))
-    last = F.size("turns")
-    chosen = F.filter(
-        F.sequence(F.lit(1), last),
-        lambda at: (F.element_at("turns", at)["role"] == REPLY) | (at == last),
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    is_reply = F.col("role") == REPLY
+    numbered = filled.select(
+        "conv_id",
+        F.row_number().over(in_order).alias("turn_number"),
+        # Replies before a turn: those with the same number end in the same example.
+        F.coalesce(F.count_if(is_reply).over(before), F.lit(0)).alias("example"),
+        is_reply.alias("is_reply"),
+        _header(F.col("role")).alias("header"),
+        escape(F.col("text")).alias("escaped"),
     )
-    return (
-        whole.select("conv_id", "turns", "pieces", F.explode(chosen).alias("at"))
-        .select("conv_id", _example(F.col("turns"), F.col("pieces"), F.col("at")).alias("example"))
-        .select("conv_id", "example.*")
+    piece = F.concat("header", "escaped", F.lit(CLOSE + "\n"))
+    of_reply = F.when(F.col("is_reply"), F.char_length("escaped"))
+    pieces = (
+        numbered.groupBy("conv_id", "example")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("turn_number", piece.alias("piece")))).alias("turns"),
+            F.max("turn_number").alias("turn_number"),
+            F.max(of_reply).cast("long").alias("reply_chars"),
+        )
+        .select("conv_id", "example", "turn_number", "reply_chars", F.array_join("turns.piece", "").alias("piece"))
+    )
+    so_far = Window.partitionBy("conv_id").orderBy("example").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.char_length("piece")).over(so_far) - len(CLOSE + "\n")
+    return pieces.select(
+        "conv_id",
+        "turn_number",
+        F.array_join(F.collect_list("piece").over(so_far), "").alias("formatted"),
+        F.when(F.col("reply_chars").isNotNull(), (end - F.col("reply_chars")).cast("int")).alias("loss_start"),
+        F.when(F.col("reply_chars").isNotNull(), end.cast("int")).alias("loss_end"),
     )
 
 
