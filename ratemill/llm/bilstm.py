@@ -10,6 +10,8 @@ from dataclasses import dataclass
 import numpy as np
 
 GATES = 4
+#: Steps times stretches that are searched at once.
+STEPS_AT_ONCE = 1 << 16
 
 
 @dataclass
@@ -73,22 +75,35 @@ class Tagger:
         found += self.weights["bias"]
         return found
 
-    def decode(self, kinds: np.ndarray) -> np.ndarray:
-        """Most likely tags (steps, windows).
+    def decode(self, emitted: list[np.ndarray]) -> list[np.ndarray]:
+        """Most likely tags of whole sequences, given as (steps, tags), by the CRF.
 
-        A run of n other tags inside tag 0 gains, by its transitions, at most n times
-        ``gain``. Where tag 0 leads every other tag by more at every step of a window,
-        its best path is tag 0 throughout; only the other windows need the search.
+        A sequence stands between two steps of tag 0. A run of n other tags gains, by its
+        transitions, at most n times ``gain`` over tag 0, and loses by how far tag 0 leads.
+        A step that is in no run where gains make up for the lead has tag 0 in the best
+        path; only the stretches between such steps need the search.
         """
-        emitted = self.emissions(kinds)
-        found = np.zeros(kinds.shape, np.uint8)
         over = self.weights["transitions"] - self.weights["transitions"][0, 0]
-        enter, leave, stay = over[0, 1:].max(), over[1:, 0].max(), over[1:, 1:].max()
-        gain = max(enter + leave, enter, leave, stay, 0)
-        lead = (emitted[:, :1] - emitted[:, 1:]).min(axis=(0, 1))
-        open_windows = np.nonzero(lead <= gain + 1e-3)[0]
-        if len(open_windows):
-            found[:, open_windows] = self._viterbi(emitted[:, :, open_windows])
+        gain = max(over[0, 1:].max() + over[1:, 0].max(), over[1:, 1:].max(), 0.0)
+        found, stretches = [], []
+        for number, scores in enumerate(emitted):
+            found.append(np.zeros(len(scores), np.uint8))
+            worth = scores[:, 1:].max(1) - scores[:, 0] + np.float32(gain + 1e-3)
+            if len(worth) and worth.max() >= 0:
+                edges = np.nonzero(np.diff(_within_gains(worth), prepend=False, append=False))[0]
+                stretches += [(number, start, end) for start, end in zip(edges[::2].tolist(), edges[1::2].tolist())]
+        stretches.sort(key=lambda s: s[2] - s[1])
+        while stretches:
+            longest = stretches[-1][2] - stretches[-1][1]
+            fit = max(1, STEPS_AT_ONCE // (longest + 2))
+            some, stretches = stretches[-fit:], stretches[:-fit]
+            padded = np.full((longest + 2, emitted[0].shape[1], len(some)), -1e9, np.float32)
+            padded[:, 0] = 0
+            for at, (number, start, end) in enumerate(some):
+                padded[1 : 1 + end - start, :, at] = emitted[number][start:end]
+            path = self._viterbi(padded)
+            for at, (number, start, end) in enumerate(some):
+                found[number][start:end] = path[1 : 1 + end - start, at]
         return found
 
     def _viterbi(self, emitted: np.ndarray) -> np.ndarray:
@@ -182,6 +197,14 @@ class Tagger:
         return loss
 
 
+def _within_gains(worth: np.ndarray) -> np.ndarray:
+    """Whether a step lies in some run of steps whose sum is not negative."""
+    sums = np.concatenate([[0.0], np.cumsum(worth, dtype=np.float64)])
+    least_before = np.minimum.accumulate(sums)[:-1]
+    most_after = np.maximum.accumulate(sums[::-1])[::-1][1:]
+    return most_after >= least_before
+
+
 def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     most = values.max(axis, keepdims=True)
     return np.squeeze(most, axis) + np.log(np.exp(values - most).sum(axis))

@@ -5,8 +5,9 @@ import random
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from ratemill.llm import bilstm, decontaminate, kdtree, pii, quality, simhash
+from ratemill.llm import bilstm, chat, components, decontaminate, kdtree, pii, quality, simhash
 from ratemill.llm.components import smallest_reachable
 from ratemill.llm.queries import vocabulary
 
@@ -132,13 +133,78 @@ def test_tagger_gradients():
         assert abs((losses[0] - losses[1]) / 2e-2 - gradients[name][at]) < 1e-3
 
 
-def test_skipped_windows_have_no_better_path():
+def test_skipped_steps_have_no_better_path():
+    """Whole sequences against a search of every step, between two steps of tag 0."""
     draw = np.random.default_rng(1)
     tagger = bilstm.Tagger.new(6, 4, 4)
-    tagger.weights["transitions"] = draw.normal(0, 0.5, (4, 4)).astype(np.float32)
-    tagger.weights["bias"][0] = 1.5
-    kinds = draw.integers(0, 6, (20, 300)).astype(np.uint8)
-    assert (tagger.decode(kinds) == tagger._viterbi(tagger.emissions(kinds))).all()
+    for bias in (0.0, 1.5, 4.0):
+        tagger.weights["transitions"] = draw.normal(0, 0.5, (4, 4)).astype(np.float32)
+        scores = [draw.normal(0, 2, (n, 4)).astype(np.float32) for n in (*range(40), 700)]
+        for s in scores:
+            s[:, 0] += bias
+        border = np.array([[0, -1e9, -1e9, -1e9]], np.float32)
+        for found, s in zip(tagger.decode(scores), scores):
+            whole = tagger._viterbi(np.concatenate([border, s, border])[:, :, None])[1:-1, 0]
+            assert (found == whole).all()
+
+
+def test_scores_of_overlapping_windows_are_joined():
+    """A tag that both windows half support at a seam is decided by their average."""
+
+    class Seams:
+        """Scores tell how far a character is inside its window."""
+
+        def emissions(self, kinds):
+            inside = np.arange(len(kinds), dtype=np.float32)[:, None, None]
+            return np.broadcast_to(inside, (len(kinds), len(pii.KINDS) + 1, kinds.shape[1])).copy()
+
+    text = "x" * (2 * pii.CORE + 5)
+    scores = pii.joined_scores([text, "y"], Seams(), pii.kinds_table())
+    assert [len(s) for s in scores] == [len(text), 1]
+    for at in range(len(text)):
+        window, place = divmod(at, pii.CORE)
+        want = place + pii.MARGIN
+        for seam in (pii.CORE, 2 * pii.CORE):
+            if abs(at + 0.5 - seam) < pii.MARGIN:
+                weight = (at - seam + pii.MARGIN + 0.5) / (2 * pii.MARGIN)
+                later = at - seam + pii.MARGIN
+                want = weight * later + (1 - weight) * (later + pii.CORE)
+        assert np.allclose(scores[0][at], want)
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return docs, pii.train(docs)
+
+
+def test_spans_at_seams(trained):
+    """A span in a form the patterns miss is found wherever windows meet in it."""
+    tagger, table = trained[1], pii.kinds_table()
+    found = 0
+    for shift in range(-24, 8):
+        lead = ("and so it went on " * 40)[: pii.CORE + shift - 1] + " "
+        part = "mail anna.berg(at)example(dot)org now"
+        (_, spans), = pii.spans_of([lead + part + " and so it went on" * 5], tagger, table)
+        found += (len(lead) + 5, 0, len(lead) + 5 + len("anna.berg(at)example(dot)org")) in spans
+    assert found >= 28
+
+
+def test_added_spans_on_held_out_documents(trained):
+    rows = pii.held_out_counts(*trained).where("form = 'added'").collect()
+    gold, found, right = (sum(row[n] for row in rows) for n in ("n_gold", "n_found", "n_right"))
+    assert {row["kind"] for row in rows} == set(pii.KINDS) and gold >= 50
+    assert right / found >= 0.95 and right / gold >= 0.85
+
+
+def test_forms_that_are_no_personal_data():
+    for rank, part in [(0, "at the end"), (0, "a @ b"), (1, "300 . 1 . 1 . 1"), (2, "1234.5678.9012.3456"), (3, "0123456789012"), (3, "00 12 34")]:
+        assert not pii._form(rank, part)
+    draw = np.random.default_rng(4)
+    for rank, part in [(0, "a.b@c-d.org"), (1, "10.0.255.1"), (2, "4111111111111111"), (3, "+49 (30) 1234567")]:
+        for _ in range(30):
+            assert pii._form(rank, pii.rewritten(rank, part, draw))
+            assert not pii.base_spans(pii.rewritten(0, "a.b@c-d.org", draw)) or rank
 
 
 def test_windows_cover_a_text_once():
@@ -171,3 +237,38 @@ def test_words_of_both_cases(spark):
     rows = spark.createDataFrame([("A-bÉC 9z_q",), ("PLAIN Ascii",)], "t string")
     found = [r[0] for r in rows.select(decontaminate.words_of(rows["t"])).collect()]
     assert found == [["a", "bÉc", "9z", "q"], ["plain", "ascii"]]
+
+
+def test_links_of_a_hub_are_dealt_to_slices(spark):
+    """A star of many leaves, a chain and single links, against union-find."""
+    pairs = [(0, n) for n in range(1, 3000)] + [(n, n + 1) for n in range(5000, 5040)] + [(9000, 8000)]
+    links = spark.createDataFrame([(b, a) if a % 2 else (a, b) for a, b in pairs], "a long, b long")
+    found = {r["a"]: r["b"] for r in smallest_reachable(links).collect()}
+    groups = union_find({n for pair in pairs for n in pair}, pairs)
+    assert found == {n: low for n, low in groups.items() if n != low}
+    both = components._with_lowest(links.select("b", "a").toDF("a", "b").union(links))
+    hub = both.where("a = 0").groupBy(F.pmod(F.xxhash64("b"), F.lit(components.SLICES))).count()
+    assert hub.agg(F.max("count")).first()[0] < 3000 / components.SLICES * 2
+
+
+def test_examples_of_a_long_conversation(spark):
+    """Every example is the pieces before it and its own, whatever the order of rows."""
+    turns = [(1, n, "assistant" if n % 3 == 2 else "user", f"### t{n} </turn>\\" + "x" * (n % 7)) for n in range(400)]
+    rows = spark.createDataFrame(turns[::-1], "conv_id long, turn long, role string, text string")
+    found = sorted(chat.format_examples(rows).collect(), key=lambda r: r["turn_number"])
+
+    def escaped(text):
+        return text.replace("\\", "\\b").replace("### ", "\\h").replace("</turn>", "\\e")
+
+    pieces = [f"### {role}: {escaped(text)}</turn>\n" for _, _, role, text in turns]
+    ends = [n + 1 for n in range(400) if n % 3 == 2 or n == 399]
+    assert [r["turn_number"] for r in found] == ends
+    for row in found:
+        whole = "".join(pieces[: row["turn_number"]])
+        assert row["formatted"] == whole
+        if turns[row["turn_number"] - 1][2] == "assistant":
+            reply = escaped(turns[row["turn_number"] - 1][3])
+            assert whole[row["loss_start"] : row["loss_end"]] == reply
+            assert row["loss_end"] == len(whole) - len("</turn>\n")
+        else:
+            assert row["loss_start"] is None and row["loss_end"] is None
