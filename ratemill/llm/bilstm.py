@@ -76,7 +76,7 @@ class Tagger:
         return found
 
     def decode(self, emitted: list[np.ndarray]) -> list[np.ndarray]:
-        """Most likely tags of whole sequences, given as (steps, tags), by the CRF.
+        """Most likely tags of whole sequences, given as (tags, steps), by the CRF.
 
         A sequence stands between two steps of tag 0. A run of n other tags gains, by its
         transitions, at most n times ``gain`` over tag 0, and loses by how far tag 0 leads.
@@ -87,8 +87,8 @@ class Tagger:
         gain = max(over[0, 1:].max() + over[1:, 0].max(), over[1:, 1:].max(), 0.0)
         found, stretches = [], []
         for number, scores in enumerate(emitted):
-            found.append(np.zeros(len(scores), np.uint8))
-            worth = scores[:, 1:].max(1) - scores[:, 0] + np.float32(gain + 1e-3)
+            found.append(np.zeros(scores.shape[1], np.uint8))
+            worth = scores[1:].max(0) - scores[0] + np.float32(gain + 1e-3)
             if len(worth) and worth.max() >= 0:
                 edges = np.nonzero(np.diff(_within_gains(worth), prepend=False, append=False))[0]
                 stretches += [(number, start, end) for start, end in zip(edges[::2].tolist(), edges[1::2].tolist())]
@@ -97,10 +97,10 @@ class Tagger:
             longest = stretches[-1][2] - stretches[-1][1]
             fit = max(1, STEPS_AT_ONCE // (longest + 2))
             some, stretches = stretches[-fit:], stretches[:-fit]
-            padded = np.full((longest + 2, emitted[0].shape[1], len(some)), -1e9, np.float32)
+            padded = np.full((longest + 2, len(emitted[0]), len(some)), -1e9, np.float32)
             padded[:, 0] = 0
             for at, (number, start, end) in enumerate(some):
-                padded[1 : 1 + end - start, :, at] = emitted[number][start:end]
+                padded[1 : 1 + end - start, :, at] = emitted[number][:, start:end].T
             path = self._viterbi(padded)
             for at, (number, start, end) in enumerate(some):
                 found[number][start:end] = path[1 : 1 + end - start, at]

@@ -180,7 +180,7 @@ def _cut(kinds: np.ndarray) -> np.ndarray:
 
 
 def joined_scores(texts: list[str], tagger: Tagger, table: np.ndarray) -> list[np.ndarray]:
-    """Scores (characters, tags) of every text, averaged where windows overlap.
+    """Scores (tags, characters) of every text, averaged where windows overlap.
 
     They take some twenty bytes a character, of one long text or of the texts that are
     tagged at once.
@@ -189,24 +189,25 @@ def joined_scores(texts: list[str], tagger: Tagger, table: np.ndarray) -> list[n
     windows = [_cut(k) for k in kinds if len(k)]
     tags = len(KINDS) + 1
     if not windows:
-        return [np.empty((0, tags), np.float32) for _ in texts]
+        return [np.empty((tags, 0), np.float32) for _ in texts]
     every = np.concatenate(windows)
-    core = np.empty((len(every), CORE, tags), np.float32)
-    heads, tails = (np.empty((len(every), 2 * MARGIN, tags), np.float32) for _ in range(2))
+    core = np.empty((tags, len(every), CORE), np.float32)
+    heads, tails = (np.empty((tags, len(every), 2 * MARGIN), np.float32) for _ in range(2))
     for at in range(0, len(every), WINDOWS_AT_ONCE):
-        some = tagger.emissions(np.ascontiguousarray(every[at : at + WINDOWS_AT_ONCE].T)).transpose(2, 0, 1)
-        core[at : at + len(some)] = some[:, MARGIN:-MARGIN]
-        heads[at : at + len(some)] = some[:, : 2 * MARGIN]
-        tails[at : at + len(some)] = some[:, -2 * MARGIN :]
+        some = tagger.emissions(np.ascontiguousarray(every[at : at + WINDOWS_AT_ONCE].T)).transpose(1, 2, 0)
+        here = slice(at, at + some.shape[1])
+        core[:, here] = some[..., MARGIN:-MARGIN]
+        heads[:, here] = some[..., : 2 * MARGIN]
+        tails[:, here] = some[..., -2 * MARGIN :]
     starts = np.cumsum([0] + [len(w) for w in windows])
     onward = np.setdiff1d(np.arange(len(every)), starts)  # windows that go on a text
-    inside = ((np.arange(2 * MARGIN, dtype=np.float32) + 0.5) / (2 * MARGIN))[:, None]
-    both = inside * heads[onward] + (1 - inside) * tails[onward - 1]
-    core[onward - 1, -MARGIN:] = both[:, :MARGIN]
-    core[onward, :MARGIN] = both[:, MARGIN:]
-    flat, found, first = core.reshape(-1, tags), [], 0
+    inside = (np.arange(2 * MARGIN, dtype=np.float32) + 0.5) / (2 * MARGIN)
+    both = inside * heads[:, onward] + (1 - inside) * tails[:, onward - 1]
+    core[:, onward - 1, -MARGIN:] = both[..., :MARGIN]
+    core[:, onward, :MARGIN] = both[..., MARGIN:]
+    flat, found, first = core.reshape(tags, -1), [], 0
     for k in kinds:
-        found.append(flat[first * CORE : first * CORE + len(k)])
+        found.append(flat[:, first * CORE : first * CORE + len(k)])
         first += -(-len(k) // CORE)
     return found
 

@@ -142,7 +142,7 @@ def test_skipped_steps_have_no_better_path():
         for s in scores:
             s[:, 0] += bias
         border = np.array([[0, -1e9, -1e9, -1e9]], np.float32)
-        for found, s in zip(tagger.decode(scores), scores):
+        for found, s in zip(tagger.decode([s.T for s in scores]), scores):
             whole = tagger._viterbi(np.concatenate([border, s, border])[:, :, None])[1:-1, 0]
             assert (found == whole).all()
 
@@ -159,7 +159,7 @@ def test_scores_of_overlapping_windows_are_joined():
 
     text = "x" * (2 * pii.CORE + 5)
     scores = pii.joined_scores([text, "y"], Seams(), pii.kinds_table())
-    assert [len(s) for s in scores] == [len(text), 1]
+    assert [s.shape[1] for s in scores] == [len(text), 1]
     for at in range(len(text)):
         window, place = divmod(at, pii.CORE)
         want = place + pii.MARGIN
@@ -168,7 +168,7 @@ def test_scores_of_overlapping_windows_are_joined():
                 weight = (at - seam + pii.MARGIN + 0.5) / (2 * pii.MARGIN)
                 later = at - seam + pii.MARGIN
                 want = weight * later + (1 - weight) * (later + pii.CORE)
-        assert np.allclose(scores[0][at], want)
+        assert np.allclose(scores[0][:, at], want)
 
 
 @pytest.fixture(scope="module")
