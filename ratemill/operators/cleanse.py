@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ratemill.operators.parts import spread
 from ratemill.schemas import EVENT_COLUMNS, EVENT_KEY
 
 
@@ -21,7 +22,7 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return df.where(reduce(lambda left, right: left & right, tests))
 
 
-def clean_ratings(raw: DataFrame, latest_by: str | None = None) -> DataFrame:
+def clean_ratings(raw: DataFrame, latest_by: str | None = None, rows: int | None = None) -> DataFrame:
     """One row per (user, item, second), after incomplete rows are dropped.
 
     Copies of a key that differ in ``rating``: the highest wins, or with
@@ -29,13 +30,15 @@ def clean_ratings(raw: DataFrame, latest_by: str | None = None) -> DataFrame:
     highest). Dropping NULLs first keeps a good copy beside a broken one.
 
     An aggregate rather than a window: copies merge before the shuffle, so a
-    key with very many copies sends one row per map task.
+    key with very many copies sends one row per map task. That holds all keys of a
+    task in memory: with ``rows``, about how many ``raw`` has, they are dealt by key
+    before it where they are many (``parts.spread``).
     """
     if latest_by is None:
         complete = drop_incomplete(raw.select(*EVENT_COLUMNS))
-        kept = complete.groupBy(*EVENT_KEY).agg(F.max("rating").alias("rating"))
+        kept = spread(complete, rows, *EVENT_KEY).groupBy(*EVENT_KEY).agg(F.max("rating").alias("rating"))
     else:
         complete = drop_incomplete(raw.select(*EVENT_COLUMNS, latest_by), EVENT_COLUMNS)
         newest = F.max(F.struct(latest_by, "rating"))
-        kept = complete.groupBy(*EVENT_KEY).agg(newest.getField("rating").alias("rating"))
+        kept = spread(complete, rows, *EVENT_KEY).groupBy(*EVENT_KEY).agg(newest.getField("rating").alias("rating"))
     return kept.select(*EVENT_COLUMNS)

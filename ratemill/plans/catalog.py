@@ -64,7 +64,8 @@ def silver_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_ratings(fixtures.raw_ratings_large(spark, sf_dir))
+    rows = fixtures.n_order_lines(spark, sf_dir)
+    return clean_ratings(fixtures.raw_ratings_large(spark, sf_dir, rows), rows=rows)
 
 
 # --- streaming and versions -------------------------------------------------

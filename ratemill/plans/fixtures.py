@@ -5,6 +5,7 @@ The rules are those of FIXTURES.md, part 2.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ratemill.operators.parts import spread
 from ratemill.schemas import EVENT_COLUMNS
 
 
@@ -87,9 +88,18 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_ratings_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as ratings of several years, not yet deduplicated."""
-    lines = table(spark, sf_dir, "lineitem")
+def n_order_lines(spark: SparkSession, sf_dir: str) -> int:
+    """How many order lines there are; reads file footers only."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
+def raw_ratings_large(spark: SparkSession, sf_dir: str, rows: int | None = None) -> DataFrame:
+    """Order lines as ratings of several years, not yet deduplicated.
+
+    With ``rows``, how many they are, many lines are dealt by order for the join.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
+    lines = spread(lines, rows, "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").cast("int").alias("user_id"),
