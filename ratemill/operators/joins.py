@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from ratemill.operators.parts import spread
 from ratemill.sources.statistics import stored_size
 
 # What a row takes in a broadcast table besides its values.
@@ -68,7 +69,10 @@ def rating_totals(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
     facts collapsed early. With several dimensions, those within the broadcast
     threshold join row by row without a shuffle. Facts are then added up per
     key of the rest, with a map-side combine, so that a hot key no longer
-    matters and a shuffled join sees partial sums only.
+    matters and a shuffled join sees partial sums only. A large key with others may
+    differ for most facts: many facts, where their number is stored, are then dealt by
+    all of them first (``parts.spread``, which spreads a hot key), so that no task holds
+    sums for too many, and their sums by the key of the first join.
     """
     small = [d for d in dimensions if len(dimensions) > 1 and fits_broadcast(d.narrow())]
     large = [d for d in dimensions if d not in small]
@@ -83,8 +87,13 @@ def rating_totals(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame
         rows = rows.join(F.broadcast(dimension.narrow()), dimension.key)
         known += dimension.attributes
     open_keys = [d.key for d in large]
+    stored = stored_size(fact) if large and len(dimensions) > 1 else None
+    n_facts = stored and stored[0]
+    rows = spread(rows, n_facts, *known, *open_keys)
     totals = rows.groupBy(*known, *open_keys).agg(*[total.alias(name) for name, total in added.items()])
     for dimension in large:
+        if dimension is large[0]:
+            totals = spread(totals, n_facts, dimension.key)
         open_keys.remove(dimension.key)
         totals = join_dimension(totals, dimension.narrow(), dimension.key)
         known += dimension.attributes

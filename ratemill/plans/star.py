@@ -72,7 +72,7 @@ def _write(built: Star, path: str, fmt: str, with_facts: bool) -> None:
     target = f"{path}/{EDITION}{next_edition(spark, path)}"
     tables = built.dimensions()
     if with_facts:
-        overwrite_table(built.fact_ratings, f"{target}/{FACT_TABLE}", fmt)
+        write_counted(built.fact_ratings, f"{target}/{FACT_TABLE}", fmt)
         tables["dim_date"] = star.dim_date(read_table(spark, f"{target}/{FACT_TABLE}", fmt))
     for name, table in tables.items():
         write_counted(table, f"{target}/{name}", fmt)
@@ -94,6 +94,6 @@ def read_star(
         read_counted(spark, f"{edition}/dim_movie", fmt),
         read_counted(spark, f"{edition}/dim_user", fmt),
         read_counted(spark, f"{edition}/dim_date", fmt),
-        read_table(spark, f"{edition}/{FACT_TABLE}", fmt) if fact is None else fact,
+        read_counted(spark, f"{edition}/{FACT_TABLE}", fmt) if fact is None else fact,
         version,
     )
